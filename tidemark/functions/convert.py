@@ -75,30 +75,53 @@ def landing_type_column(data_type: Column, precision: Column, scale: Column) ->
     return rule.otherwise("string")
 
 
-def image_value(image: Column, name: str, target: str, units: Units = Units()) -> Column:
-    """Member ``name`` of a row image as its landing type; NULL when absent, null or not convertible."""
+# The type a JSON value is first read as; landing types not named here are read directly.
+WIRE_TYPES = {"date": "bigint", "timestamp": "bigint", "float": "double", "binary": "string"}
+
+
+def wire_type(target: str) -> str:
+    return WIRE_TYPES.get(target, target)
+
 
-    def read(kind: str) -> Column:
-        return F.try_variant_get(image, json_path(name), kind)
+def finish(wire: Column, target: str, units: Units = Units()) -> Column:
+    """A value read as its wire type -> its landing type, NULL when it does not fit.
 
+    Texts must have passed :func:`plain_text`.
+    """
     if target == "date":
-        return _date(read("bigint"), units.date)
+        return _date(wire, units.date)
     if target == "timestamp":
-        return _timestamp(read("bigint"), units.timestamp)
+        return _timestamp(wire, units.timestamp)
     if target == "float":
-        return read("double").cast("float")
-    if target == "string":
-        return _text(read)
+        return wire.cast("float")
     if target == "binary":
-        text = _text(read)
-        return F.try_to_binary(text, F.lit("base64")) if units.binary == "base64" else F.encode(text, "UTF-8")
-    return read(target)
+        return F.try_to_binary(wire, F.lit("base64")) if units.binary == "base64" else F.encode(wire, "UTF-8")
+    return wire
+
+
+def looks_numeric(text: Column) -> Column:
+    return F.coalesce(F.substring(text, 1, 1).isin(*"-0123456789"), F.lit(False))
+
 
+def plain_text(text: Column, value: Column) -> Column:
+    """Text of a JSON value; fractions print as doubles do, so 23.0 stays 23.0.
 
-def is_unconvertible(image: Column, name: str, value: Column) -> Column:
-    """True when the image holds a value but its conversion gave NULL."""
-    raw = F.try_variant_get(image, json_path(name), "variant")
-    return F.when(value.isNotNull(), F.lit(False)).otherwise(raw.isNotNull() & ~F.is_variant_null(raw))
+    ``value`` is the same value as VARIANT; it matters only for texts that look numeric.
+    """
+    fraction = F.schema_of_variant(value).startswith("D")  # DOUBLE or DECIMAL
+    oversized = ~text.contains(".") & F.try_variant_get(value, "$", "bigint").isNull()
+    return F.when(
+        looks_numeric(text) & fraction & ~oversized, F.try_variant_get(value, "$", "double").cast("string")
+    ).otherwise(text)
+
+
+def image_value(image: Column, name: str, target: str, units: Units = Units()) -> Column:
+    """Member ``name`` of a VARIANT row image as its landing type; NULL when absent, null or not convertible."""
+    path = json_path(name)
+    wire = F.try_variant_get(image, path, wire_type(target))
+    if wire_type(target) == "string":
+        wire = plain_text(wire, F.try_variant_get(image, path, "variant"))
+    return finish(wire, target, units)
 
 
 def marker_or_default(marker: Column, data_type: str) -> Column:
@@ -146,14 +169,3 @@ def _timestamp(number: Column, unit: str) -> Column:
     else:
         millis = F.when(number > MICROS_ABOVE, _quotient(number, 1_000)).otherwise(number)
     return F.timestamp_millis(F.when(millis.between(-MILLIS_MAX, MILLIS_MAX), millis))
-
-
-def _text(read) -> Column:
-    """Text of any JSON value; fractions print as doubles do, so 23.0 stays 23.0."""
-    text = read("string")
-    kind = F.schema_of_variant(read("variant"))
-    fraction = (kind == "DOUBLE") | (
-        kind.startswith("DECIMAL") & ~(kind.endswith(",0)") & read("bigint").isNull())
-    )
-    starts_numeric = F.substring(text, 1, 1).isin(*"-0123456789")
-    return F.when(starts_numeric & fraction, read("double").cast("string")).otherwise(text)

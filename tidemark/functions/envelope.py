@@ -11,41 +11,63 @@ DEFAULT_OP = "c"
 MARKER_COLUMN = "__rowMarker__"
 
 
-def member(doc: Column, name: str) -> Column:
-    """A member as VARIANT: SQL NULL when absent, a variant null when it is JSON null."""
-    return F.try_variant_get(doc, json_path(name), "variant")
+def json_path(*names: str) -> str:
+    """Path to a member; names keep their case and may hold any character."""
 
+    def step(name: str) -> str:
+        quote = '"' if "'" in name else "'"
+        return f"[{quote}{name}{quote}]"
 
-def json_path(name: str) -> str:
-    quote = '"' if "'" in name else "'"
-    return f"$[{quote}{name}{quote}]"
+    return "$" + "".join(step(n) for n in names)
 
 
-def unwrap(doc: Column) -> Column:
-    """The ``payload`` member where there is one, else the document itself."""
-    return F.coalesce(member(doc, "payload"), doc)
+def read(doc: Column, path: str, kind: str = "variant") -> Column:
+    """The value at a path, NULL when absent or not convertible; JSON null is a variant null."""
+    return F.try_variant_get(doc, path, kind)
 
 
-def operation(payload: Column) -> Column:
+def is_wrapped(root: Column) -> Column:
+    """True when the document has a ``payload`` member, whatever it holds.
+
+    Reading a sub-document as VARIANT copies it, so the usual case, an object, is told by a struct.
+    """
+    path = json_path("payload")
+    return read(root, path, "struct<op: string>").isNotNull() | read(root, path).isNotNull()
+
+
+def inside(root: Column, wrapped: Column, kind: str, *names: str) -> Column:
+    """A value of the unwrapped document, read in place."""
+    return F.when(wrapped, read(root, json_path("payload", *names), kind)).otherwise(
+        read(root, json_path(*names), kind)
+    )
+
+
+def operation(root: Column, wrapped: Column) -> Column:
     """Operation code; ``c`` when the member is absent, its text otherwise."""
-    op = member(payload, "op")
-    text = F.coalesce(F.try_variant_get(payload, json_path("op"), "string"), F.lit("null"))
-    return F.when(op.isNull(), F.lit(DEFAULT_OP)).otherwise(text)
+    absent = inside(root, wrapped, "variant", "op").isNull()
+    text = inside(root, wrapped, "string", "op")
+    return F.coalesce(text, F.when(absent, F.lit(DEFAULT_OP)).otherwise(F.lit("null")))
 
 
-def row_marker(op: Column, tombstone: Column) -> Column:
+def row_marker(op: Column) -> Column:
+    """Marker of an operation; no operation is a tombstone, an unknown one an insert."""
     return (
-        F.when(tombstone, F.lit(DELETE))
+        F.when(op.isNull(), F.lit(DELETE))
         .when(op == "u", F.lit(UPDATE))
         .when(op == "d", F.lit(DELETE))
         .otherwise(F.lit(INSERT))
     )
 
 
-def row_image(op: Column, before: Column, after: Column) -> Column:
-    """The image an operation carries; an unknown one takes ``before`` only without ``after``."""
+def row_image(root: Column, wrapped: Column, op: Column) -> Column:
+    """The row an operation carries, as VARIANT.
+
+    A tombstone carries its key. An unknown operation takes ``before`` only without ``after``.
+    """
+    after, before = (inside(root, wrapped, "variant", side) for side in ("after", "before"))
     return (
-        F.when(op.isin("c", "r", "u"), after)
+        F.when(op.isNull(), inside(root, wrapped, "variant"))
+        .when(op.isin("c", "r", "u"), after)
         .when(op == "d", before)
         .otherwise(F.coalesce(after, before))
     )
@@ -53,7 +75,7 @@ def row_image(op: Column, before: Column, after: Column) -> Column:
 
 def is_empty_image(image: Column) -> Column:
     """True for an absent image, JSON null, ``{}`` and anything that is not an object."""
-    return F.coalesce(F.size(F.try_variant_get(image, "$", "map<string,variant>")), F.lit(0)) < 1
+    return F.coalesce(F.size(read(image, "$", "map<string,variant>")), F.lit(0)) < 1
 
 
 def scalar_kind(value: Column) -> Column:

@@ -12,66 +12,43 @@ MALFORMED_VALUE = "malformed value"
 MALFORMED_KEY = "malformed key"
 
 
-def parse_events(events: DataFrame, prefix: str = "") -> DataFrame:
-    """``pos, topic, folder, key, value`` plus the unwrapped ``doc`` and ``reason`` if undecodable.
-
-    ``doc`` is the value's payload, or the key's for a tombstone, so one parse per event is enough.
-    """
-    tombstone = F.col("value").isNull()
-    text = F.coalesce("value", "key")
-    parsed = E.with_parsed(events.withColumn("text", text), "text", "root")
-    return parsed.select(
-        "pos",
-        "topic",
-        table_folder(F.col("topic"), prefix).alias("folder"),
-        "key",
-        "value",
-        tombstone.alias("tombstone"),
-        E.unwrap(F.col("root")).alias("doc"),
-        F.when(F.col("text").isNotNull() & F.col("root").isNull(), F.when(tombstone, MALFORMED_KEY).otherwise(MALFORMED_VALUE)).alias("reason"),
-    )
-
-
 def decode_events(
     events: DataFrame, prefix: str = "", tombstones: str = "delete", lookup_updates: bool = True
 ) -> DataFrame:
-    """Decoded events. ``needs_lookup`` marks updates whose row image is missing.
+    """One decoded row per event: table folder, operation (NULL for a tombstone), image and marker.
 
-    Until a lookup finds the current row, such an update carries its ``before`` image. Without
-    ``lookup_updates`` it keeps its empty image. ``tombstones='drop'`` leaves out key-only deletes.
+    ``needs_lookup`` marks updates whose row image is missing: they carry their ``before`` image until
+    a lookup finds the current row. Without ``lookup_updates`` they keep their empty image.
+    ``reason`` is set when the text is not JSON; only then are ``key`` and ``value`` kept.
+    ``tombstones='drop'`` leaves out key-only deletes.
     """
     if tombstones not in ("delete", "drop"):
         raise ValueError(f"tombstones must be 'delete' or 'drop', not {tombstones!r}")
+    tombstone = F.col("value").isNull()
     if tombstones == "drop":
-        events = events.filter(F.col("value").isNotNull())
-    doc, op = F.col("doc"), F.col("op")
-    parts = parse_events(events, prefix).select(
-        "*",
-        E.operation(doc).alias("op"),
-        E.member(doc, "before").alias("before"),
-        E.member(doc, "after").alias("after"),
-    )
-    missing = F.lit(False)
-    if lookup_updates:
-        missing = ~F.col("tombstone") & (op == "u") & F.col("before").isNotNull() & E.is_empty_image(F.col("after"))
-    image = (
-        F.when(F.col("tombstone"), doc)
-        .when(F.col("needs_lookup"), F.col("before"))
-        .otherwise(E.row_image(op, F.col("before"), F.col("after")))
-    )
-    bad = F.col("reason").isNotNull()
-    return parts.withColumn("needs_lookup", missing).select(
-        "pos",
-        "topic",
-        "folder",
-        F.when(~F.col("tombstone"), op).alias("op"),
-        image.alias("image"),
-        E.row_marker(op, F.col("tombstone")).alias("marker"),
-        "needs_lookup",
-        "reason",
-        # The raw text is kept for refused events only; the image says it all for the others.
-        F.when(bad, F.col("key")).alias("key"),
-        F.when(bad, F.col("value")).alias("value"),
+        events = events.filter(~tombstone)
+    root, wrapped, op, text = F.col("root"), F.col("wrapped"), F.col("op"), F.col("text")
+    malformed = text.isNotNull() & root.isNull()
+    before = E.inside(root, wrapped, "variant", "before")
+    missing = (op == "u") & E.is_empty_image(F.col("carried")) & before.isNotNull()
+    return (
+        E.with_parsed(events.withColumn("text", F.coalesce("value", "key")), "text", "root")
+        .withColumn("wrapped", E.is_wrapped(root))
+        .withColumn("op", F.when(~tombstone, E.operation(root, wrapped)))
+        .withColumn("carried", E.row_image(root, wrapped, op))
+        .withColumn("needs_lookup", F.coalesce(missing, F.lit(False)) if lookup_updates else F.lit(False))
+        .select(
+            "pos",
+            "topic",
+            table_folder(F.col("topic"), prefix).alias("folder"),
+            "op",
+            E.row_marker(op).alias("marker"),
+            F.when(F.col("needs_lookup"), before).otherwise(F.col("carried")).alias("image"),
+            "needs_lookup",
+            F.when(malformed, F.when(tombstone, MALFORMED_KEY).otherwise(MALFORMED_VALUE)).alias("reason"),
+            F.when(malformed, F.col("key")).alias("key"),
+            F.when(malformed, F.col("value")).alias("value"),
+        )
     )
 
 

@@ -61,7 +61,7 @@ def fill_from_snapshot(
         ],
         row.getField(marker).alias(marker),
     )
-    rest = F.when(F.col("found").isNull(), F.col("bad_columns")).alias("bad_columns")
+    rest = F.when(F.col("found").isNull(), F.col("bad_columns")).otherwise(F.lit("")).alias("bad_columns")
     columns = [filled.alias("row") if c == "row" else rest if c == "bad_columns" else F.col(c) for c in projected.columns]
     looked_up = waiting.join(current, names, "left").select(columns)
     return projected.filter(~keyed | keyed.isNull()).unionByName(looked_up)

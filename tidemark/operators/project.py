@@ -3,61 +3,80 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.convert import Units, image_value, is_unconvertible
-from tidemark.functions.envelope import MARKER_COLUMN
+from tidemark.functions import convert as C
+from tidemark.functions import envelope as E
 from tidemark.sources.catalog import TableSpec
 
 
 def project_rows(
-    decoded: DataFrame, spec: TableSpec, units: Units = Units(), marker: str = MARKER_COLUMN
+    decoded: DataFrame, spec: TableSpec, units: C.Units = C.Units(), marker: str = E.MARKER_COLUMN
 ) -> DataFrame:
-    """``pos``, ``row`` (catalog columns, marker last), ``needs_lookup``, ``bad_columns`` and ``image``.
+    """``pos, topic, row, needs_lookup, bad_columns, image``; ``row`` holds the catalog columns, marker last.
 
     Members the catalog does not know are dropped, missing ones are NULL. ``bad_columns`` names the
-    columns whose value cannot be converted; it is NULL for a good row.
+    columns whose value cannot be converted; it is empty text for a good row.
+
+    All columns of a row are read from its image in one pass. Rows with a NULL are read once more to
+    tell a missing value from an unconvertible one, rows with numbers in text columns to print them.
     """
-    image = F.col("image")
-    columns = spec.data_columns(marker)
-    values = {c.name: image_value(image, c.name, c.landing_type, units) for c in columns}
-    typed = decoded.select(
-        "pos", "topic", "needs_lookup", "image", "marker",
-        # A generated column is computed once: later filters on it stay above the generator.
-        F.explode(F.array(F.struct(*[v.alias(n) for n, v in values.items()]))).alias("typed"),
-    )
-    failed = [
-        F.when(is_unconvertible(image, n, F.col("typed").getField(n)), F.lit(n)) for n in values
-    ]
-    any_failed = reduce(lambda a, b: a | b, (f.isNotNull() for f in failed), F.lit(False))
-    return typed.select(
-        "pos",
-        "topic",
-        _row(spec, marker).alias("row"),
-        "needs_lookup",
-        F.when(any_failed, F.array_compact(F.array(*failed))).alias("bad_columns"),
-        "image",
+    image, wire = F.col("image"), F.col("wire")
+    columns = [(c.name, c.landing_type) for c in spec.data_columns(marker)]
+    texts = [n for n, t in columns if C.wire_type(t) == "string"]
+
+    # A generated column is computed once: later filters on it stay above the generator.
+    kind = _struct((n, C.wire_type(t)) for n, t in columns)
+    rows = decoded.select(
+        "pos", "topic", "needs_lookup", "image", "marker", F.explode(F.array(E.read(image, "$", kind))).alias("wire")
     )
 
+    def fits(name: str, target: str) -> Column:
+        value = wire.getField(name)
+        if C.WIRE_TYPES.get(target) is None:
+            return value.isNotNull()
+        return C.finish(value, target, units).isNotNull()
+
+    complete = reduce(and_, (fits(n, t) for n, t in columns))
+    held = F.when(~complete, E.read(image, "$", "map<string,string>"))
+    rows = rows.select("*", F.explode(F.array(held)).alias("held"))
+    unread = [F.when(~fits(n, t) & F.try_element_at("held", F.lit(n)).isNotNull(), F.lit(n)) for n, t in columns]
+    bad = F.when(complete, F.lit("")).otherwise(F.concat_ws(", ", *unread))
+
+    if texts:
+        numeric = reduce(or_, (C.looks_numeric(wire.getField(n)) for n in texts))
+        values = E.read(image, "$", _struct((n, "variant") for n in texts))
+        rows = rows.withColumn("as_value", F.when(numeric, values))
+
+    def landed(name: str, target: str) -> Column:
+        value = wire.getField(name)
+        if name in texts:
+            value = C.plain_text(value, F.col("as_value").getField(name))
+        return C.finish(value, target, units).alias(name)
+
+    row = F.struct(*[landed(n, t) for n, t in columns], F.coalesce("marker", F.lit(E.INSERT)).alias(marker))
+    return rows.select("pos", "topic", row.alias("row"), "needs_lookup", bad.alias("bad_columns"), "image")
+
 
-def _row(spec: TableSpec, marker: str) -> Column:
-    fields = [F.col("typed").getField(c.name).alias(c.name) for c in spec.data_columns(marker)]
-    return F.struct(*fields, F.coalesce(F.col("marker"), F.lit(0)).alias(marker))
+def _struct(fields) -> str:
+    quoted = (f"`{n.replace('`', '``')}`: {t}" for n, t in fields)
+    return f"struct<{', '.join(quoted)}>"
 
 
 def convertible(projected: DataFrame) -> DataFrame:
-    return projected.filter(F.col("bad_columns").isNull()).drop("bad_columns", "image")
+    return projected.filter(F.col("bad_columns") == "").drop("bad_columns", "image")
 
 
-def refused_rows(projected: DataFrame, folder: str, marker: str = MARKER_COLUMN) -> DataFrame:
+def refused_rows(projected: DataFrame, folder: str, marker: str = E.MARKER_COLUMN) -> DataFrame:
     """Rows with an unconvertible value, for the quarantine; ``value`` is the row image."""
-    return projected.filter(F.col("bad_columns").isNotNull()).select(
+    return projected.filter(F.col("bad_columns") != "").select(
         "pos",
         "topic",
         F.lit(folder).alias("folder"),
-        F.concat(F.lit("unconvertible: "), F.concat_ws(", ", "bad_columns")).alias("reason"),
+        F.concat(F.lit("unconvertible: "), F.col("bad_columns")).alias("reason"),
         F.col("row").getField(marker).alias("marker"),
         F.lit(None).cast("string").alias("key"),
         F.to_json("image").alias("value"),

@@ -160,8 +160,8 @@ def _stage(
 ) -> None:
     # The observation also keeps the filter from moving below the conversions and doubling them.
     seen = Observation()
-    refused = F.count_if(F.col("bad_columns").isNotNull()).alias("refused")
-    rows = projected.observe(seen, refused).filter(F.col("bad_columns").isNull())
+    refused = F.count_if(F.col("bad_columns") != "").alias("refused")
+    rows = projected.observe(seen, refused).filter(F.col("bad_columns") == "")
     write_ordered(rows, staging, file_count(row_count, options.max_records_per_file), options)
     target = f"{options.base}/{QUARANTINE}/{unit.batch}/{unit.key}"
     if seen.get["refused"]:
