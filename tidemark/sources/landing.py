@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.naming import name_sequence, sequence_file
-from tidemark.sources.catalog import TableSpec
 from tidemark.functions.envelope import MARKER_COLUMN
+from tidemark.functions.naming import SUFFIX, name_sequence, sequence_file
+from tidemark.sources.catalog import TableSpec
 
 
 def read_landing(
@@ -24,7 +24,9 @@ def read_landing(
     costs one extra job over the files. Either way older files show NULL in columns added later.
     ``after_sequence`` prunes the files already applied before any of them is opened.
     """
-    reader = spark.read.schema(spec.landing_schema(marker)) if spec else spark.read.option("mergeSchema", "true")
+    # Spark takes a name starting with _metadata for a Parquet summary file, so data files are named.
+    reader = spark.read.option("pathGlobFilter", f"*{SUFFIX}")
+    reader = reader.schema(spec.landing_schema(marker)) if spec else reader.option("mergeSchema", "true")
     rows = reader.parquet(f"{base}/{folder}")
     if after_sequence:
         rows = rows.filter(F.col("_metadata.file_name") > sequence_file(after_sequence))
