@@ -1,0 +1,192 @@
+"""Routing, names, types and value conversions on literal edge cases."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions import convert, envelope, naming, routing
+from tidemark.sources.catalog import ColumnSpec, TableSpec
+
+
+def column(spark, values, build, kind="string"):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i INT, v {kind}")
+    return [r.x for r in df.select("i", build(F.col("v")).alias("x")).orderBy("i").collect()]
+
+
+def test_topics_to_folders(spark):
+    cases = {
+        "oracle.HR.EMPLOYEES": "HR.schema/EMPLOYEES",
+        "oracle.HR.A.B": "HR.schema/A_B",
+        "HR.EMP": "HR.schema/EMP",
+        "oracle.EMP": "EMP",
+        ".EMP": "_EMP",
+        "HR.": "HR_",
+        "oracle": "oracle",
+        "": "",
+    }
+    assert column(spark, cases, lambda c: routing.table_folder(c, "oracle")) == list(cases.values())
+    assert column(spark, ["oracle.HR.EMP"], lambda c: routing.table_folder(c, " ")) == ["oracle.schema/HR_EMP"]
+
+
+def test_folders_to_tables(spark):
+    cases = {
+        "HR.schema/EMP": ("HR", "EMP"),
+        "EMP": ("EMP", "EMP"),
+        ".schema/EMP": (".schema/EMP", ".schema/EMP"),
+        "hr.schema/a.schema/b": ("hr", "a.schema/b"),
+    }
+    assert column(spark, cases, routing.folder_schema) == [s for s, _ in cases.values()]
+    assert column(spark, cases, routing.folder_table) == [t for _, t in cases.values()]
+    assert column(spark, ["hr.schema/emp", "emp"], routing.catalog_name) == ["HR.EMP", "EMP.EMP"]
+
+
+def test_sequence_names(spark):
+    assert naming.sequence_file(1) == "00000000000000000001.parquet"
+    assert len(naming.sequence_file(naming.MAX_LONG)) == 20 + len(".parquet")
+    assert column(spark, [1, naming.MAX_LONG], naming.sequence_name, "BIGINT") == [
+        "00000000000000000001.parquet",
+        "09223372036854775807.parquet",
+    ]
+
+
+def test_names_to_sequences_agree_on_both_sides(spark):
+    names = ["x.parquet", "7.txt", "00000000000000000012.parquet", "+3.parquet", "99999999999999999999.parquet", ".parquet", "5.parquet.parquet"]
+    expected = [None, None, 12, 3, None, None, None]
+    assert column(spark, names, naming.name_sequence) == expected
+    assert [naming.file_sequence(n) for n in names] == expected
+
+
+@pytest.mark.parametrize("text, value", [("7", 7), (" 7\n", 7), ("abc", None), ("", None), (None, None), ("1_0", None), (str(2**63), None)])
+def test_state_file_content(text, value):
+    assert naming.parse_state(text) == value
+
+
+def test_codecs_agree_on_both_sides(spark):
+    asked = ["gzip", "LZ4", "Zstd", "UNCOMPRESSED", "SNAPPY", "bogus", None]
+    expected = ["gzip", "lz4", "zstd", "uncompressed", "snappy", "snappy", "snappy"]
+    assert [naming.codec(a) for a in asked] == expected
+    assert column(spark, asked, naming.codec_column) == expected
+
+
+def test_key_metadata_text():
+    assert naming.key_metadata(["A", "B"]) == '{"keyColumns":["A","B"]}'
+    assert naming.key_metadata([]) == '{"keyColumns":[]}'
+
+
+TYPES = [
+    ("DATE", 0, 0, "date"),
+    ("TIMESTAMP", 0, 0, "timestamp"),
+    ("TIMESTAMP(6)", 0, 0, "timestamp"),
+    ("TIMESTAMP WITH TIME ZONE", 0, 0, "string"),
+    ("TIMESTAMP(6) WITH TIME ZONE", 0, 0, "string"),
+    ("TIMESTAMP(3) WITH LOCAL TIME ZONE", 0, 0, "string"),
+    ("NUMBER", None, None, "double"),
+    ("NUMBER", 0, 0, "double"),
+    ("NUMBER", 9, 0, "int"),
+    ("NUMBER", 10, 0, "bigint"),
+    ("NUMBER", 18, 0, "bigint"),
+    ("NUMBER", 19, 0, "double"),
+    ("NUMBER", 5, 2, "double"),
+    ("number", 5, -2, "int"),
+    ("FLOAT", 0, 0, "float"),
+    ("BINARY_FLOAT", 0, 0, "float"),
+    ("BINARY_DOUBLE", 0, 0, "double"),
+    ("VARCHAR2", 0, 0, "string"),
+    ("LONG", 0, 0, "string"),
+    ("RAW", 0, 0, "binary"),
+    ("RAW(16)", 0, 0, "binary"),
+    ("BLOB", 0, 0, "binary"),
+    ("LONG RAW", 0, 0, "binary"),
+    ("SDO_GEOMETRY", 0, 0, "string"),
+]
+
+
+def test_catalog_types_agree_on_both_sides(spark):
+    rows = spark.createDataFrame([(i, *t) for i, t in enumerate(TYPES)], "i INT, t STRING, p INT, s INT, x STRING")
+    mapped = rows.select("i", convert.landing_type_column(F.col("t"), F.col("p"), F.col("s")).alias("y")).orderBy("i")
+    assert [r.y for r in mapped.collect()] == [t[3] for t in TYPES]
+    assert [convert.landing_type(*t[:3]) for t in TYPES] == [t[3] for t in TYPES]
+
+
+def test_landing_schema_has_nullable_columns_and_a_required_marker():
+    columns = (ColumnSpec("ID", "NUMBER", 10, 0, False, 1), ColumnSpec("HIRED", "DATE"), ColumnSpec("__rowMarker__", "VARCHAR2"))
+    schema = TableSpec("HR", "EMP", columns, ("ID",)).landing_schema()
+    assert schema == T.StructType(
+        [
+            T.StructField("ID", T.LongType(), True),
+            T.StructField("HIRED", T.DateType(), True),
+            T.StructField("__rowMarker__", T.IntegerType(), False),
+        ]
+    )
+
+
+def values(spark, literals, target, units=convert.Units(), show=lambda c: c):
+    def build(text):
+        image = F.parse_json(F.concat(F.lit('{"V":'), text, F.lit("}")))
+        return show(convert.image_value(image, "V", target, units))
+
+    return column(spark, literals, build)
+
+
+def test_dates(spark):
+    literals = ["19800", "1700000000123", "86400000", "-1", "null", "19800.9", '"x"', "-3000000000"]
+    assert values(spark, literals, "date", show=F.unix_date) == [19800, 19675, 86400000, -1, None, 19800, None, None]
+    assert values(spark, ["19800"], "date") == [dt.date(2024, 3, 18)]
+    millis = convert.Units(date="millis")
+    assert values(spark, ["-1", "86400000", "-9223372036854775808"], "date", millis, F.unix_date) == [-1, 1, None]
+    assert values(spark, ["1700000000123", "5"], "date", convert.Units(date="days"), F.unix_date) == [None, 5]
+
+
+def test_timestamps(spark):
+    literals = ["1000000000000000", "1000000000000001", "1704067207179575", "-5", "null", "-9223372036854775808", "9223372036854775807"]
+    expected = [10**15, 10**12, 1704067207179, -5, None, None, 9223372036854775]
+    assert values(spark, literals, "timestamp", show=F.unix_millis) == expected
+    nanos = convert.Units(timestamp="nanos")
+    assert values(spark, ["1704067207179575001", "-1"], "timestamp", nanos, F.unix_millis) == [1704067207179, -1]
+    micros = convert.Units(timestamp="micros")
+    assert values(spark, ["5001", "-1"], "timestamp", micros, F.unix_millis) == [5, -1]
+
+
+def test_numbers_narrow_toward_zero_and_refuse_overflow(spark):
+    assert values(spark, ["2.9", "-2.9", "3000000000", "101.0", "null", '"x"'], "int") == [2, -2, None, 101, None, None]
+    assert values(spark, ["9007199254740993", "1e19", "2.5e3"], "bigint") == [9007199254740993, None, 2500]
+    assert values(spark, ["1.50", "7", "1e30"], "double") == [1.5, 7.0, 1e30]
+    assert values(spark, ["0.1", "1e300"], "float") == [pytest.approx(0.1), float("inf")]
+
+
+def test_texts(spark):
+    literals = ['"a"', '"12"', "12", "23.0", "1.50", "1e10", "true", '{"b":1}', "[1,2]", "null", "12345678901234567890", '"-"', '""']
+    expected = ["a", "12", "12", "23.0", "1.5", "1.0E10", "true", '{"b":1}', "[1,2]", None, "12345678901234567890", "-", ""]
+    assert values(spark, literals, "string") == expected
+
+
+def test_bytes(spark):
+    assert values(spark, ['"QQ=="', "12", "null"], "binary") == [b"QQ==", b"12", None]
+    assert values(spark, ['"QQ=="', '"%%"'], "binary", convert.Units(binary="base64")) == [b"A", None]
+
+
+def test_units_are_checked():
+    with pytest.raises(ValueError):
+        convert.Units(date="weeks")
+
+
+def test_scalar_kinds(spark):
+    cases = {"1": "int", "2147483648": "long", "1.5": "double", "1.0": "double", "1e3": "double", '"x"': "text", "true": "boolean",
+             "null": "null", "{}": "json", "[1]": "json", "99999999999999999999": "json"}
+    assert column(spark, cases, lambda c: envelope.scalar_kind(F.parse_json(c))) == list(cases.values())
+
+
+def test_row_map_of_null_is_empty(spark):
+    sizes = column(spark, ['{"a":1,"b":null}', "null", "{}"], lambda c: F.size(envelope.row_map(c)))
+    assert sizes == [2, 0, 0]
+
+
+def test_markers_of_other_types(spark):
+    def marker(kind):
+        return lambda c: convert.marker_or_default(c, kind)
+
+    assert column(spark, [2, None], marker("int"), "INT") == [2, 0]
+    assert column(spark, [1.9], marker("double"), "DOUBLE") == [1]
+    assert column(spark, ["2", None], marker("string")) == [0, 0]

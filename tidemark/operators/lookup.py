@@ -11,6 +11,10 @@ from tidemark.functions.envelope import MARKER_COLUMN
 from tidemark.sources.catalog import TableSpec
 
 MAX_BROADCAST_KEYS = 100_000
+# A key is hot from this many rows on, and only with at least a thousandth of all rows, so there are
+# never more than MAX_HOT_KEYS of them.
+ROWS_PER_SLICE = 100_000
+MAX_HOT_KEYS = 1_000
 
 
 def _all(conditions) -> Column:
@@ -23,14 +27,14 @@ def fill_from_snapshot(
     spec: TableSpec,
     marker: str = MARKER_COLUMN,
     max_broadcast_keys: int = MAX_BROADCAST_KEYS,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Give each ``needs_lookup`` row the snapshot's current row for its key, if there is one.
 
-    Only those rows and the snapshot rows of their keys are joined; all others pass through. The
-    keys are reduced to distinct ones and counted: up to ``max_broadcast_keys`` of them they are
-    broadcast, so the snapshot is filtered where it lies, beyond that both sides shuffle on the key.
-    A hot key then has many rows on the event side and one on the snapshot side, a skew the
-    adaptive join splits.
+    Only those rows and the snapshot rows of their keys are joined; all others pass through. The keys
+    are first reduced to distinct ones and counted. Up to ``max_broadcast_keys`` of them are broadcast,
+    so the snapshot is filtered where it lies; beyond that both sides shuffle on the key. The rows of
+    a hot key are spread over slices, and its one snapshot row is repeated for each slice.
     """
     if snapshot is None or not spec.keys:
         return projected
@@ -39,9 +43,12 @@ def fill_from_snapshot(
     keyed = F.col("needs_lookup") & has_key
     names = [f"_k{i}" for i in range(len(spec.keys))]
     waiting = projected.filter(keyed).select("*", *[row.getField(k).alias(n) for n, k in zip(names, spec.keys)])
-    wanted = waiting.select(names).distinct()
-    if wanted.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
-        wanted = F.broadcast(wanted)
+    wanted = waiting.groupBy(names).agg(F.count("*").alias("_rows"))
+    seen = wanted.agg(
+        F.count("*").alias("keys"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"), F.max("_rows").alias("most")
+    ).first()
+    if not seen.keys:
+        return projected
 
     fields = spec.landing_schema(marker).fields[:-1]
     present = set(snapshot.columns)
@@ -51,9 +58,18 @@ def fill_from_snapshot(
     current = (
         snapshot.select(found.alias("found"))
         .select("found", *[F.col("found").getField(k).alias(n) for n, k in zip(names, spec.keys)])
-        .join(wanted, names, "left_semi")
+        .join(F.broadcast(wanted) if seen.keys <= max_broadcast_keys else wanted, names, "left_semi")
         .dropDuplicates(names)
     )
+    on = names
+    hot_from = max(rows_per_slice, seen.rows // MAX_HOT_KEYS)
+    if seen.most > hot_from:
+        hot = wanted.filter(F.col("_rows") > hot_from)
+        hot = F.broadcast(hot.select(*names, F.ceil(F.col("_rows") / rows_per_slice).cast("int").alias("_slices")))
+        slices = F.coalesce("_slices", F.lit(1))
+        waiting = waiting.join(hot, names, "left").withColumn("_slice", F.pmod(F.xxhash64("pos"), slices).cast("int"))
+        current = current.join(hot, names, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+        on = [*names, "_slice"]
     filled = F.struct(
         *[
             F.when(F.col("found").isNotNull(), F.col("found").getField(f.name)).otherwise(row.getField(f.name)).alias(f.name)
@@ -63,5 +79,5 @@ def fill_from_snapshot(
     )
     rest = F.when(F.col("found").isNull(), F.col("bad_columns")).otherwise(F.lit("")).alias("bad_columns")
     columns = [filled.alias("row") if c == "row" else rest if c == "bad_columns" else F.col(c) for c in projected.columns]
-    looked_up = waiting.join(current, names, "left").select(columns)
+    looked_up = waiting.join(current, on, "left").select(columns)
     return projected.filter(~keyed | keyed.isNull()).unionByName(looked_up)

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import naming
@@ -131,9 +131,8 @@ def land_table(
     text = state.read_text(unit.manifest)
     if text is None:
         write_key_metadata(files, base, folder, spec)
-        _stage(projected, unit, spec, options, row_count, staging)
+        staged = _stage(projected, unit, options, row_count, staging, files)
         on_step("staged", folder)
-        staged = _staged_files(spark, files, staging)
         first = first_free_sequence(files, base, folder, options.state_file)
         text = json.dumps({"folder": folder, "first": first, "files": staged})
         state.write_text_once(unit.manifest, text)
@@ -156,16 +155,16 @@ def land_table(
 
 
 def _stage(
-    projected: DataFrame, unit: Unit, spec: TableSpec, options: LandingOptions, row_count: int, staging: str
-) -> None:
-    # The observation also keeps the filter from moving below the conversions and doubling them.
-    seen = Observation()
-    refused = F.count_if(F.col("bad_columns") != "").alias("refused")
-    rows = projected.observe(seen, refused).filter(F.col("bad_columns") == "")
+    projected: DataFrame, unit: Unit, options: LandingOptions, row_count: int, staging: str, files: Files
+) -> list:
+    """Write the good rows to staging and the others to the quarantine; returns the staged files."""
+    rows = projected.filter(F.col("bad_columns") == "")
     write_ordered(rows, staging, file_count(row_count, options.max_records_per_file), options)
-    target = f"{options.base}/{QUARANTINE}/{unit.batch}/{unit.key}"
-    if seen.get["refused"]:
+    staged = _staged_files(projected.sparkSession, files, staging)
+    if sum(n for _, n in staged) < row_count:
+        target = f"{options.base}/{QUARANTINE}/{unit.batch}/{unit.key}"
         refused_rows(projected, unit.folder, options.marker).write.mode("overwrite").parquet(target)
+    return staged
 
 
 def _staged_files(spark: SparkSession, files: Files, staging: str) -> list:
