@@ -19,8 +19,8 @@ def events(spark, *pairs):
 
 
 def decoded_rows(spark, *values, **options):
-    decoded = decode.decode_events(events(spark, *[(None, v) for v in values]), "oracle", **options)
-    rows = project.project_rows(decode.decodable(decoded), SPEC).orderBy("pos").collect()
+    decoded = decode.decode_events(events(spark, *[(None, v) for v in values]), "oracle")
+    rows = project.project_rows(decode.decodable(decoded), SPEC, **options).orderBy("pos").collect()
     return [(r["row"].ID, r["row"].NAME, r["row"]["__rowMarker__"], r.needs_lookup) for r in rows]
 
 
@@ -97,7 +97,7 @@ def test_unconvertible_values_are_refused_by_name(spark):
     rows = project.project_rows(decoded, SPEC)
     refused = project.refused_rows(rows, "HR.schema/EMP").collect()
     assert [(r.pos, r.reason) for r in refused] == [(0, "unconvertible: ID, HIRED")]
-    assert json.loads(refused[0].value) == {"ID": 3000000000, "NAME": "x", "HIRED": "soon"}
+    assert json.loads(refused[0].value)["after"] == {"ID": 3000000000, "NAME": "x", "HIRED": "soon"}
     assert sorted(r["row"].ID for r in project.convertible(rows).collect()) == [2, 7]
 
 

@@ -274,7 +274,7 @@ def test_unknown_tables_are_quarantined_until_the_catalog_has_them(spark, home):
     target(feed(spark, THREE), 0)
     rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{home}/zone/_quarantine").orderBy("pos").collect()
     assert [(r.folder, r.reason, r.marker) for r in rows] == [(FOLDER, "unknown table", m) for m in (0, 1, 2)]
-    assert json.loads(rows[0].value)["EMPLOYEE_ID"] == 101
+    assert json.loads(rows[0].value)["after"]["EMPLOYEE_ID"] == 101
     replace(target, catalog=static_catalog(EMPLOYEES))(feed(spark, THREE, first=3), 1)
     assert read_landing(spark, f"{home}/zone", FOLDER, EMPLOYEES).count() == 3
 

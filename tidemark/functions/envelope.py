@@ -59,23 +59,26 @@ def row_marker(op: Column) -> Column:
     )
 
 
-def row_image(root: Column, wrapped: Column, op: Column) -> Column:
-    """The row an operation carries, as VARIANT.
+def row_image(root: Column, wrapped: Column, op: Column, kind: str, use_before: Column | None = None) -> Column:
+    """The row an operation carries, read as ``kind``; ``use_before`` overrides the choice.
 
     A tombstone carries its key. An unknown operation takes ``before`` only without ``after``.
     """
-    after, before = (inside(root, wrapped, "variant", side) for side in ("after", "before"))
+    after, before = (inside(root, wrapped, kind, side) for side in ("after", "before"))
+    image = F.when(op.isNull(), inside(root, wrapped, kind))
+    if use_before is not None:
+        image = image.when(use_before, before)
     return (
-        F.when(op.isNull(), inside(root, wrapped, "variant"))
-        .when(op.isin("c", "r", "u"), after)
+        image.when(op.isin("c", "r", "u"), after)
         .when(op == "d", before)
-        .otherwise(F.coalesce(after, before))
+        .otherwise(F.when(inside(root, wrapped, "variant", "after").isNotNull(), after).otherwise(before))
     )
 
 
-def is_empty_image(image: Column) -> Column:
-    """True for an absent image, JSON null, ``{}`` and anything that is not an object."""
-    return F.coalesce(F.size(read(image, "$", "map<string,variant>")), F.lit(0)) < 1
+def is_imageless_update(root: Column, wrapped: Column, op: Column) -> Column:
+    """True for an update with a ``before`` member whose ``after`` has no member of its own."""
+    members = F.coalesce(F.size(inside(root, wrapped, "map<string,variant>", "after")), F.lit(0))
+    return (op == "u") & (members < 1) & inside(root, wrapped, "variant", "before").isNotNull()
 
 
 def scalar_kind(value: Column) -> Column:

@@ -1,8 +1,10 @@
-"""Raw events -> decoded events: folder, operation, row image, marker, reason for refusal."""
+"""Raw events -> decoded events: folder, operation, marker, document, reason for refusal."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import envelope as E
@@ -12,46 +14,53 @@ MALFORMED_VALUE = "malformed value"
 MALFORMED_KEY = "malformed key"
 
 
-def decode_events(
-    events: DataFrame, prefix: str = "", tombstones: str = "delete", lookup_updates: bool = True
-) -> DataFrame:
-    """One decoded row per event: table folder, operation (NULL for a tombstone), image and marker.
+def decode_events(events: DataFrame, prefix: str = "", tombstones: str = "delete") -> DataFrame:
+    """One decoded row per event: table folder, operation (NULL for a tombstone) and marker.
 
-    ``needs_lookup`` marks updates whose row image is missing: they carry their ``before`` image until
-    a lookup finds the current row. Without ``lookup_updates`` they keep their empty image.
-    ``reason`` is set when the text is not JSON; only then are ``key`` and ``value`` kept.
-    ``tombstones='drop'`` leaves out key-only deletes.
+    ``root`` is the parsed value, or the parsed key of a tombstone, and ``wrapped`` tells whether its
+    content lies under ``payload``; row images are read from it in place. ``reason`` is set when the
+    text is not JSON; only then are ``key`` and ``value`` kept. ``tombstones='drop'`` leaves out
+    key-only deletes.
     """
     if tombstones not in ("delete", "drop"):
         raise ValueError(f"tombstones must be 'delete' or 'drop', not {tombstones!r}")
-    tombstone = F.col("value").isNull()
     if tombstones == "drop":
-        events = events.filter(~tombstone)
-    root, wrapped, op, text = F.col("root"), F.col("wrapped"), F.col("op"), F.col("text")
-    malformed = text.isNotNull() & root.isNull()
-    before = E.inside(root, wrapped, "variant", "before")
-    missing = (op == "u") & E.is_empty_image(F.col("carried")) & before.isNotNull()
+        events = events.filter(F.col("value").isNotNull())
+    wrapped, op, decoded = _columns(prefix)
+    text = events.select("pos", "topic", "key", "value", F.coalesce("value", "key").alias("text"))
+    return E.with_parsed(text, "text", "root").select("*", wrapped).select("*", op).select(*decoded)
+
+
+@lru_cache(maxsize=64)
+def _columns(prefix: str) -> tuple[Column, Column, list[Column | str]]:
+    """The expressions of each step; kept, as every micro-batch needs the same ones."""
+    root, op = F.col("root"), F.col("op")
+    tombstone = F.col("value").isNull()
+    malformed = F.col("text").isNotNull() & root.isNull()
     return (
-        E.with_parsed(events.withColumn("text", F.coalesce("value", "key")), "text", "root")
-        .withColumn("wrapped", E.is_wrapped(root))
-        .withColumn("op", F.when(~tombstone, E.operation(root, wrapped)))
-        .withColumn("carried", E.row_image(root, wrapped, op))
-        .withColumn("needs_lookup", F.coalesce(missing, F.lit(False)) if lookup_updates else F.lit(False))
-        .select(
+        E.is_wrapped(root).alias("wrapped"),
+        F.when(~tombstone, E.operation(root, F.col("wrapped"))).alias("op"),
+        [
             "pos",
             "topic",
             table_folder(F.col("topic"), prefix).alias("folder"),
             "op",
             E.row_marker(op).alias("marker"),
-            F.when(F.col("needs_lookup"), before).otherwise(F.col("carried")).alias("image"),
-            "needs_lookup",
+            "root",
+            "wrapped",
             F.when(malformed, F.when(tombstone, MALFORMED_KEY).otherwise(MALFORMED_VALUE)).alias("reason"),
             F.when(malformed, F.col("key")).alias("key"),
             F.when(malformed, F.col("value")).alias("value"),
-        )
+        ],
     )
 
 
+def document_text() -> list[Column]:
+    """``key`` and ``value`` of a decoded event as text again; a tombstone has a key only."""
+    text = F.to_json("root")
+    return [F.when(F.col("op").isNull(), text).alias("key"), F.when(F.col("op").isNotNull(), text).alias("value")]
+
+
 def decodable(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("reason").isNull()).drop("reason", "key", "value")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
@@ -10,55 +10,82 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import convert as C
 from tidemark.functions import envelope as E
+from tidemark.operators.decode import document_text
 from tidemark.sources.catalog import TableSpec
 
 
 def project_rows(
-    decoded: DataFrame, spec: TableSpec, units: C.Units = C.Units(), marker: str = E.MARKER_COLUMN
+    decoded: DataFrame,
+    spec: TableSpec,
+    units: C.Units = C.Units(),
+    marker: str = E.MARKER_COLUMN,
+    lookup_updates: bool = True,
 ) -> DataFrame:
-    """``pos, topic, row, needs_lookup, bad_columns, image``; ``row`` holds the catalog columns, marker last.
+    """``pos, topic, row, needs_lookup, bad_columns, op, root``; ``row`` holds the catalog columns, marker last.
 
     Members the catalog does not know are dropped, missing ones are NULL. ``bad_columns`` names the
-    columns whose value cannot be converted; it is empty text for a good row.
+    columns whose value cannot be converted; it is empty text for a good row. ``needs_lookup`` marks
+    updates whose row image is missing: they carry their ``before`` image until a lookup finds the
+    current row. Without ``lookup_updates`` they keep their empty image.
 
-    All columns of a row are read from its image in one pass. Rows with a NULL are read once more to
-    tell a missing value from an unconvertible one, rows with numbers in text columns to print them.
+    All columns are read from the document in one pass. Rows with a NULL are read once more to tell a
+    missing value from an unconvertible one, rows with numbers in text columns to print them.
     """
-    image, wire = F.col("image"), F.col("wire")
+    rows = decoded
+    for step in _steps(spec, units, marker, lookup_updates):
+        rows = rows.select(*step)
+    return rows
+
+
+@lru_cache(maxsize=1024)
+def _steps(spec: TableSpec, units: C.Units, marker: str, lookup_updates: bool) -> list[list[Column | str]]:
+    """The projections of a table; kept, as every micro-batch needs the same ones."""
+    root, wrapped, op, wire = F.col("root"), F.col("wrapped"), F.col("op"), F.col("wire")
     columns = [(c.name, c.landing_type) for c in spec.data_columns(marker)]
     texts = [n for n, t in columns if C.wire_type(t) == "string"]
-
-    # A generated column is computed once: later filters on it stay above the generator.
+    read = {n: wire.getField(n) for n, _ in columns}
     kind = _struct((n, C.wire_type(t)) for n, t in columns)
-    rows = decoded.select(
-        "pos", "topic", "needs_lookup", "image", "marker", F.explode(F.array(E.read(image, "$", kind))).alias("wire")
-    )
-
-    def fits(name: str, target: str) -> Column:
-        value = wire.getField(name)
-        if C.WIRE_TYPES.get(target) is None:
-            return value.isNotNull()
-        return C.finish(value, target, units).isNotNull()
-
-    complete = reduce(and_, (fits(n, t) for n, t in columns))
-    held = F.when(~complete, E.read(image, "$", "map<string,string>"))
-    rows = rows.select("*", F.explode(F.array(held)).alias("held"))
-    unread = [F.when(~fits(n, t) & F.try_element_at("held", F.lit(n)).isNotNull(), F.lit(n)) for n, t in columns]
-    bad = F.when(complete, F.lit("")).otherwise(F.concat_ws(", ", *unread))
-
+    given = ["pos", "topic", "op", "marker", "root", "wrapped"]
+
+    def image(of: str) -> Column:
+        return E.row_image(root, wrapped, op, of, F.col("needs_lookup") if lookup_updates else None)
+
+    if lookup_updates:
+        first = F.col("first")
+        nothing = reduce(and_, (first.getField(n).isNull() for n, _ in columns))
+        missing = F.coalesce(nothing & E.is_imageless_update(root, wrapped, op), F.lit(False))
+        before = E.inside(root, wrapped, kind, "before")
+        steps = [
+            [*given, E.row_image(root, wrapped, op, kind).alias("first")],
+            [*given, "first", missing.alias("needs_lookup")],
+            [*given, "needs_lookup", F.when(F.col("needs_lookup"), before).otherwise(first).alias("wire")],
+        ]
+    else:
+        steps = [[*given, F.lit(False).alias("needs_lookup"), image(kind).alias("wire")]]
+
+    # Of these, only values changed after reading can be lost after reading.
+    fits = {n: (C.finish(read[n], t, units) if t in C.WIRE_TYPES else read[n]).isNotNull() for n, t in columns}
+    held = F.when(~reduce(and_, fits.values()), image("map<string,string>"))
+    unread = [F.when(~fits[n] & F.try_element_at("held", F.lit(n)).isNotNull(), F.lit(n)) for n, _ in columns]
+    bad = F.when(F.col("held").isNull(), F.lit("")).otherwise(F.concat_ws(", ", *unread))
+
+    as_value = F.lit(None)
     if texts:
-        numeric = reduce(or_, (C.looks_numeric(wire.getField(n)) for n in texts))
-        values = E.read(image, "$", _struct((n, "variant") for n in texts))
-        rows = rows.withColumn("as_value", F.when(numeric, values))
+        numeric = reduce(or_, (C.looks_numeric(read[n]) for n in texts))
+        as_value = F.when(numeric, image(_struct((n, "variant") for n in texts)))
 
     def landed(name: str, target: str) -> Column:
-        value = wire.getField(name)
+        value = read[name]
         if name in texts:
             value = C.plain_text(value, F.col("as_value").getField(name))
         return C.finish(value, target, units).alias(name)
 
     row = F.struct(*[landed(n, t) for n, t in columns], F.coalesce("marker", F.lit(E.INSERT)).alias(marker))
-    return rows.select("pos", "topic", row.alias("row"), "needs_lookup", bad.alias("bad_columns"), "image")
+    return [
+        *steps,
+        ["pos", "topic", "op", "marker", "root", "needs_lookup", "wire", held.alias("held"), as_value.alias("as_value")],
+        ["pos", "topic", row.alias("row"), "needs_lookup", bad.alias("bad_columns"), "op", "root"],
+    ]
 
 
 def _struct(fields) -> str:
@@ -67,17 +94,22 @@ def _struct(fields) -> str:
 
 
 def convertible(projected: DataFrame) -> DataFrame:
-    return projected.filter(F.col("bad_columns") == "").drop("bad_columns", "image")
+    """The good rows.
+
+    A bad row generates nothing. A filter would do the same, but Spark would move it below the
+    projection and run the conversions it tests twice.
+    """
+    good = F.when(F.col("bad_columns") == "", F.array("row")).otherwise(F.array())
+    return projected.select("pos", "topic", F.explode(good).alias("row"), "needs_lookup")
 
 
 def refused_rows(projected: DataFrame, folder: str, marker: str = E.MARKER_COLUMN) -> DataFrame:
-    """Rows with an unconvertible value, for the quarantine; ``value`` is the row image."""
+    """Rows with an unconvertible value, for the quarantine, with their whole document."""
     return projected.filter(F.col("bad_columns") != "").select(
         "pos",
         "topic",
         F.lit(folder).alias("folder"),
         F.concat(F.lit("unconvertible: "), F.col("bad_columns")).alias("reason"),
         F.col("row").getField(marker).alias("marker"),
-        F.lit(None).cast("string").alias("key"),
-        F.to_json("image").alias("value"),
+        *document_text(),
     )

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import naming
 from tidemark.functions.convert import Units
 from tidemark.functions.envelope import MARKER_COLUMN
-from tidemark.operators.project import refused_rows
+from tidemark.operators.project import convertible, refused_rows
 from tidemark.plans.files import Files
 from tidemark.sources.catalog import TableSpec
 
@@ -158,8 +158,7 @@ def _stage(
     projected: DataFrame, unit: Unit, options: LandingOptions, row_count: int, staging: str, files: Files
 ) -> list:
     """Write the good rows to staging and the others to the quarantine; returns the staged files."""
-    rows = projected.filter(F.col("bad_columns") == "")
-    write_ordered(rows, staging, file_count(row_count, options.max_records_per_file), options)
+    write_ordered(convertible(projected), staging, file_count(row_count, options.max_records_per_file), options)
     staged = _staged_files(projected.sparkSession, files, staging)
     if sum(n for _, n in staged) < row_count:
         target = f"{options.base}/{QUARANTINE}/{unit.batch}/{unit.key}"

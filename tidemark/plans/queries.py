@@ -80,12 +80,18 @@ def order_columns(row: str | None = None) -> list[Column]:
     ]
 
 
-def decoded_orders(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return decode.decode_events(X.order_events(spark, sf_dir), X.PREFIX, **options)
+def decoded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode.decode_events(X.order_events(spark, sf_dir), X.PREFIX)
 
 
 def projected_orders(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return project.project_rows(decode.decodable(decoded_orders(spark, sf_dir, **options)), X.ORDERS)
+    return project.project_rows(decode.decodable(decoded_orders(spark, sf_dir)), X.ORDERS, **options)
+
+
+def image_member(name: str, kind: str) -> Column:
+    """One column of a decoded event's row image."""
+    image = envelope.row_image(F.col("root"), F.col("wrapped"), F.col("op"), "variant")
+    return convert.image_value(image, name, kind)
 
 
 def order_documents(spark: SparkSession, sf_dir: str, document: str) -> DataFrame:
@@ -263,10 +269,14 @@ def snapshot_union(spark, sf_dir):
     )
     feed = events.with_snapshot(snapshot, X.order_events(spark, sf_dir))
     decoded = decode.decodable(decode.decode_events(feed, X.PREFIX))
-    ops = decoded.select("op", "pos", "topic", "image", "marker", "needs_lookup")
-    price = convert.image_value(F.col("image"), "O_TOTALPRICE", "double")
-    key = convert.image_value(F.col("image"), "O_ORDERKEY", "bigint")
-    return ops.select("pos", key.alias("orderkey"), price.alias("price"), F.col("marker").alias("row_marker"), "op")
+    rows = project.project_rows(decoded, X.ORDERS)
+    return rows.select(
+        "pos",
+        F.col("row.O_ORDERKEY").alias("orderkey"),
+        F.col("row.O_TOTALPRICE").alias("price"),
+        F.col(f"row.{envelope.MARKER_COLUMN}").alias("row_marker"),
+        "op",
+    )
 
 
 # --- routing and envelope ----------------------------------------------------------------------
@@ -399,7 +409,7 @@ def unknown_op(spark, sf_dir):
     decoded = decode.decodable(decode.decode_events(order_documents(spark, sf_dir, documents), X.PREFIX))
     return decoded.select(
         F.col("pos").alias("k"),
-        convert.image_value(F.col("image"), "O_ORDERKEY", "bigint").alias("orderkey"),
+        image_member("O_ORDERKEY", "bigint").alias("orderkey"),
         F.col("marker").alias("row_marker"),
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.decode import decode_events, refused
+from tidemark.operators.decode import decode_events, document_text, refused
 from tidemark.operators.lookup import fill_from_snapshot
 from tidemark.operators.project import project_rows
 from tidemark.operators.resolve import UNKNOWN_TABLE
@@ -51,7 +51,7 @@ class LandingSink:
         root = f"{self.checkpoint}/landing"
         batch_dir = f"{root}/{batch_id}"
         batch = f"run={_run_id(state, root)}/batch={batch_id}"
-        decoded = decode_events(events, self.prefix, self.tombstones, self.lookup_updates).persist(
+        decoded = decode_events(events, self.prefix, self.tombstones).persist(
             StorageLevel.MEMORY_AND_DISK
         )
         try:
@@ -76,9 +76,9 @@ class LandingSink:
     def _land(self, decoded: DataFrame, count, spec: TableSpec, unit: Unit) -> dict:
         options = self.options
         rows = decoded.filter((F.col("folder") == unit.folder) & F.col("reason").isNull())
-        projected = project_rows(rows, spec, options.units, options.marker)
+        projected = project_rows(rows, spec, options.units, options.marker, self.lookup_updates)
         read = self.snapshots.get(spec.name)
-        if count.incomplete and read:
+        if self.lookup_updates and count.updates and read:
             projected = fill_from_snapshot(projected, read(decoded.sparkSession), spec, options.marker)
         return land_table(projected, unit, spec, options, count.good, self.on_step)
 
@@ -87,8 +87,7 @@ class LandingSink:
         if not any(c.bad or c.folder in unknown for c in counts):
             return
         homeless = decoded.filter(F.col("reason").isNull() & F.col("folder").isin(unknown)).select(
-            "pos", "topic", "folder", F.lit(UNKNOWN_TABLE).alias("reason"), "marker", "key",
-            F.to_json("image").alias("value"),
+            "pos", "topic", "folder", F.lit(UNKNOWN_TABLE).alias("reason"), "marker", *document_text()
         )
         target = f"{self.options.base}/{QUARANTINE}/{batch}/undecoded"
         refused(decoded).unionByName(homeless).write.mode("overwrite").parquet(target)
@@ -108,14 +107,14 @@ def start_landing(
 
 
 def _counts(decoded: DataFrame) -> list:
-    """Per table folder: decodable, undecodable and incomplete events. One row per table reaches the driver."""
+    """Per table folder: decodable events, undecodable ones and updates. One row per table reaches the driver."""
     good = F.col("reason").isNull()
     return (
         decoded.groupBy("folder")
         .agg(
             F.count_if(good).alias("good"),
             F.count_if(~good).alias("bad"),
-            F.count_if(good & F.col("needs_lookup")).alias("incomplete"),
+            F.count_if(good & (F.col("op") == "u")).alias("updates"),
         )
         .collect()
     )
