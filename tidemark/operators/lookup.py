@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import MARKER_COLUMN
+from tidemark.operators.keep import keep_rows
 from tidemark.sources.catalog import TableSpec
 
 MAX_BROADCAST_KEYS = 100_000
@@ -40,9 +41,9 @@ def fill_from_snapshot(
         return projected
     row = F.col("row")
     has_key = _all(row.getField(k).isNotNull() for k in spec.keys)
-    keyed = F.col("needs_lookup") & has_key
+    keyed = F.coalesce(F.col("needs_lookup") & has_key, F.lit(False))
     names = [f"_k{i}" for i in range(len(spec.keys))]
-    waiting = projected.filter(keyed).select("*", *[row.getField(k).alias(n) for n, k in zip(names, spec.keys)])
+    waiting = keep_rows(projected, keyed).select("*", *[row.getField(k).alias(n) for n, k in zip(names, spec.keys)])
     wanted = waiting.groupBy(names).agg(F.count("*").alias("_rows"))
     seen = wanted.agg(
         F.count("*").alias("keys"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"), F.max("_rows").alias("most")
@@ -80,4 +81,4 @@ def fill_from_snapshot(
     rest = F.when(F.col("found").isNull(), F.col("bad_columns")).otherwise(F.lit("")).alias("bad_columns")
     columns = [filled.alias("row") if c == "row" else rest if c == "bad_columns" else F.col(c) for c in projected.columns]
     looked_up = waiting.join(current, on, "left").select(columns)
-    return projected.filter(~keyed | keyed.isNull()).unionByName(looked_up)
+    return keep_rows(projected, ~keyed).unionByName(looked_up)

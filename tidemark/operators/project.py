@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import convert as C
 from tidemark.functions import envelope as E
 from tidemark.operators.decode import document_text
+from tidemark.operators.keep import keep_rows
 from tidemark.sources.catalog import TableSpec
 
 
@@ -94,18 +95,12 @@ def _struct(fields) -> str:
 
 
 def convertible(projected: DataFrame) -> DataFrame:
-    """The good rows.
-
-    A bad row generates nothing. A filter would do the same, but Spark would move it below the
-    projection and run the conversions it tests twice.
-    """
-    good = F.when(F.col("bad_columns") == "", F.array("row")).otherwise(F.array())
-    return projected.select("pos", "topic", F.explode(good).alias("row"), "needs_lookup")
+    return keep_rows(projected, F.col("bad_columns") == "").select("pos", "topic", "row", "needs_lookup")
 
 
 def refused_rows(projected: DataFrame, folder: str, marker: str = E.MARKER_COLUMN) -> DataFrame:
     """Rows with an unconvertible value, for the quarantine, with their whole document."""
-    return projected.filter(F.col("bad_columns") != "").select(
+    return keep_rows(projected, F.col("bad_columns") != "").select(
         "pos",
         "topic",
         F.lit(folder).alias("folder"),

@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions import convert, envelope, naming, routing
 from tidemark.operators import changes, decode, lookup, project, resolve
+from tidemark.operators.keep import keep_rows
 from tidemark.plans import fixtures as X
 from tidemark.plans.files import Files
 from tidemark.plans.landing import LandingOptions, restore_sequence, scan_sequence
@@ -361,7 +362,7 @@ FILLED = """case when kind = 'thin_update' and o_custkey % 2 = 0 then 1 else 0 e
     where kind = 'thin_update'"""
 )
 def lookup_updates(spark, sf_dir):
-    waiting = projected_orders(spark, sf_dir).filter("needs_lookup")
+    waiting = keep_rows(projected_orders(spark, sf_dir), F.col("needs_lookup"))
     filled = lookup.fill_from_snapshot(waiting, X.order_snapshot(spark, sf_dir), X.ORDERS)
     return filled.select(
         "pos",
@@ -383,7 +384,7 @@ def lookup_updates(spark, sf_dir):
 )
 def update_fallback(spark, sf_dir):
     def shown(rows: DataFrame, name: str, found: Column) -> DataFrame:
-        return rows.filter(F.col(f"row.{envelope.MARKER_COLUMN}") == 1).select(
+        return keep_rows(rows, F.col(f"row.{envelope.MARKER_COLUMN}") == 1).select(
             F.lit(name).alias("lookup"), "pos", F.col("row.O_ORDERKEY").alias("orderkey"), found.alias("found"),
             F.col("row.O_CUSTKEY").alias("custkey"), F.col("row.O_TOTALPRICE").alias("price"),
             F.col("row.O_ORDERDATE").cast("string").alias("orderdate"),
