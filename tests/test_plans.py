@@ -1,0 +1,79 @@
+"""What the plans must look like to hold at scale."""
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import changes, decode, lookup, project
+from tidemark.operators.keep import keep_rows
+from tidemark.plans import fixtures as X
+from tidemark.plans.queries import read_users
+from tidemark.sources import events
+from tidemark.sources.catalog import ColumnSpec, TableSpec
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def stored_events(spark, home):
+    X.order_events(spark, SF).write.parquet(f"{home}/events")
+    return events.read_events(spark, f"{home}/events")
+
+
+def test_decoding_is_one_narrow_stage_with_one_parse(spark, home):
+    feed = stored_events(spark, home)
+    rows = project.project_rows(decode.decodable(decode.decode_events(feed, "oracle")), X.ORDERS)
+    text = plan(project.convertible(rows).select("pos", "row.*"))
+    assert "Exchange" not in text and "Python" not in text
+    assert text.count("parseJson") == 1
+    assert "*(2)" not in text
+
+
+def test_allow_list_and_columns_reach_the_scan(spark, home):
+    feed = stored_events(spark, home)
+    text = plan(events.allow_tables(feed, ["SALES.ORDERS"], prefix="oracle").select("pos"))
+    assert "EqualTo(topic,oracle.SALES.ORDERS)" in text
+    assert "ReadSchema: struct<topic:string,pos:bigint>" in text
+    assert "StringStartsWith(topic,oracle.HR.)" in plan(events.allow_tables(feed, schemas=["HR"], prefix="oracle"))
+
+
+def test_few_lookup_keys_reach_the_snapshot_scan(spark, home):
+    X.order_snapshot(spark, SF).write.parquet(f"{home}/snapshot")
+    feed = stored_events(spark, home)
+    rows = project.project_rows(decode.decodable(decode.decode_events(feed, "oracle")), X.ORDERS)
+    filled = lookup.fill_from_snapshot(rows, spark.read.parquet(f"{home}/snapshot"), X.ORDERS)
+    assert "In(O_ORDERKEY" in plan(filled)
+    assert filled.filter("needs_lookup and row.O_CUSTKEY is not null").count() == sum(
+        r.O_ORDERKEY % 10 == 7 and all(r.O_ORDERKEY % d for d in (101, 97, 103))
+        for r in spark.read.parquet(f"{home}/snapshot").select("O_ORDERKEY").collect()
+    )
+
+
+def test_kept_rows_equal_filtered_rows(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "a INT")
+    assert [r.a for r in keep_rows(df, F.col("a") > 1).collect()] == [2]
+    assert keep_rows(df, F.col("a") > 1).columns == ["a"]
+
+
+def test_current_state_needs_one_shuffle(spark, home):
+    X.order_events(spark, SF)
+    spec = X.USERS
+    rows = spark.createDataFrame([], spec.landing_schema()).write.parquet(f"{home}/{X.USERS_FOLDER}") or read_users(spark, home)
+    text = plan(changes.apply_changes(rows, spec.keys))
+    assert text.count("Exchange") <= 1
+
+
+def test_wide_tables_decode(spark):
+    """Far more columns than one generated method can hold."""
+    types = [("NUMBER", 9, 0), ("NUMBER", 18, 0), ("VARCHAR2", 0, 0), ("NUMBER", 12, 2), ("DATE", 0, 0), ("TIMESTAMP(6)", 0, 0)]
+    spec = TableSpec("S", "W", tuple(ColumnSpec(f"COLUMN_{i}", *types[i % 6]) for i in range(200)), ("COLUMN_0",))
+    values = ["id", "id * 100000", "concat('text-', id)", "id / 4", "id", "id * 1000000"]
+    members = ", ".join(f"'COLUMN_{i}', {values[i % 6]}" for i in range(200))
+    feed = spark.range(50).selectExpr(
+        "'oracle.S.W' as topic", "cast(null as string) as key", "id as pos",
+        f"concat('{{\"after\":', to_json(named_struct({members})), '}}') as value",
+    )
+    rows = project.convertible(project.project_rows(decode.decodable(decode.decode_events(feed, "oracle")), spec))
+    got = rows.selectExpr("sum(row.COLUMN_198)", "max(row.COLUMN_194)", "sum(row.COLUMN_195)", "max(unix_date(row.COLUMN_196))").first()
+    assert tuple(got) == (1225, "text-9", 306.25, 49)

@@ -6,12 +6,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.envelope import MARKER_COLUMN
 from tidemark.operators.keep import keep_rows
 from tidemark.sources.catalog import TableSpec
 
 MAX_BROADCAST_KEYS = 100_000
+# Up to this many keys become a condition on the snapshot, which a database or Parquet applies itself.
+MAX_PUSHED_KEYS = 500
 # A key is hot from this many rows on, and only with at least a thousandth of all rows, so there are
 # never more than MAX_HOT_KEYS of them.
 ROWS_PER_SLICE = 100_000
@@ -33,9 +36,10 @@ def fill_from_snapshot(
     """Give each ``needs_lookup`` row the snapshot's current row for its key, if there is one.
 
     Only those rows and the snapshot rows of their keys are joined; all others pass through. The keys
-    are first reduced to distinct ones and counted. Up to ``max_broadcast_keys`` of them are broadcast,
-    so the snapshot is filtered where it lies; beyond that both sides shuffle on the key. The rows of
-    a hot key are spread over slices, and its one snapshot row is repeated for each slice.
+    are first reduced to distinct ones and counted. A few keys are pushed to the snapshot's source; up
+    to ``max_broadcast_keys`` of them are broadcast, so the snapshot is filtered where it lies; beyond
+    that both sides shuffle on the key. The rows of a hot key are spread over slices, and its one
+    snapshot row is repeated for each slice.
     """
     if snapshot is None or not spec.keys:
         return projected
@@ -52,6 +56,13 @@ def fill_from_snapshot(
         return projected
 
     fields = spec.landing_schema(marker).fields[:-1]
+    if len(names) == 1 and seen.keys <= MAX_PUSHED_KEYS:
+        key = spec.keys[0]
+        same_kind = isinstance(snapshot.schema[key].dataType, T.NumericType) == isinstance(
+            spec.landing_schema(marker)[key].dataType, T.NumericType
+        )
+        if same_kind:
+            snapshot = snapshot.filter(F.col(key).isin([r[0] for r in wanted.select(names).collect()]))
     present = set(snapshot.columns)
     found = F.struct(
         *[(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]

@@ -131,10 +131,12 @@ def read_jdbc_catalog(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Column, constraint and key-column rows of the given schemas; the database filters them."""
 
+    owners = list(owners)
+
     def load(table: str, schema: str) -> DataFrame:
         names = [f.split()[0] for f in schema.split(", ")]
         rows = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options).load()
-        return rows.filter(F.col("owner").isin(list(owners))).select(
+        return rows.filter(F.col("owner").isin(owners)).select(
             *[F.col(n).cast(f.split()[1]).alias(n) for n, f in zip(names, schema.split(", "))]
         )
 
