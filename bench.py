@@ -12,7 +12,6 @@ import sys
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators import changes, decode, lookup, project
 from tidemark.plans import fixtures as X

@@ -7,7 +7,6 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions import naming
 from tidemark.operators import decode, project
 from tidemark.plans import fixtures as X
 from tidemark.plans import landing as L
