@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import connect, difference
+from tidemark.plans.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 SLOW = {"restart_no_dup", "stream_landing"}
@@ -15,12 +16,14 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
 def test_query(spark, duck, name):
-    assert difference(spark, SF, entry.queries()[name], entry.oracle_sql()[name], duck) is None
+    assert difference(spark, SF, QUERIES[name], ORACLE[name], duck) is None
 
 
 def test_entry(spark):
