@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import piece_encoding
+from tidemark.llm import piece_encoding, token_files, warc
 from tidemark.llm.common import table
+from tidemark.session import shared_dir
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -28,3 +29,17 @@ def op6_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark)
+    token_files.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path, end=2)
+    return token_files.read_ids(spark, path)
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark)
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
