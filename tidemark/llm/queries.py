@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import piece_encoding, token_files, warc
+from tidemark.llm import piece_encoding, token_files, toxicity, warc
 from tidemark.llm.common import table
 from tidemark.session import shared_dir
 
@@ -43,3 +43,21 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark)
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def held_out(key: str = "doc_id"):
+    """Rows whose labels are not learnt from."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(~held_out()))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
