@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import piece_encoding, token_files, toxicity, warc
+from tidemark.llm import line_dedup, piece_encoding, token_files, toxicity, warc
 from tidemark.llm.common import table
 from tidemark.session import shared_dir
 
@@ -61,3 +61,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that lost lines or kept all, with the text left."""
+    return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
