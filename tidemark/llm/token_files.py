@@ -12,6 +12,7 @@ and the packed ids. Images are rows of a Parquet table, so Spark writes them to
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -32,7 +33,7 @@ BLOCK = 4096
 #: A shard is closed once it holds so many ids. One longer document makes a longer shard.
 SHARD_IDS = 1_000_000
 #: Words that one Python worker keeps with their ids, twice; longer words are encoded each time.
-STORED_WORDS = 300_000
+STORED_WORDS = 250_000
 LONGEST_STORED = 64
 
 
@@ -95,11 +96,16 @@ class Image:
         return self.read(int(self.starts[number]), int(self.lengths[number]))
 
 
+#: A full stop or comma behind an ASCII letter and before white space: a token boundary for every tokenizer whose
+#: words are runs of letters or of other signs.
+CLOSING = re.compile(rb"(?<=[a-z])([.,])(?=[ \t\n\r\v\f]|\Z)")
+
+
 class WordEncoder:
     """Ids of whole texts for a tokenizer that drops white space and never joins what it divides.
 
-    The words between ASCII white space are encoded by the library and kept in a bounded store, so most words
-    of a corpus are looked up. A full store gives way to a new one that takes from it what is still in use.
+    The words between ASCII white space, cut before a closing mark and in lower case, are encoded by the library
+    and kept in a bounded store, so most words of a corpus are looked up. A full store gives way to a new one that takes from it what is still in use.
     """
 
     def __init__(self, path: str):
@@ -108,9 +114,41 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
+        special = sorted((i, t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
+        self.mark = special[0] if special and not any(t.lstrip or t.rstrip for t in self.tokenizer.get_added_tokens_decoder().values()) else None
+        close = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.closes = None
+        if close:
+            self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.closes[[i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith(close)]] = True
         self.words: dict = {}
         self.older: dict = {}
 
+    def _ids(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4")
+
+    def _spaced(self, words: list[bytes]) -> dict:
+        """Words of letters in one call: each is one run, whose last id is a piece that closes a word."""
+        made = self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)
+        ids = np.array(made[0].ids, "<u4")
+        raw, ends = ids.tobytes(), (4 * np.flatnonzero(self.closes[ids]) + 4).tolist()
+        return {w: raw[s:e] for w, s, e in zip(words, [0, *ends], ends)} if len(ends) == len(words) else {}
+
+    def _marked(self, words: list[bytes]) -> dict:
+        """Many words in one call: a special token stands between them, on either side of which ids do not depend."""
+        number, text = self.mark
+        ids = self._ids(text.join([*words, b""]))
+        raw, ends = ids.tobytes(), (4 * np.flatnonzero(ids == number)).tolist()
+        if len(ends) != len(words):
+            return {}
+        starts = [0, *(e + 4 for e in ends)]
+        return {w: raw[s:e] for w, s, e in zip(words, starts, ends)}
+
+    def _words(self, text: bytes) -> list[bytes]:
+        if b"<|" in text:  # special tokens are matched as they stand, not in lower case
+            return text.split()
+        return CLOSING.sub(rb" \1", text.lower()).split()
+
     def learn(self, words: set[bytes]) -> dict:
         """Ids of words as bytes, those of the store included."""
         found, new = {}, []
@@ -119,8 +157,15 @@ class WordEncoder:
                 found[w] = ids
             else:
                 new.append(w)
-        for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            found[w] = np.array(e.ids, "<u4").tobytes()
+        letters = [w for w in new if w.decode().isalpha()] if self.closes is not None else []
+        for at in range(0, len(letters), 4096):
+            found.update(self._spaced(letters[at : at + 4096]))
+        plain = [w for w in new if w not in found and self.mark is not None and self.mark[1] not in w]
+        for at in range(0, len(plain), 4096):
+            found.update(self._marked(plain[at : at + 4096]))
+        for w in new:
+            if w not in found:
+                found[w] = self._ids(w).tobytes()
         if len(self.words) + len(found) > STORED_WORDS:
             self.older, self.words = self.words, {}
         self.words.update((w, ids) for w, ids in found.items() if len(w) <= LONGEST_STORED)
@@ -128,7 +173,7 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None], end: int | None) -> list[np.ndarray]:
         close = b"" if end is None else np.array([end], "<u4").tobytes()
-        split = [t.encode().split() if t else [] for t in texts]
+        split = [self._words(t.encode()) if t else [] for t in texts]
         known = self.words
         missing = {w for ws in split for w in ws if w not in known}
         fresh = self.learn(missing) if missing else {}
