@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, piece_encoding, token_files, toxicity, warc
+from tidemark.llm import decontamination, line_dedup, piece_encoding, token_files, toxicity, warc
 from tidemark.llm.common import table
 from tidemark.session import shared_dir
 
@@ -67,3 +67,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that lost lines or kept all, with the text left."""
     return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
