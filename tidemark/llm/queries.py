@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, license_scan, line_dedup, piece_encoding, token_files, toxicity, warc
+from tidemark.llm import decontamination, fingerprints, license_scan, line_dedup, piece_encoding, token_files, toxicity, warc
 from tidemark.llm.common import table
 from tidemark.session import shared_dir
 
@@ -77,3 +77,17 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fingerprints.with_edits(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.printed(F.col("anchors")).alias("fingerprint"),
+        fingerprints.printed(F.col("edited_anchors")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("anchors"), F.col("edited_anchors")).alias("near_edited"),
+        fingerprints.likeness(F.col("anchors"), F.col("next_anchors")).alias("near_next"),
+    )
