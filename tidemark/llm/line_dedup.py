@@ -196,10 +196,10 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     well. Rows with equal ids count as one document: their equal lines at equal places stay.
     Only ``doc_id`` and ``text`` are read, other columns pass.
     """
-    gone = stored(repeated_lines(docs)).withColumnRenamed("doc_id", "gone_id")
-    size = gone.agg(F.count("*").alias("n"), F.sum(F.size("gone")).alias("lines")).first()
+    gone = stored(repeated_lines(docs)).select(F.col("doc_id").alias("__gone_id"), F.col("gone").alias("__gone"))
+    size = gone.agg(F.count("*").alias("n"), F.sum(F.size("__gone")).alias("lines")).first()
     gone = by_size(gone, size.n + (size.lines or 0), 32)
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
+    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone_id")), "left")
 
     @F.pandas_udf("text string, n_lines long, n_dropped long")
     def without(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
@@ -214,6 +214,6 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
             out.append((kept, len(split), len(drop)))
         return pd.DataFrame(out, columns=["text", "n_lines", "n_dropped"])
 
-    made = joined.withColumn("_made", without("text", "gone"))
-    columns = [F.col("_made.text").alias("text") if c == "text" else docs[c] for c in docs.columns]
-    return made.select(*columns, F.col("_made.n_lines").alias("n_lines"), F.col("_made.n_dropped").alias("n_dropped"))
+    made = joined.withColumn("__made", without("text", "__gone"))
+    columns = [F.col("__made.text").alias("text") if c == "text" else docs[c] for c in docs.columns]
+    return made.select(*columns, F.col("__made.n_lines").alias("n_lines"), F.col("__made.n_dropped").alias("n_dropped"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, fingerprints, license_scan, line_dedup, pii, piece_encoding, token_files, toxicity, warc
+from tidemark.llm import decontamination, fingerprints, license_scan, line_dedup, near_dedup, pii, piece_encoding, token_files, toxicity, warc
 from tidemark.llm.common import table
 from tidemark.session import shared_dir
 
@@ -101,3 +101,8 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
     counts = [F.size(F.filter(base, lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("found")).alias("spans"))
+
+
+@query
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.similar(table(spark, sf_dir, "documents"), percent=85)
