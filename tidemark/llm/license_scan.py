@@ -101,10 +101,19 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, key: str
     everything = sorted({w for t in templates for w in t.text.split()} | {w for p in phrases for w in p.split()})
     n_docs, frequencies = document_frequencies(docs, everything, text)
     index = build_index(templates, n_docs, frequencies)
-    wanted = sorted({e[1] for e in index} | {w for p in phrases for w in p.split()})
+    wanted = sorted({e[1] for e in index} | {p.split()[0] for p in phrases})
+    # a later word of a phrase, which may be a common one, counts only behind the word before it
+    later = sorted({w for p in phrases for w in p.split()[1:]} - set(wanted))
+    pairs = sorted({f"{a} {b}" for p in phrases for a, b in zip(p.split(), p.split()[1:]) if b in later})
 
     all_words = words(F.col("t"))
-    hit = F.transform("w", lambda w, i: F.when(F.lower(w).isin(wanted), F.struct(i.cast("long").alias("place"), F.lower(w).alias("word"))))
+
+    def kept(w: Column, i: Column) -> Column:
+        low = F.lower(w)
+        behind = low.isin(later) & F.concat_ws(" ", F.lower(F.get(F.col("w"), i - 1)), low).isin(pairs)
+        return F.when(low.isin(wanted) | behind, F.struct(i.cast("long").alias("place"), low.alias("word")))
+
+    hit = F.transform("w", kept)
     rows = docs.select(docs[key].alias("k"), docs[text].alias("t")).select("k", all_words.alias("w"))
     # the hits of a row are written once, so the numbers given to rows stay
     rows = stored(
