@@ -19,7 +19,8 @@ from tidemark.llm.common import stored
 
 #: Words are runs of letters, digits and other characters beyond ASCII; case is that of A-Z only.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Index words of a template: those of the highest inverse document frequency.
+#: Index words of a template: the half of its words, and no more than these, of the highest inverse document
+#: frequency. Common words would make hits of most of a corpus.
 RARE_WORDS = 8
 #: Words that a copy may have more or fewer than the template before two index words.
 SLACK = 4
@@ -80,7 +81,8 @@ def build_index(templates: tuple[Template, ...], n_docs: int, frequencies: dict[
     for number, template in enumerate(templates):
         split = template.text.split()
         rarity = {w: math.log((n_docs + 2) / (frequencies.get(w, 0) + 1)) for w in split}
-        rare = sorted(set(split), key=lambda w: (-rarity[w], split.index(w)))[:RARE_WORDS]
+        rare = sorted(set(split), key=lambda w: (-rarity[w], split.index(w)))
+        rare = rare[: min(RARE_WORDS, -(-len(rare) // 2))]
         places = [(i, w) for i, w in enumerate(split) if w in rare]
         total = sum(rarity[w] for _, w in places)
         index += [(number, w, i, rarity[w] / total) for i, w in places]
