@@ -106,32 +106,40 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield trees(forest)
 
 
+def _lowest(links: DataFrame) -> DataFrame:
+    """For every node the smallest of itself and its neighbours."""
+    both = links.union(links.select("b", "a"))
+    return both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+
+
+def _ordered(links: DataFrame) -> DataFrame:
+    links = links.toDF("x", "y").filter("x <> y")
+    return stored(links.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+
+
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``links`` (a, b: long) -> (node, component): the smallest node reachable.
 
-    Union-find inside each task first turns its links into trees. Rounds of pointing every node and its
-    neighbours at the smallest neighbour follow until nothing changes; each is written to the shared
-    folder. Links are only counted on the driver. Null ends are dropped, loops do no harm.
+    Union-find inside each task first turns its links into trees. Then, in turns, every node's larger neighbours
+    are pointed at the smallest of its neighbourhood, and every node and its smaller neighbours are, until only
+    stars are left. Paths halve with each round, and the links never grow in number. Each step is written to
+    the shared folder; links are only tested on the driver. Null ends are dropped, loops do no harm.
     """
     links = links.select("a", "b").filter("a is not null and b is not null and a <> b")
-    links = stored(links.mapInArrow(_forests, "a long, b long"))
+    links = _ordered(links.mapInArrow(_forests, "a long, b long"))
     for _ in range(max_rounds):
-        both = links.union(links.select("b", "a")).distinct()
-        least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        # every link (a, b) with a > b becomes (b, low(a)) and (a, low(a)): fewer and lower ends each round
-        down = both.filter("a > b").join(least, "a")
-        new = down.select(F.col("b").alias("x"), F.col("low").alias("y")).union(least.select("a", "low"))
-        new = new.filter("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-        new = stored(new)
-        # done when every node has one link and no lower end is itself linked further down
-        ends = new.groupBy("a").agg(F.count("*").alias("n"))
-        open_ends = ends.filter("n > 1").select("a").union(new.select(F.col("b").alias("a")).join(ends, "a", "left_semi"))
-        links = new
-        if open_ends.isEmpty():
-            break
-    else:
-        raise RuntimeError(f"components not settled after {max_rounds} rounds")
-    return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        # only stars: every node but the smallest of its component has one link, and the other end has none further down
+        ends = links.groupBy("a").agg(F.count("*").alias("n"))
+        deeper = links.select(F.col("b").alias("a")).join(ends, "a", "left_semi")
+        if ends.filter("n > 1").select("a").union(deeper).isEmpty():
+            return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        least = _lowest(links)
+        larger = links.join(least.select(F.col("a").alias("b"), "low"), "b").select("a", "low")
+        links = _ordered(larger)
+        least = _lowest(links)
+        smaller = links.join(least, "a").select("b", "low")
+        links = _ordered(smaller.union(least.select("a", "low")))
+    raise RuntimeError(f"components not settled after {max_rounds} rounds")
 
 
 def runs(key: str, handle: Callable[[list[dict]], list[dict]], schema: pa.Schema, limit: int = 20_000):
