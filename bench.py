@@ -84,7 +84,7 @@ def main() -> None:
         "row_image": lambda: run(project.convertible(projected()).select("pos", "row.*")),
         "update_fallback": lambda: run(filled().select("pos", "row.*")),
         "change_profile": lambda: run(changes.change_profile(decode.decodable(decode.decode_events(both, X.PREFIX)))),
-        "dedupe_changes": lambda: run(changes.dedupe_changes(doubled.unionByName(doubled), X.ORDERS.keys)),
+        "dedupe_changes": lambda: run(changes.dedupe_changes(doubled.unionByName(doubled))),
         "landing_write_1": lambda: Q.landed(spark, orders),
         "landing_write_8": lambda: Q.landed(spark, orders, max_records_per_file=max(1000, n_orders // 7)),
         "multi_table_landing": lambda: Q.landed(spark, both),

@@ -122,6 +122,12 @@ def test_replays_are_dropped_once(spark):
     assert changes.dedupe_changes(df, ["K"]).count() == 4
 
 
+def test_rows_that_only_share_key_and_position_are_no_replays(spark):
+    rows = [(None, 7, 0, "a"), (None, 7, 0, "b"), (1, 7, 0, "a"), (1, 7, 0, "b"), (1, 7, 0, "b")]
+    df = spark.createDataFrame(rows, "K INT, pos BIGINT, __rowMarker__ INT, V STRING")
+    assert changes.dedupe_changes(df, ["K"]).count() == 4
+
+
 def test_profile(spark):
     df = spark.createDataFrame([("a", 0), ("a", 2), ("a", 2), ("b", 1)], "folder STRING, marker INT")
     rows = {r.folder: (r.inserts, r.updates, r.deletes, r.changes) for r in changes.change_profile(df).collect()}

@@ -181,3 +181,59 @@ def test_hot_lookup_key_is_spread(spark):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("n", [lookup.MAX_PUSHED_KEYS - 100, lookup.MAX_PUSHED_KEYS + 100])
+def test_lookup_answers_alike_at_every_number_of_keys(spark, n):
+    """DATE keys against times of the day in the snapshot, and timestamps that differ below the millisecond."""
+    for kind, before, own in (
+        ("DATE", "id", "cast(date_from_unix_date(cast(id as int)) as timestamp) + interval 10 hours 30 minutes"),
+        ("TIMESTAMP(6)", "1700000000001000 + id * 1000000", "timestamp_micros(1700000000001789 + id * 1000000)"),
+    ):
+        spec = TableSpec("S", "T", (ColumnSpec("A", kind), ColumnSpec("B", "VARCHAR2")), ("A",))
+        feed = spark.range(n).selectExpr(
+            "'oracle.S.T' as topic", "cast(null as string) as key", "id as pos",
+            f"""concat('{{"op":"u","before":{{"A":', {before}, '}},"after":null}}') as value""",
+        )
+        rows = project.project_rows(decode.decodable(decode.decode_events(feed, "oracle")), spec)
+        filled = lookup.fill_from_snapshot(rows, spark.range(n).selectExpr(f"{own} as A", "'found' as B"), spec)
+        assert filled.filter("row.B = 'found'").count() == n
+
+
+def test_a_snapshot_value_that_does_not_fit_refuses_its_row(spark):
+    spec = TableSpec("S", "T", (ColumnSpec("A", "NUMBER", 5), ColumnSpec("B", "NUMBER", 9)), ("A",))
+    values = ['{"op":"u","before":{"A":1},"after":null}', '{"op":"u","before":{"A":2},"after":null}']
+    decoded = decode.decodable(decode.decode_events(events(spark, *[(None, v) for v in values]), "oracle"))
+    snapshot = spark.createDataFrame([(1, 5_000_000_000), (2, 5)], "A BIGINT, B BIGINT")
+    filled = lookup.fill_from_snapshot(project.project_rows(decoded, spec), snapshot, spec).orderBy("pos").collect()
+    assert [(r["row"].A, r["row"].B, r.bad_columns) for r in filled] == [(1, None, "B"), (2, 5, "")]
+
+
+def test_conditions_pushed_to_the_snapshot_never_lose_a_match(spark):
+    from datetime import date
+    from decimal import Decimal
+
+    from pyspark.sql import types as T
+
+    cases = [
+        ([Decimal("2.9"), Decimal("-2.9"), Decimal("3.0")], T.DecimalType(9, 1), T.IntegerType(), [2, -2]),
+        ([2.5, 7.0, -0.5], T.DoubleType(), T.LongType(), [2, 0]),
+        (["a", "b "], T.StringType(), T.StringType(), ["a"]),
+        ([date(2024, 1, 1), date(2024, 1, 2)], T.DateType(), T.DateType(), [date(2024, 1, 2)]),
+    ]
+    for data, own, target, wanted in cases:
+        df = spark.createDataFrame([(x,) for x in data], T.StructType([T.StructField("c", own)]))
+        condition = lookup.may_equal(F.col("c"), own, target, wanted)
+        typed = lookup.typed(F.col("c"), target).isin(wanted)
+        assert condition is not None
+        assert df.filter(typed & ~condition).count() == 0 and df.filter(typed).count() > 0
+
+
+def test_booleans_and_non_finite_numbers_are_refused(spark):
+    spec = TableSpec("S", "T", (ColumnSpec("A", "NUMBER", 5), ColumnSpec("D", "DATE"), ColumnSpec("X", "NUMBER"), ColumnSpec("T", "VARCHAR2")))
+    values = ['{"A":true,"D":false,"X":true,"T":true}', '{"A":1,"D":0,"X":"NaN"}', '{"A":0,"X":1e999}', '{"A":1,"D":1,"X":0,"T":"1"}']
+    decoded = decode.decodable(decode.decode_events(events(spark, *[(None, f'{{"after":{v}}}') for v in values]), "oracle"))
+    rows = project.project_rows(decoded, spec).orderBy("pos").collect()
+    assert [r.bad_columns for r in rows][:2] == ["A, D, X", "X"]
+    assert rows[2].bad_columns in ("X",) and rows[3].bad_columns == ""
+    assert (rows[3]["row"].A, rows[3]["row"].X, rows[3]["row"].T) == (1, 0.0, "1")

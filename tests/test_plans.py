@@ -50,6 +50,31 @@ def test_few_lookup_keys_reach_the_snapshot_scan(spark, home):
     )
 
 
+def test_events_of_unknown_tables_are_not_moved(spark, home):
+    from tidemark.operators import resolve
+
+    feed = stored_events(spark, home)
+    known = spark.createDataFrame([("A.B",)], "catalog_name STRING")
+    decoded = decode.decodable(decode.decode_events(feed, "oracle"))
+    found = resolve.unknown_tables(decoded, known)
+    assert "Exchange" not in plan(found)
+    assert found.count() == decoded.count()
+
+
+def test_composite_lookup_keys_reach_the_snapshot_scan(spark, home):
+    spec = TableSpec("S", "T", (ColumnSpec("A", "NUMBER", 5), ColumnSpec("B", "VARCHAR2"), ColumnSpec("C", "NUMBER", 5)), ("A", "B"))
+    spark.range(50).selectExpr("cast(id as int) as A", "concat('b', id) as B", "cast(id as int) as C").write.parquet(f"{home}/snapshot")
+    feed = spark.range(3).selectExpr(
+        "'oracle.S.T' as topic", "cast(null as string) as key", "id as pos",
+        """concat('{"op":"u","before":{"A":', id, ',"B":"b', id, '"},"after":null}') as value""",
+    )
+    rows = project.project_rows(decode.decodable(decode.decode_events(feed, "oracle")), spec)
+    filled = lookup.fill_from_snapshot(rows, spark.read.parquet(f"{home}/snapshot"), spec)
+    text = plan(filled)
+    assert "In(A, [0,1,2])" in text and "In(B, [b0,b1,b2])" in text and "Exchange hashpartitioning(row" not in text
+    assert filled.filter("row.C is not null").count() == 3
+
+
 def test_kept_rows_equal_filtered_rows(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "a INT")
     assert [r.a for r in keep_rows(df, F.col("a") > 1).collect()] == [2]

@@ -79,20 +79,20 @@ def change(op, key, **values):
     return (op, None, row) if op in "cru" else (op, row, None)
 
 
-def test_demo_change_script(spark, home):
+def test_change_script(spark, home):
     employees = [
-        change("c", ("EMPLOYEE_ID", 300), LAST_NAME="TestUser", SALARY=75000.0, DEPARTMENT_ID=60),
-        change("c", ("EMPLOYEE_ID", 301), LAST_NAME="TestUser", SALARY=62000.0, DEPARTMENT_ID=80),
-        change("u", ("EMPLOYEE_ID", 300), LAST_NAME="TestUser", SALARY=99000.0, DEPARTMENT_ID=60),
-        change("u", ("EMPLOYEE_ID", 301), LAST_NAME="TestUser", SALARY=70000.0, DEPARTMENT_ID=80),
-        change("d", ("EMPLOYEE_ID", 301), LAST_NAME="TestUser", SALARY=70000.0, DEPARTMENT_ID=80),
+        change("c", ("EMPLOYEE_ID", 8), LAST_NAME="Ito", SALARY=10.5, DEPARTMENT_ID=2),
+        change("c", ("EMPLOYEE_ID", 9), LAST_NAME="Ito", SALARY=20.5, DEPARTMENT_ID=3),
+        change("u", ("EMPLOYEE_ID", 8), LAST_NAME="Ito", SALARY=11.5, DEPARTMENT_ID=2),
+        change("u", ("EMPLOYEE_ID", 9), LAST_NAME="Ito", SALARY=21.5, DEPARTMENT_ID=3),
+        change("d", ("EMPLOYEE_ID", 9), LAST_NAME="Ito", SALARY=21.5, DEPARTMENT_ID=3),
     ]
-    departments = [change("c", ("DEPARTMENT_ID", 280), DEPARTMENT_NAME="Data Engineering", MANAGER_ID=None, LOCATION_ID=1700)]
+    departments = [change("c", ("DEPARTMENT_ID", 4), DEPARTMENT_NAME="Harbour", MANAGER_ID=None, LOCATION_ID=77)]
     projects = [
-        change("r", ("PROJECT_ID", 1), PROJECT_NAME="Data Platform", BUDGET=500000),
-        change("r", ("PROJECT_ID", 2), PROJECT_NAME="Cloud Migration", BUDGET=750000),
-        change("c", ("PROJECT_ID", 3), PROJECT_NAME="AI Initiative", BUDGET=1200000),
-        change("u", ("PROJECT_ID", 1), PROJECT_NAME="Data Platform", BUDGET=600000),
+        change("r", ("PROJECT_ID", 1), PROJECT_NAME="Bridge", BUDGET=50),
+        change("r", ("PROJECT_ID", 2), PROJECT_NAME="Tunnel", BUDGET=75),
+        change("c", ("PROJECT_ID", 3), PROJECT_NAME="Quay", BUDGET=120),
+        change("u", ("PROJECT_ID", 1), PROJECT_NAME="Bridge", BUDGET=60),
         change("d", ("PROJECT_ID", 2)),
     ]
     target = sink(home, EMPLOYEES, DEPARTMENTS, PROJECTS)
@@ -109,9 +109,9 @@ def test_demo_change_script(spark, home):
         rows = read_landing(spark, target.options.base, f"HR.schema/{spec.table}", spec)
         return rows.count(), [tuple(r) for r in apply_changes(rows, spec.keys).select(*spec.keys, spec.columns[-1 if spec is DEPARTMENTS else 2].name).orderBy(*spec.keys).collect()]
 
-    assert state(EMPLOYEES) == (5, [(300, "TestUser")])
-    assert state(DEPARTMENTS) == (1, [(280, 1700)])
-    assert state(PROJECTS) == (5, [(1, 600000.0), (3, 1200000.0)])
+    assert state(EMPLOYEES) == (5, [(8, "Ito")])
+    assert state(DEPARTMENTS) == (1, [(4, 77)])
+    assert state(PROJECTS) == (5, [(1, 60.0), (3, 120.0)])
 
 
 def test_an_added_column_needs_no_restart(spark, home):

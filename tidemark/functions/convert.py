@@ -79,6 +79,14 @@ def landing_type_column(data_type: Column, precision: Column, scale: Column) ->
 WIRE_TYPES = {"date": "bigint", "timestamp": "bigint", "float": "double", "binary": "string"}
 
 
+NUMERIC_WIRE_TYPES = ("int", "bigint", "double")
+
+
+def is_finite(number: Column) -> Column:
+    """False for NaN and the infinities, which JSON has no numbers for; NULL for NULL."""
+    return F.abs(number) < float("inf")
+
+
 def wire_type(target: str) -> str:
     return WIRE_TYPES.get(target, target)
 

@@ -54,11 +54,13 @@ def keyless_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     return changes.filter(_any_null(keys))
 
 
-def dedupe_changes(
-    changes: DataFrame, keys: Sequence[str], marker: str = MARKER_COLUMN, position: Sequence[str] = ("pos",)
-) -> DataFrame:
-    """Drop exact replays: same key, marker and position."""
-    return changes.dropDuplicates([*keys, marker, *position])
+def dedupe_changes(changes: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Drop exact replays: rows equal in key, position and every other column.
+
+    Rows that share key and position but differ are different changes: offsets repeat across partitions,
+    and rows without a key share a NULL one. All columns are grouping columns, so nothing is sorted.
+    """
+    return changes.dropDuplicates([*keys, *(c for c in changes.columns if c not in keys)])
 
 
 def change_profile(changes: DataFrame, by: str = "folder", marker: str = "marker") -> DataFrame:

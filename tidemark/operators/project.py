@@ -30,7 +30,8 @@ def project_rows(
     current row. Without ``lookup_updates`` they keep their empty image.
 
     All columns are read from the document in one pass. Rows with a NULL are read once more to tell a
-    missing value from an unconvertible one, rows with numbers in text columns to print them.
+    missing value from an unconvertible one, rows with numbers in text columns to print them, rows with a
+    0 or 1 in a numeric column to refuse booleans.
     """
     rows = decoded
     for step in _steps(spec, units, marker, lookup_updates):
@@ -67,8 +68,22 @@ def _steps(spec: TableSpec, units: C.Units, marker: str, lookup_updates: bool) -
     # Of these, only values changed after reading can be lost after reading.
     fits = {n: (C.finish(read[n], t, units) if t in C.WIRE_TYPES else read[n]).isNotNull() for n, t in columns}
     held = F.when(~reduce(and_, fits.values()), image("map<string,string>"))
-    unread = [F.when(~fits[n] & F.try_element_at("held", F.lit(n)).isNotNull(), F.lit(n)) for n, _ in columns]
-    bad = F.when(F.col("held").isNull(), F.lit("")).otherwise(F.concat_ws(", ", *unread))
+    # A boolean reads as the number 0 or 1, so only such rows are read once more.
+    numbers = [n for n, t in columns if C.wire_type(t) in C.NUMERIC_WIRE_TYPES]
+    odd = reduce(or_, (read[n].isin(0, 1) for n in numbers), F.lit(False))
+    kinds = F.when(odd, image(_struct((n, "variant") for n in numbers))) if numbers else F.lit(None)
+
+    def refused(name: str, target: str) -> Column:
+        if name not in numbers:
+            return F.lit(False)
+        boolean = F.schema_of_variant(F.col("kinds").getField(name)) == "BOOLEAN"
+        infinite = ~C.is_finite(read[name]) if C.wire_type(target) == "double" else F.lit(False)
+        return F.coalesce(boolean | infinite, infinite, F.lit(False))
+
+    wrong = {n: refused(n, t) for n, t in columns}
+    unread = [F.when((~fits[n] & F.try_element_at("held", F.lit(n)).isNotNull()) | wrong[n], F.lit(n)) for n, _ in columns]
+    clean = F.col("held").isNull() & ~reduce(or_, wrong.values())
+    bad = F.when(clean, F.lit("")).otherwise(F.concat_ws(", ", *unread))
 
     as_value = F.lit(None)
     if texts:
@@ -84,7 +99,7 @@ def _steps(spec: TableSpec, units: C.Units, marker: str, lookup_updates: bool) -
     row = F.struct(*[landed(n, t) for n, t in columns], F.coalesce("marker", F.lit(E.INSERT)).alias(marker))
     return [
         *steps,
-        ["pos", "topic", "op", "marker", "root", "needs_lookup", "wire", held.alias("held"), as_value.alias("as_value")],
+        ["pos", "topic", "op", "marker", "root", "needs_lookup", "wire", held.alias("held"), as_value.alias("as_value"), kinds.alias("kinds")],
         ["pos", "topic", row.alias("row"), "needs_lookup", bad.alias("bad_columns"), "op", "root"],
     ]
 

@@ -56,8 +56,5 @@ class Files:
         if not self._fs.rename(self._path(source), self._path(target)):
             raise OSError(f"could not rename {source} to {target}")
 
-    def make_folder(self, path: str) -> None:
-        self._fs.mkdirs(self._path(path))
-
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)

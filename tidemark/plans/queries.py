@@ -397,6 +397,61 @@ def update_fallback(spark, sf_dir):
     plain = projected_orders(spark, sf_dir, lookup_updates=False)
     return shown(filled, "on", found).unionByName(shown(plain, "off", F.lit(0)))
 
+@query(
+    """select l.k, case when s.d is not null then 1 else 0 end as filled
+    from (select o_orderkey as k, cast(o_orderdate as date) as d from orders) l
+    left join (select distinct cast(o_orderdate as date) as d from orders where o_custkey % 2 = 0) s on l.d = s.d"""
+)
+def lookup_date_key(spark, sf_dir):
+    """A DATE key against a snapshot that holds times of the day, below and above the count of pushed keys."""
+    spec = catalog.TableSpec("S", "D", (catalog.ColumnSpec("D", "DATE", 0, 0, False, 1), catalog.ColumnSpec("K", "NUMBER", 18, 0, True, 2), catalog.ColumnSpec("N", "VARCHAR2", 0, 0, True, 3)), ("D",))
+    orders = X.table(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
+    feed = orders.selectExpr(
+        "'oracle.S.D' as topic", "cast(null as string) as key", "o_orderkey as pos",
+        """concat('{"op":"u","before":{"D":', unix_date(day), ',"K":', o_orderkey, '},"after":null}') as value""",
+    )
+    snapshot = orders.filter("o_custkey % 2 = 0").selectExpr(
+        "cast(day as timestamp) + interval 10 hours 30 minutes as D", "-1 as K", "'found' as N"
+    )
+    decoded = decode.decodable(decode.decode_events(feed, X.PREFIX))
+    filled = lookup.fill_from_snapshot(project.project_rows(decoded, spec), snapshot, spec)
+    return filled.select(F.col("pos").alias("k"), F.col("row.N").isNotNull().cast("int").alias("filled"))
+
+
+@query(
+    """select o_orderkey as k, case when o_custkey % 2 = 0 then o_totalprice end as price from orders"""
+)
+def lookup_composite_key(spark, sf_dir):
+    """Two key columns, a number kept as DECIMAL in the snapshot and a text."""
+    columns = (("A", "NUMBER", 18, 0), ("B", "VARCHAR2", 0, 0), ("P", "NUMBER", 12, 2))
+    spec = catalog.TableSpec("S", "C", tuple(catalog.ColumnSpec(*c, True, i) for i, c in enumerate(columns)), ("A", "B"))
+    orders = X.table(spark, sf_dir, "orders")
+    feed = orders.selectExpr(
+        "'oracle.S.C' as topic", "cast(null as string) as key", "o_orderkey as pos",
+        """concat('{"op":"u","before":{"A":', o_orderkey, ',"B":"', o_orderstatus, '"},"after":null}') as value""",
+    )
+    snapshot = orders.filter("o_custkey % 2 = 0").selectExpr(
+        "cast(o_orderkey as decimal(20,0)) as A", "o_orderstatus as B", "o_totalprice as P"
+    )
+    decoded = decode.decodable(decode.decode_events(feed, X.PREFIX))
+    filled = lookup.fill_from_snapshot(project.project_rows(decoded, spec), snapshot, spec)
+    return filled.select(F.col("pos").alias("k"), F.col("row.P").alias("price"))
+
+
+@query("select o_orderkey as k, case when o_custkey % 2 = 0 then 'N' else '' end as bad_columns from orders")
+def lookup_refused(spark, sf_dir):
+    """A snapshot value that does not fit its column refuses the rows that look it up, and nothing else."""
+    spec = catalog.TableSpec("S", "R", (catalog.ColumnSpec("K", "NUMBER", 18, 0, False, 1), catalog.ColumnSpec("N", "NUMBER", 9, 0, True, 2)), ("K",))
+    orders = X.table(spark, sf_dir, "orders")
+    feed = orders.selectExpr(
+        "'oracle.S.R' as topic", "cast(null as string) as key", "o_orderkey as pos",
+        """concat('{"op":"u","before":{"K":', o_orderkey, '},"after":null}') as value""",
+    )
+    snapshot = orders.selectExpr("o_orderkey as K", "if(o_custkey % 2 = 0, 5000000000L, 7L) as N")
+    decoded = decode.decodable(decode.decode_events(feed, X.PREFIX))
+    filled = lookup.fill_from_snapshot(project.project_rows(decoded, spec), snapshot, spec)
+    return filled.select(F.col("pos").alias("k"), "bad_columns")
+
 
 @query(
     """select k, case k % 4 when 0 then k + 1 when 1 then k when 3 then k end as orderkey, 0 as row_marker
@@ -594,6 +649,28 @@ def cast_number(spark, sf_dir):
     )
 
 
+@query(
+    """select l_orderkey as k, l_linenumber as n, case l_linenumber % 5 when 0 then 'I, L, D, T, F, B' when 1 then 'D, F, B'
+    when 2 then 'D' else '' end as bad_columns, count(*) as rows from lineitem group by all"""
+)
+def refused_numbers(spark, sf_dir):
+    """Booleans and values without a finite number are refused by column name; numbers as text are not."""
+    columns = (("K", "NUMBER", 18, 0), ("I", "NUMBER", 9, 0), ("L", "NUMBER", 18, 0), ("D", "NUMBER", 0, 0), ("T", "DATE", 0, 0), ("F", "FLOAT", 0, 0), ("B", "BINARY_DOUBLE", 0, 0))
+    spec = catalog.TableSpec("S", "N", tuple(catalog.ColumnSpec(*c, True, i) for i, c in enumerate(columns)), ("K",))
+    values = """case l_linenumber % 5
+        when 0 then '"I":true,"L":false,"D":true,"T":true,"F":false,"B":true'
+        when 1 then '"I":1,"L":0,"D":"NaN","T":1,"F":"NaN","B":"-Infinity"'
+        when 2 then '"I":"1","L":"0","D":"Infinity","T":0,"F":1,"B":0.0'
+        else '"I":0,"L":1,"D":"1.5","T":19800,"F":"0","B":1' end"""
+    feed = X.table(spark, sf_dir, "lineitem").selectExpr(
+        "'oracle.S.N' as topic", "cast(null as string) as key", "l_orderkey * 10 + l_linenumber as pos",
+        f"""concat('{{"after":{{"K":', l_orderkey, ',', {values}, '}}}}') as value""",
+    )
+    rows = project.project_rows(decode.decodable(decode.decode_events(feed, X.PREFIX)), spec)
+    number = F.col("pos") % 10
+    return rows.groupBy(((F.col("pos") - number) / 10).cast("long").alias("k"), number.alias("n"), "bad_columns").agg(F.count("*").alias("rows"))
+
+
 @query("select l_orderkey as orderkey, cast(cast(l_tax as float) as double) as tax from lineitem")
 def cast_float(spark, sf_dir):
     rows = line_values(spark, sf_dir, "l_tax")
@@ -720,7 +797,7 @@ def change_profile(spark, sf_dir):
 def dedupe_changes(spark, sf_dir):
     rows = project.convertible(projected_orders(spark, sf_dir)).select("pos", "row.*")
     replayed = rows.unionByName(rows)
-    return changes.dedupe_changes(replayed, X.ORDERS.keys).select("pos", *order_columns())
+    return changes.dedupe_changes(replayed).select("pos", *order_columns())
 
 
 # --- landing -----------------------------------------------------------------------------------
@@ -960,3 +1037,38 @@ def apply_changes_incremental(spark, sf_dir):
     sink(feed.filter(late), 1)
     since = landing.read_landing(spark, base, X.USERS_FOLDER, X.USERS, after_sequence=1)
     return user_state(changes.apply_changes(since, X.USERS.keys, first))
+
+
+@query("select o_orderkey as k, 1 as row_marker from orders where o_orderkey % 3 = 0")
+def keyless_changes(spark, sf_dir):
+    """Changes that no current row can be found for are handed on, not dropped unseen."""
+    rows = X.table(spark, sf_dir, "orders").selectExpr("if(o_orderkey % 3 = 0, null, o_orderkey) as K", "o_orderkey as k2", "1 as m")
+    return changes.keyless_changes(rows, ["K"]).select(F.col("k2").alias("k"), F.col("m").alias("row_marker"))
+
+
+@query(USER_CHANGES + "select user_id, pos as event_id, row_marker from r")
+def batch_twice(spark, sf_dir):
+    """Two batches under numbers of their own: all rows of both land; a batch given again changes nothing."""
+    sink, feed = new_sink(spark), X.user_events(spark, sf_dir)
+    early = F.col("pos") % 3 == 0
+    sink.land_batch(feed.filter(early))
+    sink.land_batch(feed.filter(~early))
+    sink(feed.filter(~early), "own-1")
+    rows = read_users(spark, sink.options.base)
+    return rows.select(F.col("USER_ID").alias("user_id"), F.col("EVENT_ID").alias("event_id"), F.col(envelope.MARKER_COLUMN).alias("row_marker"))
+
+
+@query(USER_CHANGES + "select user_id, pos as event_id, row_marker from r")
+def quarantine_replay(spark, sf_dir):
+    """A table enters the catalog after its events: what was put aside lands once, and before later events."""
+    known: dict = {}
+    sink = replace(new_sink(spark), catalog=lambda: known)
+    feed = X.user_events(spark, sf_dir)
+    early = F.col("pos") % 10 < 5
+    sink.land_batch(feed.filter(early))
+    known[X.USERS.name] = X.USERS
+    for _ in range(2):
+        sink.replay_unknown(spark)
+    sink.land_batch(feed.filter(~early))
+    rows = read_users(spark, sink.options.base)
+    return rows.select(F.col("USER_ID").alias("user_id"), F.col("EVENT_ID").alias("event_id"), F.col(envelope.MARKER_COLUMN).alias("row_marker"))

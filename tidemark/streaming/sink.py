@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,19 +17,22 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.decode import decode_events, document_text, refused
 from tidemark.operators.lookup import fill_from_snapshot
 from tidemark.operators.project import project_rows
-from tidemark.operators.resolve import UNKNOWN_TABLE
+from tidemark.operators.resolve import UNKNOWN_TABLE, events_of
 from tidemark.plans.files import Files
 from tidemark.plans.landing import QUARANTINE, LandingOptions, Unit, land_table
 from tidemark.session import prepare
 from tidemark.sources.catalog import Catalog, TableSpec
 
-KEPT_BATCHES = 100
 TRIGGER_SECONDS = 10
 
 
+class BatchMismatch(ValueError):
+    """A batch number is used again for other events; landing them under it would lose them."""
+
+
 @dataclass
 class LandingSink:
-    """Lands micro-batches under ``options.base``; give it to ``foreachBatch`` or call it on a batch.
+    """Lands micro-batches under ``options.base``; give it to ``foreachBatch``, or use :meth:`land_batch`.
 
     ``checkpoint`` is the stream's own checkpoint folder: what a repeated batch must not decide anew
     (catalog, sequence numbers) is kept beside it. One stream owns one base folder.
@@ -45,7 +49,12 @@ class LandingSink:
     parallel_tables: int = 4
     on_step: Callable[[str, str], None] = lambda step, folder: None
 
-    def __call__(self, events: DataFrame, batch_id: int) -> None:
+    def __call__(self, events: DataFrame, batch_id: int | str) -> dict[str, dict]:
+        """Land one batch; returns each table's manifest with its files and their row counts.
+
+        A number belongs to the events it was first used for: the same events again finish or change
+        nothing, other events raise :class:`BatchMismatch`.
+        """
         spark = prepare(events.sparkSession)
         state = Files(spark, self.checkpoint)
         root = f"{self.checkpoint}/landing"
@@ -56,6 +65,7 @@ class LandingSink:
         )
         try:
             counts = _counts(decoded)
+            _bind(state, f"{batch_dir}/input.json", counts, batch_id)
             self.on_step("decoded", "")
             specs = _frozen_specs(state, f"{batch_dir}/catalog.json", [c.folder for c in counts], self.catalog)
             self._quarantine(decoded, counts, specs, batch)
@@ -69,9 +79,51 @@ class LandingSink:
             errors = [e for e in (j.exception() for j in jobs) if e]
             if errors:
                 raise ExceptionGroup(f"batch {batch_id}: {len(errors)} of {len(jobs)} tables failed", errors)
+            return {c.folder: j.result() for c, j in zip(known, jobs)}
         finally:
             decoded.unpersist()
-        state.delete(f"{root}/{batch_id - KEPT_BATCHES}")
+
+    def land_batch(self, events: DataFrame) -> dict[str, dict]:
+        """Land ``events`` under the next number of their own, apart from the stream's.
+
+        The number moves on once all tables have landed, so after a failure the same events are given again.
+        """
+        state = Files(events.sparkSession, self.checkpoint)
+        path = f"{self.checkpoint}/landing/next_batch.txt"
+        number = int(state.read_text(path) or 0)
+        landed = self(events, f"own-{number}")
+        state.write_text(path, str(number + 1))
+        return landed
+
+    def replay_unknown(self, spark: SparkSession) -> dict[str, dict]:
+        """Land quarantined events of tables that the catalog has by now, each once.
+
+        To keep their order they must be replayed before later events of their tables land. What is replayed is
+        written down first, so a repeated call after a failure finishes the same batch.
+        """
+        prepare(spark)
+        state, root = Files(spark, self.checkpoint), f"{self.checkpoint}/landing"
+        plan_path, done_path = f"{root}/replaying.json", f"{root}/replayed.json"
+        done = json.loads(state.read_text(done_path) or "[]")
+        held = _quarantined(spark, f"{self.options.base}/{QUARANTINE}")
+        if held is None:
+            return {}
+        text = state.read_text(plan_path)
+        if text is None:
+            specs = self.catalog()
+            pairs = [[r.folder, r.batch] for r in held.select("folder", "batch").distinct().collect()]
+            pairs = sorted(p for p in pairs if p not in done and _catalog_name(p[0]) in specs)
+            if not pairs:
+                return {}
+            text = json.dumps({"batch": f"replay-{len(done)}", "pairs": pairs})
+            state.write_text_once(plan_path, text)
+        plan = json.loads(text)
+        wanted = spark.createDataFrame([tuple(p) for p in plan["pairs"]], "folder STRING, batch STRING")
+        events = held.join(F.broadcast(wanted), ["folder", "batch"], "left_semi")  # one row per table and batch
+        landed = self(events.select("topic", "key", "value", "pos"), plan["batch"])
+        state.write_text(done_path, json.dumps(done + [p for p in plan["pairs"] if p not in done]))
+        state.delete(plan_path)
+        return landed
 
     def _land(self, decoded: DataFrame, count, spec: TableSpec, unit: Unit) -> dict:
         options = self.options
@@ -86,8 +138,8 @@ class LandingSink:
         unknown = [c.folder for c in counts if c.folder not in specs]
         if not any(c.bad or c.folder in unknown for c in counts):
             return
-        homeless = decoded.filter(F.col("reason").isNull() & F.col("folder").isin(unknown)).select(
-            "pos", "topic", "folder", F.lit(UNKNOWN_TABLE).alias("reason"), "marker", *document_text()
+        homeless = events_of(decoded.filter(F.col("reason").isNull()), unknown).select(
+            "pos", "topic", "folder", "reason", "marker", *document_text()
         )
         target = f"{self.options.base}/{QUARANTINE}/{batch}/undecoded"
         refused(decoded).unionByName(homeless).write.mode("overwrite").parquet(target)
@@ -115,11 +167,34 @@ def _counts(decoded: DataFrame) -> list:
             F.count_if(good).alias("good"),
             F.count_if(~good).alias("bad"),
             F.count_if(good & (F.col("op") == "u")).alias("updates"),
+            F.bit_xor(F.xxhash64("topic", "pos", "marker", "op")).alias("fingerprint"),
         )
         .collect()
     )
 
 
+def _bind(state: Files, path: str, counts: list, batch_id: int | str) -> None:
+    """Bind a batch number to its events: counts and a hash of positions and operations, per table."""
+    seen = sorted([c.folder or "", c.good, c.bad, c.fingerprint] for c in counts)
+    text = state.read_text(path)
+    if text is None:
+        state.write_text_once(path, json.dumps(seen))
+    elif json.loads(text) != seen:
+        raise BatchMismatch(f"batch {batch_id} has landed other events before")
+
+
+def _quarantined(spark: SparkSession, folder: str) -> DataFrame | None:
+    """Events of unknown tables with the batch that put them aside; None where nothing was."""
+    try:
+        rows = spark.read.parquet(f"{folder}/run=*/batch=*/undecoded")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    batch = F.regexp_extract("_metadata.file_path", "(run=[^/]+/batch=[^/]+)/undecoded/", 1)
+    return rows.filter(F.col("reason") == UNKNOWN_TABLE).withColumn("batch", batch)
+
+
 def _run_id(state: Files, root: str) -> str:
     """Identity of the checkpoint: a new one starts its batch numbers over."""
     path = f"{root}/run.txt"
