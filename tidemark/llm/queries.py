@@ -99,8 +99,8 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(docs, pii.train(docs))
     base = F.filter("found", lambda s: s.base)
     written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
-    counts = [F.size(F.filter(base, lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
-    return found.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("found")).alias("spans"))
+    count = lambda kind: F.size(F.filter(base, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(written(base), 256).alias("base_sha256"), written(F.col("found")).alias("spans"))
 
 
 @query
