@@ -34,7 +34,7 @@ CLUSTER = 400
 CENTRES = 8
 #: Shingles of a comparison that are counted at a time.
 COLUMNS = 8192
-STORED_WORDS = 400_000
+STORED_WORDS = 200_000
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SKETCH = "doc_id long, n_shingles long, low long, high long, bands array<long>"

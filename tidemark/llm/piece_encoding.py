@@ -27,8 +27,8 @@ SPACE = "▁"
 MARKS = "\n.,!?;:|"
 #: Words and pairs that one Python worker keeps, words twice: a full store gives way to a new one that takes
 #: from it what is still in use.
-STORED_WORDS = 300_000
-STORED_PAIRS = 500_000
+STORED_WORDS = 150_000
+STORED_PAIRS = 200_000
 #: Longer words are encoded each time.
 LONGEST_STORED = 64
 # Fixed values of the model format: kinds of pieces.
