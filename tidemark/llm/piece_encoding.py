@@ -60,6 +60,18 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
             at += size
 
 
+def _utf8(data: bytes) -> str:
+    """Text of the bytes, with U+FFFD for every single byte that is not part of a character."""
+    out = []
+    while data:
+        try:
+            return "".join(out) + data.decode()
+        except UnicodeDecodeError as error:
+            out.append(data[: error.start].decode() + "\ufffd")
+            data = data[error.start + 1 :]
+    return "".join(out)
+
+
 class PieceModel:
     """A BPE model with byte fallback and no normalisation beyond marking spaces."""
 
@@ -193,14 +205,14 @@ class PieceModel:
                 held.append(self.byte_of[i])
                 continue
             if held:
-                out.append(held.decode("utf-8", "replace"))
+                out.append(_utf8(bytes(held)))
                 held = bytearray()
             if self.kinds[i] == NORMAL:
                 out.append(self.pieces[i])
             elif self.kinds[i] == UNKNOWN:
                 out.append(" ⁇ ")  # fixed value: how the library prints an unknown piece
         if held:
-            out.append(held.decode("utf-8", "replace"))
+            out.append(_utf8(bytes(held)))
         return "".join(out).replace(SPACE, " ")
 
     def unit(self, unit: str) -> tuple[bytes, str]:

@@ -10,6 +10,7 @@ overlap are averaged, and one Viterbi path is decoded over the whole stretch the
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -205,24 +206,31 @@ def _gradient(net: Network, x: np.ndarray, tags: np.ndarray) -> dict[str, np.nda
     return g
 
 
+#: Steps of training at least, so that small samples are gone over more often.
+LEAST_STEPS = 400
+
+
 def fit(windows: np.ndarray, tags: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.02, seed: int = 7) -> Network:
     """Train on windows and tags (windows, WINDOW) with Adam; the same input gives the same network."""
     net, rng = Network.fresh(seed), np.random.default_rng(seed)
     mean = {k: np.zeros_like(v) for k, v in net.weights.items()}
     square = {k: np.zeros_like(v) for k, v in net.weights.items()}
-    step = 0
-    for epoch in range(epochs):
-        order = rng.permutation(len(windows))
-        for at in range(0, len(order), batch):
-            part, step = order[at : at + batch], step + 1
-            g = _gradient(net, windows[part].T, tags[part].T)
-            size = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
-            for k, v in g.items():
-                v = v * min(1.0, 5.0 / max(size, 1e-9))
-                mean[k] = 0.9 * mean[k] + 0.1 * v
-                square[k] = 0.99 * square[k] + 0.01 * v * v
-                shift = mean[k] / (1 - 0.9**step) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-6)
-                net.weights[k] = (net.weights[k] - rate * 0.7**epoch * shift).astype(np.float32)
+    steps = max(epochs * -(-len(windows) // batch), LEAST_STEPS)
+    queue: list[np.ndarray] = []
+    for step in range(1, steps + 1):
+        if not queue:
+            order = rng.permutation(len(windows))
+            queue = [order[at : at + batch] for at in range(0, len(order), batch)]
+        part = queue.pop()
+        g = _gradient(net, windows[part].T, tags[part].T)
+        size = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
+        now = rate * (1 - 0.95 * step / steps)
+        for k, v in g.items():
+            v = v * min(1.0, 5.0 / max(size, 1e-9))
+            mean[k] = 0.9 * mean[k] + 0.1 * v
+            square[k] = 0.99 * square[k] + 0.01 * v * v
+            shift = mean[k] / (1 - 0.9**step) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-6)
+            net.weights[k] = (net.weights[k] - now * shift).astype(np.float32)
     return net
 
 
@@ -275,9 +283,16 @@ def _reconciled(net: Network, parts: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
+#: What no reading of tags can hold: a later character of a kind behind anything but that kind.
+_FORBIDDEN = np.zeros((TAGS, TAGS), np.float32)
+_FORBIDDEN[:, 2::2] = -50
+for _k in range(len(KINDS)):
+    _FORBIDDEN[2 * _k + 1 : 2 * _k + 3, 2 * _k + 2] = 0
+
+
 def _decoded(net: Network, parts: list[np.ndarray]) -> Iterator[tuple[int, int, int, int]]:
     """(stretch, kind, start, end) of spans that the network is certain of."""
-    w = net.weights
+    moves, first = net.weights["moves"] + _FORBIDDEN, net.weights["first"] + _FORBIDDEN[0]
     scores = _reconciled(net, parts)
     order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
     group: list[int] = []
@@ -291,8 +306,8 @@ def _decoded(net: Network, parts: list[np.ndarray]) -> Iterator[tuple[int, int,
         padded[:, :, 1:] = -20  # beyond a stretch's end there is nothing
         for k, j in enumerate(group):
             padded[: len(parts[j]), k] = scores[j]
-        tags = _viterbi(padded, w["moves"], w["first"])
-        prob, _ = _marginals(padded, w["moves"], w["first"])
+        tags = _viterbi(padded, moves, first)
+        prob, _ = _marginals(padded, moves, first)
         for k, j in enumerate(group):
             path = tags[: len(parts[j]), k]
             for start in np.flatnonzero((path > 0) & (path % 2 == 1)):
@@ -375,7 +390,10 @@ def training_windows(text: str, spans: list[tuple[int, int, int]]) -> Iterator[t
                     tags[s:e] = 2 * k + 2
                     tags[s] = 2 * k + 1
             signs = symbols(part)
-            for at in range(0, max(1, len(part) - WINDOW + STRIDE), STRIDE):
+            # besides the windows as they are read, some that begin elsewhere, so that no place is learnt
+            shift = zlib.crc32(part.encode())
+            starts = {*range(0, max(1, len(part) - WINDOW + STRIDE), STRIDE), shift % MARGIN, shift // MARGIN % MARGIN}
+            for at in sorted(a for a in starts if a < len(part)):
                 pad = (0, max(0, WINDOW - (len(part) - at)))
                 yield np.pad(signs[at : at + WINDOW], pad).tobytes(), np.pad(tags[at : at + WINDOW], pad).tobytes()
 

@@ -2,7 +2,7 @@
 
 Voters look at a text: one for each stem (start of words) that labelled toxic texts use, once or repeatedly,
 far more than others do, and a few for patterns of writing. The label of a sampled text is one more voter, as labels can be wrong. A generative model
-of all votes gives each voter's accuracies, finds which voters depend on each other, gives these less weight
+of all votes gives each voter's accuracies, finds which voters depend on each other, gives such a group one vote
 and yields for every sampled text the probability of being toxic. A linear classifier fitted to these
 probabilities scores every text of the corpus.
 """
@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import CHUNK, chunks, stored
+from tidemark.llm.common import CHUNK, Forest, chunks, stored
 
 #: At most so many labelled rows are fitted: those with the lowest hashes of their ids.
 SAMPLE_ROWS = 8_000
@@ -35,8 +35,8 @@ TIMES = (1, 2)
 #: A voter's stem is in at least this share of the toxic texts and this many times as likely there.
 LEAST_SHARE = 0.02
 LEAST_RATIO = 6.0
-#: Conditional correlation from which two voters count as dependent.
-DEPENDENT = 0.15
+#: Correlation within a class from which two voters count as dependent.
+DEPENDENT = 0.5
 ROUNDS = 40
 
 WORD = regex.compile(r"\p{L}+")
@@ -47,53 +47,75 @@ PATTERN_LIMITS = (0.5, 0.02, 0.05)
 
 @dataclass(frozen=True)
 class LabelModel:
-    """Votes given the class. ``chances[j, y, v]``: voter j says v (0: against, 1: abstains, 2: for) in class y."""
+    """Votes given the class. ``chances[g, y, v]``: group g of voters says v (0: against, 1: nothing, 2: for) in class y."""
 
     prior: float
     chances: np.ndarray
-    weights: np.ndarray
+    groups: list[list[int]]
     correlations: np.ndarray
 
+    @property
+    def weights(self) -> np.ndarray:
+        """What a voter counts for: its share of the one vote of its group."""
+        out = np.zeros(len(self.correlations))
+        for g in self.groups:
+            out[g] = 1 / len(g)
+        return out
+
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        logs = np.log(self.chances)
-        odds = np.full(len(votes), math.log(self.prior / (1 - self.prior)))
-        for j in range(votes.shape[1]):
-            odds += self.weights[j] * (logs[j, 1] - logs[j, 0])[votes[:, j] + 1]
-        return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
+        return _posterior(_merged(votes, self.groups), self.prior, self.chances)
+
+
+def _merged(votes: np.ndarray, groups: list[list[int]]) -> np.ndarray:
+    """One vote for each group: what most of its voters say."""
+    return np.stack([np.sign(votes[:, g].sum(axis=1)) for g in groups], axis=1).astype(int)
+
+
+def _posterior(votes: np.ndarray, prior: float, chances: np.ndarray) -> np.ndarray:
+    logs = np.log(chances)
+    odds = np.full(len(votes), math.log(prior / (1 - prior)))
+    for j in range(votes.shape[1]):
+        odds += (logs[j, 1] - logs[j, 0])[votes[:, j] + 1]
+    return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
+
+
+def _expect_and_maximise(votes: np.ndarray, start: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    marks, n, post = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float), len(votes), start.astype(float)
+    for _ in range(ROUNDS):
+        counts = np.einsum("cn,nvm->vcm", np.stack([1 - post, post]), marks) + 0.1
+        chances = counts / counts.sum(axis=2, keepdims=True)
+        prior = float(np.clip(post.mean(), 1 / (n + 2), 1 - 1 / (n + 2)))
+        before, post = post, _posterior(votes, prior, chances)
+        if np.abs(post - before).max() < 1e-6:
+            break
+    return prior, chances, post
 
 
 def fit_label_model(votes: np.ndarray, start: np.ndarray) -> LabelModel:
     """Expectation maximisation over votes (-1, 0, 1; a column for each voter) from first guesses ``start``.
 
-    It runs twice: the first run, with all weights 1, shows how voters correlate within a class; in the second
-    a voter's weight is one over the size of the group that it depends on.
+    A first run takes voters as independent and shows how they correlate within a class. Voters that depend on
+    each other then become groups with one vote each, for which the second run gives the accuracies.
     """
-    n, voters = votes.shape
-    marks = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
-    weights, correlations = np.ones(voters), np.eye(voters)
-    for turn in range(2):
-        post = start.astype(float)
-        for _ in range(ROUNDS):
-            by_class = np.stack([1 - post, post])
-            counts = np.einsum("cn,nvm->vcm", by_class, marks) + 0.1
-            prior = float(np.clip(post.mean(), 1 / (n + 2), 1 - 1 / (n + 2)))
-            model = LabelModel(prior, counts / counts.sum(axis=2, keepdims=True), weights, correlations)
-            new = model.posterior(votes)
-            if np.abs(new - post).max() < 1e-6:
-                break
-            post = new
-        if turn == 0:
-            centred = votes - (marks @ np.array([-1.0, 0, 1])).mean(axis=0)
-            cov = np.zeros((voters, voters))
-            for p in (1 - post, post):
-                mean = (p[:, None] * votes).sum(axis=0) / max(p.sum(), 1e-9)
-                centred = votes - mean
-                cov += (p[:, None] * centred).T @ centred
-            scale = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-            correlations = cov / scale[:, None] / scale[None, :]
-            excess = np.where(np.abs(correlations) >= DEPENDENT, np.abs(correlations), 0)
-            weights = 1 / np.maximum(1, excess.sum(axis=1))
-    return LabelModel(model.prior, model.chances, weights, correlations)
+    voters = votes.shape[1]
+    _, _, post = _expect_and_maximise(votes, start)
+    cov = np.zeros((voters, voters))
+    for p in (1 - post, post):
+        centred = votes - (p[:, None] * votes).sum(axis=0) / max(p.sum(), 1e-9)
+        cov += (p[:, None] * centred).T @ centred
+    scale = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+    correlations = cov / scale[:, None] / scale[None, :]
+    forest = Forest()
+    for i in range(voters):
+        for j in range(i, voters):
+            if i == j or correlations[i, j] >= DEPENDENT:
+                forest.root(i)
+                forest.join(i, j)
+    groups: dict[int, list[int]] = {}
+    for i in range(voters):
+        groups.setdefault(forest.root(i), []).append(i)
+    prior, chances, _ = _expect_and_maximise(_merged(votes, list(groups.values())), start)
+    return LabelModel(prior, chances, list(groups.values()), correlations)
 
 
 def fit_linear(features: np.ndarray, target: np.ndarray, penalty: float = 1e-2) -> np.ndarray:
