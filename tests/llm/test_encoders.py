@@ -82,6 +82,8 @@ def test_token_query(spark):
 def test_words_apart_equal_whole_texts():
     made = token_files.WordEncoder(WORDS)
     odd = ["<|endoftext|> a.", "<|ENDOFTEXT|> b", "it's. é. foo.) a..", "Don't, stop. . ,x .y", "İstanbul ΑΣ ΑΣ. é́ 123", "a\x85b\xa0c d\x1ce", "x" * 500]
+    r, signs = random.Random(2), ["a", "Bc", "é", "É", "×", "÷", "…", ".", ",", "!!", "'s", "'", "<", "|", "#", " ", "\n", "1", "́", "ß", "漢"]
+    odd += ["".join(r.choice(signs) for _ in range(r.randint(0, 25))) for _ in range(3000)]
     for text, ids in zip(odd, made.encode(odd, None)):
         assert ids.tolist() == made.tokenizer.encode(text, add_special_tokens=False).ids, text
 

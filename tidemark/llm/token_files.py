@@ -17,6 +17,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -96,15 +97,18 @@ class Image:
         return self.read(int(self.starts[number]), int(self.lengths[number]))
 
 
-#: A full stop or comma behind an ASCII letter and before white space: a token boundary for every tokenizer whose
-#: words are runs of letters or of other signs.
-CLOSING = re.compile(rb"(?<=[a-z])([.,])(?=[ \t\n\r\v\f]|\Z)")
+#: ASCII marks but the apostrophe, between a letter of Latin-1 and white space: they are a word of their own for every
+#: tokenizer whose words are runs of letters or of other signs.
+_MARK = rb"[!-&(-/:-@\[-`{-~]"
+CLOSING = re.compile(
+    rb"(%b)(?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))(%b*)(?=[ \t\n\r\v\f]|\Z)" % (_MARK, _MARK), re.DOTALL
+)
 
 
 class WordEncoder:
     """Ids of whole texts for a tokenizer that drops white space and never joins what it divides.
 
-    The words between ASCII white space, cut before a closing mark and in lower case, are encoded by the library
+    The words between ASCII white space, cut before closing marks and in lower case, are encoded by the library
     and kept in a bounded store, so most words of a corpus are looked up. A full store gives way to a new one that takes from it what is still in use.
     """
 
@@ -147,7 +151,7 @@ class WordEncoder:
     def _words(self, text: bytes) -> list[bytes]:
         if b"<|" in text:  # special tokens are matched as they stand, not in lower case
             return text.split()
-        return CLOSING.sub(rb" \1", text.lower()).split()
+        return CLOSING.sub(rb" \1\2", text.lower()).split()
 
     def learn(self, words: set[bytes]) -> dict:
         """Ids of words as bytes, those of the store included."""
@@ -174,11 +178,15 @@ class WordEncoder:
     def encode(self, texts: list[str | None], end: int | None) -> list[np.ndarray]:
         close = b"" if end is None else np.array([end], "<u4").tobytes()
         split = [self._words(t.encode()) if t else [] for t in texts]
-        known = self.words
-        missing = {w for ws in split for w in ws if w not in known}
-        fresh = self.learn(missing) if missing else {}
-        get = fresh.get
-        return [np.frombuffer(b"".join([known.get(w) or get(w, b"") for w in ws]) + close, "<u4") for ws in split]
+        flat = [w for words in split for w in words]
+        found = list(map(self.words.get, flat))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            fresh = self.learn({flat[i] for i in missing})
+            for i in missing:
+                found[i] = fresh[flat[i]]
+        ends = list(accumulate(map(len, split), initial=0))
+        return [np.frombuffer(b"".join(found[i:j]) + close, "<u4") for i, j in zip(ends, ends[1:])]
 
 
 @lru_cache(maxsize=4)
