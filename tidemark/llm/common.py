@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.session import shared_dir
 
@@ -34,6 +36,25 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, CHUNK)
 
 
+def with_made(df: DataFrame, reads: list[str], make: Callable[..., dict], made: dict[str, T.DataType]) -> DataFrame:
+    """``df`` with the columns ``made``, in place of columns of these names or behind the others.
+
+    ``make`` gets lists of the columns ``reads``, a few rows at a time, and gives a list for each new column.
+    """
+    names = [*df.columns, *(n for n in made if n not in df.columns)]
+    kinds = {f.name: f.dataType for f in df.schema} | made
+    at = [df.columns.index(r) for r in reads]
+    arrow = {n: to_arrow_type(t) for n, t in made.items()}
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            new = make(*[batch.column(i).to_pylist() for i in at])
+            columns = [pa.array(new[n], arrow[n]) if n in new else batch.column(i) for i, n in enumerate(names)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return df.mapInArrow(work, T.StructType([T.StructField(n, kinds[n]) for n in names]))
+
+
 def by_size(df: DataFrame, rows: int, bytes_per_row: int) -> DataFrame:
     """Mark a counted side for broadcast when it is small; else leave the join to Spark."""
     return F.broadcast(df) if rows * bytes_per_row <= BROADCAST_BYTES else df

@@ -16,13 +16,13 @@ from dataclasses import dataclass, field
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import CHUNK, Forest, chunks, stored
+from tidemark.llm.common import Forest, chunks, stored, with_made
 
 #: At most so many labelled rows are fitted: those with the lowest hashes of their ids.
 SAMPLE_ROWS = 8_000
@@ -290,14 +290,10 @@ def score(docs: DataFrame, model: ToxicityModel, name: str = "toxicity") -> Data
     """
     stems, weights = model.stems, model.weights
 
-    @F.pandas_udf("double")
-    def probability(texts: pd.Series) -> pd.Series:
+    def make(texts: list) -> dict:
         automaton = _automaton(stems)
-        out = np.zeros(len(texts))
-        for at in range(0, len(texts), CHUNK):
-            seen = [_observe(t or "", automaton, len(stems)) for t in texts[at : at + CHUNK]]
-            x = _features(np.array([s[0] for s in seen]), np.array([s[1] for s in seen]), stems)
-            out[at : at + CHUNK] = 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30)))
-        return pd.Series(out)
-
-    return docs.withColumn(name, probability(F.col("text")))
+        seen = [_observe(t or "", automaton, len(stems)) for t in texts]
+        x = _features(np.array([s[0] for s in seen]), np.array([s[1] for s in seen]), stems)
+        return {name: 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30)))}
+
+    return with_made(docs, ["text"], make, {name: T.DoubleType()})
