@@ -18,15 +18,17 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import by_size, chunks, stored
+from tidemark.llm.common import by_size, chunks, stored, with_made
 
 #: Lines of fewer words are left alone: one edit makes another sentence of them.
 LEAST_WORDS = 8
 #: Odd base of the rolling sum by which all deletions of a line are hashed at once.
 BASE = np.uint64(0x9E3779B97F4A7C15)
-LINE = "doc_id long, line_no int, h long, same array<long>, longer array<long>"
+HALVES = ["head", "tail", "longer_head", "longer_tail"]
+LINE = f"doc_id long, line_no int, h long, {', '.join(f'{c} long' for c in HALVES)}"
 
 
 def line_words(line: str) -> list[str]:
@@ -52,7 +54,7 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            ids, numbers, hashes, same, longer = [], [], [], [], []
+            ids, numbers, hashes, halves = [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for number, line in enumerate((text or "").split("\n")):
                     words = line_words(line)
@@ -60,23 +62,22 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
                         ids.append(doc_id)
                         numbers.append(number)
                         hashes.append(_hash(*words))
-                        same.append(_halves(words, len(words)))
-                        longer.append(_halves(words, len(words) - 1))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            columns = [pa.array(x, t) for x, t in zip((ids, numbers, hashes, same, longer), kinds)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "h", "same", "longer"])
+                        halves.append(_halves(words, len(words)) + _halves(words, len(words) - 1))
+            columns = [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(hashes, pa.int64())]
+            columns += [pa.array([x[i] for x in halves], pa.int64()) for i in range(len(HALVES))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "h", *HALVES])
 
     return docs.select("doc_id", "text").mapInArrow(work, LINE)
 
 
 def may_have_partners(distinct: DataFrame) -> DataFrame:
     """``h, place`` of distinct lines that share a half, in fitting roles, with another one."""
-    as_role = lambda name, own: F.transform(name, lambda k: F.struct(k.alias("key"), F.lit(own).alias("own")))
-    roles = distinct.select("h", "place", F.explode(F.concat(as_role("same", True), as_role("longer", False))).alias("r"))
-    roles = roles.select("h", "place", "r.key", "r.own")
-    groups = roles.groupBy("key").agg(F.max("own").alias("own"), F.min("h").alias("low"), F.max("h").alias("high"))
+    roles = [F.struct(F.col(c).alias("key"), F.lit(not c.startswith("longer")).alias("own")) for c in HALVES]
+    keyed = distinct.select("h", F.explode(F.array(*roles)).alias("r")).select("h", "r.key", "r.own")
+    groups = keyed.groupBy("key").agg(F.max("own").alias("own"), F.min("h").alias("low"), F.max("h").alias("high"))
     shared = groups.filter("own and low <> high").select("key")
-    return roles.join(shared, "key", "left_semi").select("h", "place").distinct()
+    open_lines = keyed.select("h", "key").join(shared, "key", "left_semi").select("h").distinct()
+    return distinct.select("h", "place").join(open_lines, "h")
 
 
 def _worded(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -179,7 +180,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     hashed = stored(hashed_lines(docs))
     place = F.struct("doc_id", "line_no")
     distinct = stored(
-        hashed.groupBy("h").agg(F.min(place).alias("place"), F.max(place).alias("last"), F.first("same").alias("same"), F.first("longer").alias("longer"))
+        hashed.groupBy("h").agg(F.min(place).alias("place"), F.max(place).alias("last"), *[F.first(c).alias(c) for c in HALVES])
     )
     near = near_lines(docs, distinct).select(F.col("h").alias("near_h"))
     decided = distinct.join(near, F.col("h") == F.col("near_h"), "left").filter("place < last or near_h is not null")
@@ -199,21 +200,17 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     gone = stored(repeated_lines(docs)).select(F.col("doc_id").alias("__gone_id"), F.col("gone").alias("__gone"))
     size = gone.agg(F.count("*").alias("n"), F.sum(F.size("__gone")).alias("lines")).first()
     gone = by_size(gone, size.n + (size.lines or 0), 32)
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone_id")), "left")
+    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone_id")), "left").select(*[docs[c] for c in docs.columns], "__gone")
 
-    @F.pandas_udf("text string, n_lines long, n_dropped long")
-    def without(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
-        out = []
+    def without(texts: list, lists: list) -> dict:
+        kept, sizes, dropped = [], [], []
         for text, lines in zip(texts, lists):
-            if text is None:
-                out.append((None, 0, 0))
-                continue
-            split = text.split("\n")
-            drop = {x["line_no"] for x in ([] if lines is None else lines) if x["line_no"] < len(split) and _hash(*line_words(split[x["line_no"]])) == x["h"]}
-            kept = "\n".join([x for i, x in enumerate(split) if i not in drop]) if drop else text
-            out.append((kept, len(split), len(drop)))
-        return pd.DataFrame(out, columns=["text", "n_lines", "n_dropped"])
-
-    made = joined.withColumn("__made", without("text", "__gone"))
-    columns = [F.col("__made.text").alias("text") if c == "text" else docs[c] for c in docs.columns]
-    return made.select(*columns, F.col("__made.n_lines").alias("n_lines"), F.col("__made.n_dropped").alias("n_dropped"))
+            split = (text or "").split("\n")
+            drop = {x["line_no"] for x in lines or [] if x["line_no"] < len(split) and _hash(*line_words(split[x["line_no"]])) == x["h"]}
+            kept.append("\n".join([x for i, x in enumerate(split) if i not in drop]) if drop else text)
+            sizes.append(0 if text is None else len(split))
+            dropped.append(len(drop))
+        return {"text": kept, "n_lines": sizes, "n_dropped": dropped}
+
+    made = {"text": T.StringType(), "n_lines": T.LongType(), "n_dropped": T.LongType()}
+    return with_made(joined, ["text", "__gone"], without, made).drop("__gone")
