@@ -30,6 +30,13 @@ def test_one_query_for_each_operator():
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
 
 
+def test_sql_of_the_archives(spark):
+    from tests.compare import connect, difference
+
+    for name, sql in queries.ORACLE.items():
+        assert difference(spark, SF, queries.QUERIES[name], sql, connect(SF)) is None
+
+
 def test_columns_and_types(spark):
     for name, run in queries.QUERIES.items():
         if (wanted := COLUMNS.get(name.split("_")[0])) and name != "op7_token_files":

@@ -14,6 +14,14 @@ QUERIES: dict = {}
 ORACLE: dict = {}
 
 
+def base32_sql(digest: str) -> str:
+    """SQL of the base32 form of a 40-digit hexadecimal text: each five digits give four characters."""
+    value = "('0x' || substr({d}, {start}, 5))::bigint"
+    sign = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(({v} >> {shift}) & 31 as integer) + 1, 1)"
+    values = [value.format(d=digest, start=5 * i + 1) for i in range(8)]
+    return " || ".join(sign.format(v=v, shift=s) for v in values for s in (15, 10, 5, 0))
+
+
 def query(function):
     QUERIES[function.__name__] = function
     return function
@@ -106,3 +114,12 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.similar(table(spark, sf_dir, "documents"), percent=85)
+
+
+ORACLE["op9_warc"] = f"""
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, html, sha1(html) as h, max(page_id) over (partition by html) as top from p)
+select page_id, cast(strlen(html) as bigint) as payload_bytes, {base32_sql('h')} as payload_digest,
+  case when page_id = top then 'response' else 'revisit' end as record_type,
+  case when page_id < top then top end as refers_to
+from d"""
