@@ -88,7 +88,7 @@ def main(sf: str = "0.01", *only: str) -> int:
             problem = difference(spark, sf_dir, run, sql[name], con) if name in sql else f"no SQL, {run(spark, sf_dir).count()} rows"
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:3000]}"
-        failed += problem is not None
+        failed += problem is not None and (name in sql or not problem.startswith("no SQL"))
         print(f"{name:28s} {time.time() - start:6.2f}s {problem or 'ok'}", flush=True)
     print("failed:", failed)
     return failed
