@@ -15,6 +15,8 @@ from tidemark.session import shared_dir
 
 #: Rows of a text column that a Python task turns into objects at a time.
 CHUNK = 256
+#: Rows of a batch that Spark hands to Python.
+BATCH_ROWS = 1_024
 #: A side of a join is broadcast only if it was counted and holds at most so many bytes.
 BROADCAST_BYTES = 32_000_000
 
@@ -34,6 +36,13 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, CHUNK):
             yield batch.slice(at, CHUNK)
+    pa.default_memory_pool().release_unused()
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Let Spark hand Python few rows at a time: texts are long, and a batch is held several times over."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
 
 
 def with_made(df: DataFrame, reads: list[str], make: Callable[..., dict], made: dict[str, T.DataType]) -> DataFrame:
@@ -52,7 +61,7 @@ def with_made(df: DataFrame, reads: list[str], make: Callable[..., dict], made:
             columns = [pa.array(new[n], arrow[n]) if n in new else batch.column(i) for i, n in enumerate(names)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return df.mapInArrow(work, T.StructType([T.StructField(n, kinds[n]) for n in names]))
+    return small_batches(df).mapInArrow(work, T.StructType([T.StructField(n, kinds[n]) for n in names]))
 
 
 def by_size(df: DataFrame, rows: int, bytes_per_row: int) -> DataFrame:

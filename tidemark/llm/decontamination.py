@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, stored
+from tidemark.llm.common import chunks, small_batches, stored
 
 SEED_WORDS = 3
 #: Of so many neighbouring n-grams one is a seed.
@@ -100,7 +100,7 @@ def passages(docs: DataFrame, block: Block) -> DataFrame:
         yield pa.RecordBatch.from_pylist([{"gram": int(g), "n_docs": int(seen[g])} for g in counted], PASSAGE)
 
     ddl = "doc_id long, start long, words array<int>, gram int, n_docs long"
-    return docs.select("doc_id", "text").mapInArrow(work, ddl)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(work, ddl)
 
 
 def choose_seeds(block: Block, n_docs: np.ndarray) -> dict[int, list[tuple[int, int]]]:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import by_size, chunks, stored, with_made
+from tidemark.llm.common import by_size, chunks, small_batches, stored, with_made
 
 #: Lines of fewer words are left alone: one edit makes another sentence of them.
 LEAST_WORDS = 8
@@ -67,7 +67,7 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
             columns += [pa.array([x[i] for x in halves], pa.int64()) for i in range(len(HALVES))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "h", *HALVES])
 
-    return docs.select("doc_id", "text").mapInArrow(work, LINE)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(work, LINE)
 
 
 def may_have_partners(distinct: DataFrame) -> DataFrame:

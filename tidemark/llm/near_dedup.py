@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import Forest, by_size, chunks, components, runs, stored
+from tidemark.llm.common import by_size, chunks, components, runs, small_batches, stored, Forest
 
 SHINGLE = 5
 #: Components of a signature.
@@ -34,7 +34,7 @@ CLUSTER = 400
 CENTRES = 8
 #: Shingles of a comparison that are counted at a time.
 COLUMNS = 8192
-STORED_WORDS = 200_000
+STORED_WORDS = 100_000
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SKETCH = "doc_id long, n_shingles long, low long, high long, bands array<long>"
@@ -141,7 +141,7 @@ def sketches(docs: DataFrame, rows: int) -> DataFrame:
                 ["doc_id", "n_shingles", "low", "high", "bands"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(work, SKETCH)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(work, SKETCH)
 
 
 def _intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:

@@ -20,15 +20,15 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import chunks
+from tidemark.llm.common import chunks, small_batches
 
 SPACE = "▁"
 #: Units of text that are encoded apart start at a run of spaces or of these.
 MARKS = "\n.,!?;:|"
 #: Words and pairs that one Python worker keeps, words twice: a full store gives way to a new one that takes
 #: from it what is still in use.
-STORED_WORDS = 150_000
-STORED_PAIRS = 200_000
+STORED_WORDS = 100_000
+STORED_PAIRS = 100_000
 #: Longer words are encoded each time.
 LONGEST_STORED = 64
 # Fixed values of the model format: kinds of pieces.
@@ -263,4 +263,4 @@ def encode_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(docs[key].alias("k"), docs[text].alias("t")).mapInArrow(work, f"k {kind}, ids array<int>, decoded string").withColumnRenamed("k", key)
+    return small_batches(docs).select(docs[key].alias("k"), docs[text].alias("t")).mapInArrow(work, f"k {kind}, ids array<int>, decoded string").withColumnRenamed("k", key)

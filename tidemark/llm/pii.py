@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks
+from tidemark.llm.common import chunks, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents and windows the network is trained on, at most; documents by the lowest hashes of their ids.
@@ -436,4 +436,4 @@ def find(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(row))], ["k", "found"])
 
     ddl = f"k {kind}, found array<struct<kind: string, start: bigint, end: bigint, base: boolean>>"
-    return docs.select(docs[key].alias("k"), docs[text].alias("t")).mapInArrow(work, ddl).withColumnRenamed("k", key)
+    return small_batches(docs).select(docs[key].alias("k"), docs[text].alias("t")).mapInArrow(work, ddl).withColumnRenamed("k", key)

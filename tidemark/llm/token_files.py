@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import chunks, range_bounds, range_of, shuffle_parts
+from tidemark.llm.common import chunks, range_bounds, range_of, shuffle_parts, small_batches
 
 MAGIC, VERSION = b"TMID", 1
 HEADER = struct.Struct("<4sHHIQI")
@@ -240,7 +240,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, end: int | None,
         if held:
             yield close()
 
-    placed = docs.select(range_of(F.col("doc_id"), bounds).alias("range"), "doc_id", "text")
+    placed = small_batches(docs).select(range_of(F.col("doc_id"), bounds).alias("range"), "doc_id", "text")
     encoded = placed.mapInArrow(encode, "range int, doc_id long, n long, bits int, packed binary")
     dealt = encoded.repartition(parts, "range").sortWithinPartitions("range", "doc_id", "packed")
     dealt.mapInArrow(shards, "range int, shard int, doc_ids array<long>, n_ids long, image binary").write.parquet(path)

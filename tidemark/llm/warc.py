@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks
+from tidemark.llm.common import chunks, small_batches
 
 #: Payload bytes that one archive aims at. A larger record makes a larger archive.
 ARCHIVE_BYTES = 16_000_000
@@ -126,7 +126,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     marks = revisits(pages, min_bytes).select(
         "page_id", "digest", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "refers_to"
     )
-    dealt = rows.union(marks).repartition(archives, "page_id", "digest")
+    dealt = small_batches(rows).union(marks).repartition(archives, "page_id", "digest")
     dealt = dealt.sortWithinPartitions("page_id", "digest", F.col("html").isNotNull())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
