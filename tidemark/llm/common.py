@@ -32,7 +32,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+#: How to empty what an operator keeps in a Python worker from task to task.
+STORES: dict[str, Callable[[], None]] = {}
+
+
+def chunks(batches: Iterator[pa.RecordBatch], owner: str = "") -> Iterator[pa.RecordBatch]:
+    """The batches in small pieces. Workers serve one operator after another: what others have kept is dropped."""
+    for name, empty in STORES.items():
+        if name != owner:
+            empty()
     for batch in batches:
         for at in range(0, batch.num_rows, CHUNK):
             yield batch.slice(at, CHUNK)

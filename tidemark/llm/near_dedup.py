@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import by_size, chunks, components, runs, small_batches, stored, Forest
+from tidemark.llm.common import STORES, Forest, by_size, chunks, components, runs, small_batches, stored
 
 SHINGLE = 5
 #: Components of a signature.
@@ -52,6 +52,7 @@ class _Hashes(dict):
 
 
 _words = _Hashes()
+STORES["shingles"] = _words.clear
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -127,7 +128,7 @@ def sketches(docs: DataFrame, rows: int) -> DataFrame:
     """Per row: size of the set, a 128-bit hash of it, band keys (none for the empty set). One narrow stage."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, "shingles"):
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
             with np.errstate(over="ignore"):
                 low = [int(s.sum(dtype=np.uint64).view(np.int64)) for s in sets]
@@ -187,7 +188,7 @@ def _read_sets(docs: DataFrame, members: DataFrame, n_members: int) -> DataFrame
     found = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("wanted"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, "shingles"):
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
             same = [int(s.sum(dtype=np.uint64).view(np.int64)) == low for s, low in zip(sets, batch.column(2).to_pylist())]
             data = pa.array([s.tobytes() for s in sets], pa.binary())

@@ -20,15 +20,15 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import chunks, small_batches
+from tidemark.llm.common import STORES, chunks, small_batches
 
 SPACE = "▁"
 #: Units of text that are encoded apart start at a run of spaces or of these.
 MARKS = "\n.,!?;:|"
 #: Words and pairs that one Python worker keeps, words twice: a full store gives way to a new one that takes
 #: from it what is still in use.
-STORED_WORDS = 100_000
-STORED_PAIRS = 100_000
+STORED_WORDS = 200_000
+STORED_PAIRS = 200_000
 #: Longer words are encoded each time.
 LONGEST_STORED = 64
 # Fixed values of the model format: kinds of pieces.
@@ -242,6 +242,9 @@ def model(name: str) -> PieceModel:
         return PieceModel(file.read())
 
 
+STORES["pieces"] = model.cache_clear
+
+
 def encode_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``ids`` (all of the text's ids) and ``decoded``, their text, for every row.
 
@@ -253,7 +256,7 @@ def encode_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = model(name)
-        for batch in chunks(batches):
+        for batch in chunks(batches, "pieces"):
             done = [encoder.encode_and_decode(t) for t in batch.column(1).to_pylist()]
             values = np.frombuffer(b"".join(d[0] for d in done), "<i4")
             ends = np.cumsum([0] + [len(d[0]) // 4 for d in done]).astype(np.int32)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import chunks, range_bounds, range_of, shuffle_parts, small_batches
+from tidemark.llm.common import STORES, chunks, range_bounds, range_of, shuffle_parts, small_batches
 
 MAGIC, VERSION = b"TMID", 1
 HEADER = struct.Struct("<4sHHIQI")
@@ -194,6 +194,9 @@ def encoder(name: str) -> WordEncoder:
     return WordEncoder(SparkFiles.get(name))
 
 
+STORES["tokens"] = encoder.cache_clear
+
+
 def write_ids(docs: DataFrame, tokenizer_path: str, path: str, end: int | None, parts: int | None = None) -> None:
     """Encode whole texts and write the ids to ``path`` in ascending ``doc_id`` order.
 
@@ -209,7 +212,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, end: int | None,
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder(name)
-        for batch in chunks(batches):
+        for batch in chunks(batches, "tokens"):
             ids = made.encode(batch.column(2).to_pylist(), end)
             packed = pa.array([pack(x, made.bits) for x in ids], pa.binary())
             counts = pa.array([len(x) for x in ids], pa.int64())
@@ -227,7 +230,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, end: int | None,
             row = {"range": at, "shard": number, "doc_ids": keys, "n_ids": size, "image": build_image(held, bits)}
             return pa.RecordBatch.from_pylist([row], SHARD)
 
-        for batch in chunks(batches):
+        for batch in chunks(batches, "tokens"):
             for where, key, n, bits, packed in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and (where != at or size >= SHARD_IDS):
                     yield close()
