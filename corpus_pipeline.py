@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat earlier ones go; documents stay."""
     columns = docs.columns
-    left = line_dedup.drop_repeated_lines(docs).select(*columns)
+    left = line_dedup.drop_repeated_lines(docs, line_dedup.ANY_LINE).select(*columns)
     return left.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in columns else left
 
 

@@ -103,6 +103,28 @@ def test_edited_lines(spark):
     assert got == brute.without_repeated_lines(docs)
 
 
+def test_short_lines_lose_their_exact_copies(spark):
+    docs = [(1, "of.\na b c d e f g\n\nnospaces\n"), (2, "Of.\na b c d e f x\n\nnospaces\n"), (3, "of.\nof the\nA  b c d e f g\n \na b c d e f g h")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.drop_repeated_lines(df, line_dedup.ANY_LINE).collect()}
+    assert got == {1: (docs[0][1], 0), 2: ("a b c d e f x\n\n", 2), 3: ("of the\n \na b c d e f g h", 2)}
+
+
+def test_line_query_leaves_no_exact_repeat(spark):
+    """Repeats of any length go, and beyond them only what the near step takes."""
+    docs, seen, expected = list(texts().items()), set(), {}
+    for key, text in sorted(docs):
+        left = []
+        for line in text.split("\n"):
+            words = tuple(line.lower().split())
+            if len(words) >= line_dedup.LEAST_WORDS or not words or words not in seen:
+                left.append(line)
+            seen.add(words)
+        expected[key] = "\n".join(left)
+    got = {r.doc_id: r.text for r in queries.op8_line_dedup(spark, SF).collect()}
+    assert got == brute.without_repeated_lines(list(expected.items()))
+
+
 def test_within_one_edit():
     r = random.Random(1)
     for _ in range(3000):

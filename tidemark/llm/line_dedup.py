@@ -5,7 +5,8 @@ variant: one with the word at some place left out. Variants of equal length carr
 variants that meet a whole line do not, so every line of a group under one key is within the bound of the
 earliest one the key compares it with. Groups are reduced to their earliest line, never to pairs.
 
-Only lines that can have a partner emit variants. An edit leaves the first or the last half of a line as it
+Lines that are too short for an edit to leave them the same sentence meet their exact copies only. Only lines
+that can have a partner emit variants. An edit leaves the first or the last half of a line as it
 is, so lines whose halves nobody shares have none; this test loses nothing.
 """
 
@@ -23,11 +24,14 @@ from xxhash import xxh64_intdigest
 
 from tidemark.llm.common import by_size, chunks, small_batches, stored, with_made
 
-#: Lines of fewer words are left alone: one edit makes another sentence of them.
+#: Lines of fewer words have no near lines: one edit makes another sentence of them.
 LEAST_WORDS = 8
+#: Every line that is not blank.
+ANY_LINE = 1
 #: Odd base of the rolling sum by which all deletions of a line are hashed at once.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 HALVES = ["head", "tail", "longer_head", "longer_tail"]
+NO_HALVES = [None] * len(HALVES)
 LINE = f"doc_id long, line_no int, h long, {', '.join(f'{c} long' for c in HALVES)}"
 
 
@@ -45,11 +49,11 @@ def _halves(words: list[str], size: int) -> list[int]:
     return [_hash(f"head {size}", *words[:h]), _hash(f"tail {size}", *words[len(words) - (size - h) :])]
 
 
-def hashed_lines(docs: DataFrame) -> DataFrame:
-    """Lines that take part: place, hash of the words, hashes of the halves.
+def hashed_lines(docs: DataFrame, exact_from: int = LEAST_WORDS) -> DataFrame:
+    """Lines of ``exact_from`` words or more: place, hash of the words, hashes of the halves.
 
     Halves are taken twice: for a partner of the same number of words, and for one that is a word shorter.
-    Null texts have no lines.
+    Lines below ``LEAST_WORDS`` have none. Null texts and blank lines do not take part.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,11 +62,11 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for number, line in enumerate((text or "").split("\n")):
                     words = line_words(line)
-                    if len(words) >= LEAST_WORDS:
+                    if len(words) >= max(exact_from, ANY_LINE):
                         ids.append(doc_id)
                         numbers.append(number)
                         hashes.append(_hash(*words))
-                        halves.append(_halves(words, len(words)) + _halves(words, len(words) - 1))
+                        halves.append(_halves(words, len(words)) + _halves(words, len(words) - 1) if len(words) >= LEAST_WORDS else NO_HALVES)
             columns = [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(hashes, pa.int64())]
             columns += [pa.array([x[i] for x in halves], pa.int64()) for i in range(len(HALVES))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "h", *HALVES])
@@ -170,19 +174,19 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return compared.filter(near("words", "other_words")).groupBy("h").agg(F.min("earlier").alias("earlier"))
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def repeated_lines(docs: DataFrame, exact_from: int = LEAST_WORDS) -> DataFrame:
     """``doc_id, gone`` per document that loses lines; ``gone`` lists the lines' numbers and hashes.
 
-    A line goes if the same or a near line stands at an earlier place (doc_id, then line number, null ids
-    first), whether or not that one goes too. Hot lines are reduced inside each task; where their places meet
+    A line of ``exact_from`` words or more goes if the same or a near line stands at an earlier place (doc_id,
+    then line number, null ids first), whether or not that one goes too. Hot lines are reduced inside each task; where their places meet
     the decision, Spark can split them.
     """
-    hashed = stored(hashed_lines(docs))
+    hashed = stored(hashed_lines(docs, exact_from))
     place = F.struct("doc_id", "line_no")
     distinct = stored(
         hashed.groupBy("h").agg(F.min(place).alias("place"), F.max(place).alias("last"), *[F.first(c).alias(c) for c in HALVES])
     )
-    near = near_lines(docs, distinct).select(F.col("h").alias("near_h"))
+    near = near_lines(docs, distinct.filter("head is not null")).select(F.col("h").alias("near_h"))
     decided = distinct.join(near, F.col("h") == F.col("near_h"), "left").filter("place < last or near_h is not null")
     decided = stored(decided.select("h", F.col("place").alias("kept_place"), F.col("near_h").isNotNull().alias("near")))
     met = hashed.select("doc_id", "line_no", "h").join(by_size(decided, decided.count(), 48), "h")
@@ -190,14 +194,15 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return gone.groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "h")).alias("gone"))
 
 
-def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, exact_from: int = LEAST_WORDS) -> DataFrame:
     """``docs`` with lines that repeat earlier ones taken out of ``text``, and ``n_lines``, ``n_dropped`` longs.
 
     Documents stay, if need be with an empty text; null texts stay null. A document's own repeated lines go as
-    well. Rows with equal ids count as one document: their equal lines at equal places stay.
+    well. Exact copies go from ``exact_from`` words on (``ANY_LINE``: all but blank lines), near ones from
+    ``LEAST_WORDS``. Rows with equal ids count as one document: their equal lines at equal places stay.
     Only ``doc_id`` and ``text`` are read, other columns pass.
     """
-    gone = stored(repeated_lines(docs)).select(F.col("doc_id").alias("__gone_id"), F.col("gone").alias("__gone"))
+    gone = stored(repeated_lines(docs, exact_from)).select(F.col("doc_id").alias("__gone_id"), F.col("gone").alias("__gone"))
     size = gone.agg(F.count("*").alias("n"), F.sum(F.size("__gone")).alias("lines")).first()
     gone = by_size(gone, size.n + (size.lines or 0), 32)
     joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone_id")), "left").select(*[docs[c] for c in docs.columns], "__gone")

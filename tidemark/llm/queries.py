@@ -74,7 +74,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that lost lines or kept all, with the text left."""
-    return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), line_dedup.ANY_LINE)
 
 
 @query
