@@ -315,6 +315,42 @@ def test_a_used_batch_number_takes_no_other_events(spark, home):
     assert target.land_batch(feed(spark, THREE[:1], first=20))[FOLDER]["first"] == 3
 
 
+def test_a_used_batch_number_takes_no_other_values(spark, home):
+    """Equal tables, positions and operations; only a key or a value differs, or equal events cancel each other."""
+    from tidemark.streaming.sink import BatchMismatch
+
+    def events(*rows):
+        return spark.createDataFrame([("oracle.HR.EMPLOYEES", k, json.dumps({"op": "c", "after": {"EMPLOYEE_ID": v}}), p) for k, v, p in rows], EVENT_SCHEMA)
+
+    target = sink(home, EMPLOYEES)
+    batches = [[(None, 1, 0), (None, 2, 1)], [(None, 1, 0), (None, 3, 1)], [("k", 1, 0), (None, 2, 1)], [(None, 2, 0), (None, 1, 1)]]
+    target(events(*batches[0]), 0)
+    for other in batches[1:]:
+        with pytest.raises(BatchMismatch):
+            target(events(*other), 0)
+    target(events((None, 1, 0), (None, 1, 0)), 1)
+    with pytest.raises(BatchMismatch):
+        target(events((None, 2, 0), (None, 2, 0)), 1)
+    target(events(*reversed(batches[0])), 0)
+
+
+def test_numbers_bound_by_the_older_fingerprint_stay_bound(spark, home):
+    from tidemark.operators.decode import decode_events
+    from tidemark.streaming.sink import BatchMismatch
+
+    target, first = sink(home, EMPLOYEES), feed(spark, THREE)
+    target(first, 0)
+    old = decode_events(first, "oracle").agg(F.bit_xor(F.xxhash64("topic", "pos", "marker", "op")).alias("f")).first().f
+    with open(f"{home}/checkpoint/landing/0/input.json", "w") as file:
+        json.dump([[FOLDER, 3, 0, old]], file)
+    for name in os.listdir(f"{home}/checkpoint/landing/0"):
+        if name.endswith("input.json.crc"):
+            os.truncate(f"{home}/checkpoint/landing/0/{name}", 0)
+    target(first, 0)
+    with pytest.raises(BatchMismatch):
+        target(feed(spark, THREE[:2], first=10), 0)
+
+
 def test_old_batches_stay_known(spark, home):
     target = sink(home, EMPLOYEES)
     for n in range(3):

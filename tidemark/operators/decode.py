@@ -12,15 +12,16 @@ from tidemark.functions.routing import table_folder
 
 MALFORMED_VALUE = "malformed value"
 MALFORMED_KEY = "malformed key"
+DIGESTS = ("digest_1", "digest_2")
 
 
-def decode_events(events: DataFrame, prefix: str = "", tombstones: str = "delete") -> DataFrame:
+def decode_events(events: DataFrame, prefix: str = "", tombstones: str = "delete", digests: bool = False) -> DataFrame:
     """One decoded row per event: table folder, operation (NULL for a tombstone) and marker.
 
     ``root`` is the parsed value, or the parsed key of a tombstone, and ``wrapped`` tells whether its
     content lies under ``payload``; row images are read from it in place. ``reason`` is set when the
     text is not JSON; only then are ``key`` and ``value`` kept. ``tombstones='drop'`` leaves out
-    key-only deletes.
+    key-only deletes. ``digests`` adds two hashes of the whole event as it came.
     """
     if tombstones not in ("delete", "drop"):
         raise ValueError(f"tombstones must be 'delete' or 'drop', not {tombstones!r}")
@@ -28,7 +29,13 @@ def decode_events(events: DataFrame, prefix: str = "", tombstones: str = "delete
         events = events.filter(F.col("value").isNotNull())
     wrapped, op, decoded = _columns(prefix)
     text = events.select("pos", "topic", "key", "value", F.coalesce("value", "key").alias("text"))
-    return E.with_parsed(text, "text", "root").select("*", wrapped).select("*", op).select(*decoded)
+    parsed = E.with_parsed(text, "text", "root").select("*", wrapped).select("*", op)
+    return parsed.select(*decoded, *(_digests() if digests else []))
+
+
+def _digests() -> list[Column]:
+    whole = ["topic", "pos", F.col("key").isNull(), "key", F.col("value").isNull(), "value"]  # a null leaves a hash as it is
+    return [F.xxhash64(F.lit(i), *whole).alias(name) for i, name in enumerate(DIGESTS)]
 
 
 @lru_cache(maxsize=64)
