@@ -181,6 +181,24 @@ def test_edited_items_are_found_and_clean_texts_are_not(spark):
     assert not any(d >= 1000 for d, _ in found)
 
 
+def test_evenly_edited_items_are_found(spark):
+    """Every fourth or fifth word replaced: most n-grams are broken, and intact ones also stand in other texts."""
+    items = [(i["item_id"], decontamination.words_of(i["text"])) for i in rows("benchmark")]
+    docs, expected = [], set()
+    for step in (4, 5):
+        for item_id, words in items:
+            key = 1000 * step + item_id
+            edited = [f"other{i}" if i % step == step - 1 else w for i, w in enumerate(words)]
+            docs.append((key, " ".join(["before"] * 30 + edited + ["after"] * 30)))
+            score = decontamination.align(*(np.array([hash(w) for w in x]) for x in (words, edited)))[0]
+            assert score >= decontamination.LEAST_SCORE
+            expected.add((key, item_id))
+    every = [(item_id, " ".join(words)) for item_id, words in items]
+    df = spark.createDataFrame(docs + every, "doc_id long, text string")
+    got = decontamination.contaminated(df, spark.createDataFrame(every, "item_id long, text string")).collect()
+    assert expected <= {(r.doc_id, r.item_id) for r in got}
+
+
 def test_blocks_of_the_benchmark_give_the_same(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "benchmark"))
     one = {tuple(r) for r in decontamination.contaminated(docs, items).collect()}

@@ -1,11 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items, local alignment scores the pairs.
+"""Benchmark decontamination: n-gram seeds bring passages and test items together, local alignment scores the pairs.
 
 The benchmark is a stated query set. It is dealt into blocks of bounded size, and each block meets the whole
-corpus. One reading of the texts keeps, per block, the passages around words that an item has in the same
-order, as word numbers, and counts in how many documents every n-gram of the block stands. Of each few
-neighbouring n-grams of an item the rarest is a seed, so every run of ``SEED_WORDS + SEED_REACH - 1`` words that
-a passage shares with an item holds one, however common its n-grams are. Smith-Waterman alignment over words
-then scores item and passage, so edited and partly copied items are found.
+corpus in one reading. Every n-gram of an item is a seed wherever it stands in a text, however common it is, as
+the ones an edited copy holds cannot be told from the item. Around seeds, parts of a text that hold too few of the
+item's words for the score asked for are passed over, which loses nothing; the others are scored by Smith-Waterman
+alignment over words, so edited and partly copied items are found. A pair must share one n-gram.
 """
 
 from __future__ import annotations
@@ -22,8 +21,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import chunks, small_batches, stored
 
 SEED_WORDS = 3
-#: Of so many neighbouring n-grams one is a seed.
-SEED_REACH = 3
 #: Shorter items are no evidence and are never reported.
 LEAST_WORDS = 5
 #: Words of the benchmark that one block holds; a block is what each task keeps in memory.
@@ -33,9 +30,6 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
 
 WORD = re.compile(r"[^\W_]+")
-PASSAGE = pa.schema(
-    [("doc_id", pa.int64()), ("start", pa.int64()), ("words", pa.list_(pa.int32())), ("gram", pa.int32()), ("n_docs", pa.int64())]
-)
 HIT = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64())])
 
 
@@ -53,8 +47,18 @@ class Block:
             words = words_of(text)
             if len(words) >= LEAST_WORDS:
                 self.items.append((item_id, np.array([self.numbers.setdefault(w, len(self.numbers) + 1) for w in words], np.int64)))
-        self.longest = max((len(w) for _, w in self.items), default=0)
-        self.grams = np.unique(np.concatenate([np.zeros(0, np.int64)] + [self.keys(w) for _, w in self.items]))
+        keys = [self.keys(w) for _, w in self.items]
+        flat = np.concatenate([np.zeros(0, np.int64), *keys])
+        order = np.argsort(flat, kind="stable")
+        self.grams, starts = np.unique(flat[order], return_index=True)
+        #: Where each n-gram's places begin, and of these places the item and the offset in it.
+        self.starts = np.append(starts, len(flat))
+        self.of = np.repeat(np.arange(len(keys)), [len(k) for k in keys])[order]
+        self.offsets = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(k)) for k in keys]])[order]
+
+    def errors(self, n: int, least: float) -> int:
+        """Words left out, added or replaced that an alignment of ``least`` with an item of ``n`` words can have."""
+        return math.floor(MATCH * n * (1 - least) / min(-MISMATCH, -GAP)) + 1
 
     def keys(self, numbers: np.ndarray) -> np.ndarray:
         """A key for each n-gram; 0 where a word is not of this block."""
@@ -76,46 +80,6 @@ class Block:
         return places[hit], at[hit]
 
 
-def passages(docs: DataFrame, block: Block) -> DataFrame:
-    """Passages of a block, and in rows of their own the documents that each task has seen per n-gram."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = block.numbers.get
-        seen = np.zeros(len(block.grams), np.int64)
-        reach = 2 * block.longest
-        for batch in chunks(batches):
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                numbers = np.array([number(w, 0) for w in words_of(text)], np.int64)
-                places, grams = block.find(numbers)
-                if not len(places):
-                    continue
-                seen[np.unique(grams)] += 1
-                cut = np.flatnonzero(np.diff(places) > 2 * reach)
-                for first, last in zip(places[np.concatenate([[0], cut + 1])], places[np.concatenate([cut, [len(places) - 1]])]):
-                    start = max(0, first - reach)
-                    rows.append({"doc_id": doc_id, "start": int(start), "words": numbers[start : last + reach + SEED_WORDS].astype(np.int32)})
-            yield pa.RecordBatch.from_pylist(rows, PASSAGE)
-        counted = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_pylist([{"gram": int(g), "n_docs": int(seen[g])} for g in counted], PASSAGE)
-
-    ddl = "doc_id long, start long, words array<int>, gram int, n_docs long"
-    return small_batches(docs).select("doc_id", "text").mapInArrow(work, ddl)
-
-
-def choose_seeds(block: Block, n_docs: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-    """N-gram number -> items and places: of each ``SEED_REACH`` neighbours the one in the fewest documents."""
-    seeds: dict[int, set] = {}
-    for number, (_, words) in enumerate(block.items):
-        grams = np.searchsorted(block.grams, block.keys(words))
-        rank = n_docs[grams]
-        for at in range(max(1, len(grams) - SEED_REACH + 1)):
-            near = range(at, min(at + SEED_REACH, len(grams)))
-            best = min(near, key=lambda i: (rank[i], grams[i], i))
-            seeds.setdefault(int(grams[best]), set()).add((number, best))
-    return {g: sorted(v) for g, v in seeds.items()}
-
-
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     """Best local alignment: its score as a share of a whole copy's, and where in the passage it begins and ends."""
     n = len(passage)
@@ -142,28 +106,43 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     return best / (MATCH * len(item)), span[0], span[1]
 
 
-def _hits(block: Block, seeds: dict, least: float, start: int, words: np.ndarray) -> Iterator[dict]:
-    places, grams = block.find(words)
-    regions: dict[int, list[int]] = {}
-    for place, gram in zip(places.tolist(), grams.tolist()):
-        for item, offset in seeds.get(gram, ()):
-            regions.setdefault(item, []).append(place - offset)
-    for item, diagonals in regions.items():
-        item_id, item_words = block.items[item]
-        slack = len(item_words) // 2 + 2
-        diagonals.sort()
-        low = high = diagonals[0]
-        spans = []
-        for d in diagonals[1:]:
-            if d - high > slack:
-                spans.append((low, high))
-                low = d
-            high = d
-        for low, high in [*spans, (low, high)]:
-            begin = max(0, low - slack)
-            score, first, last = align(item_words, words[begin : high + len(item_words) + slack])
-            if score >= least:
-                yield {"item_id": item_id, "score": score, "first_word": start + begin + first, "last_word": start + begin + last - 1}
+def regions(block: Block, numbers: np.ndarray, least: float, slack: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Item, begin and end of each part of a text where an n-gram of an item stands and its score may reach ``least``.
+
+    An alignment that reaches ``least`` has at most ``block.errors(n, least)`` words left out, added or replaced,
+    so it stays that near to the diagonals of its n-grams, and that bounds how many words it covers and how many of
+    them are the item's. ``slack`` has this number for each item.
+    """
+    places, grams = block.find(numbers)
+    if not len(places):
+        return
+    sizes = block.starts[grams + 1] - block.starts[grams]
+    at = np.arange(sizes.sum()) + np.repeat(block.starts[grams] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+    items, diagonals = block.of[at], np.repeat(places, sizes) - block.offsets[at]
+    order = np.lexsort((diagonals, items))
+    items, diagonals = items[order], diagonals[order]
+    cut = np.flatnonzero((np.diff(items) != 0) | (np.diff(diagonals) > slack[items[1:]])) + 1
+    known, last = np.zeros(len(block.numbers) + 1, bool), 0
+    for low, high in zip(np.concatenate([[0], cut]), np.concatenate([cut, [len(items)]]) - 1):
+        item = int(items[low])
+        words = block.items[item][1]
+        n, reach = len(words), int(slack[item])
+        if item != last:
+            known[block.items[last][1]], last = False, item
+        known[words] = True
+        begin, end = max(0, int(diagonals[low]) - reach), min(len(numbers), int(diagonals[high]) + n + reach)
+        held = np.concatenate([[0], np.cumsum(known[numbers[begin:end]])])
+        covered = min(n + reach, end - begin)
+        if (held[covered:] - held[: len(held) - covered]).max() >= least * n:
+            yield item, begin, end
+
+
+def _hits(block: Block, least: float, slack: np.ndarray, numbers: np.ndarray) -> Iterator[dict]:
+    for item, begin, end in regions(block, numbers, least, slack):
+        item_id, words = block.items[item]
+        score, first, last = align(words, numbers[begin:end])
+        if score >= least:
+            yield {"item_id": item_id, "score": score, "first_word": begin + first, "last_word": begin + last - 1}
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
@@ -187,23 +166,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCO
 
 
 def _contaminated_by(docs: DataFrame, block: Block, least: float) -> DataFrame:
-    kept = stored(passages(docs, block))
-    n_docs = np.zeros(len(block.grams), np.int64)
-    counts = kept.filter("gram is not null").groupBy("gram").agg(F.sum("n_docs").alias("n"))  # at most the block's n-grams
-    for row in counts.toLocalIterator():
-        n_docs[row.gram] = row.n
-    seeds = choose_seeds(block, n_docs)
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = block.numbers.get
+        slack = np.array([block.errors(len(w), least) for _, w in block.items], np.int64)
         for batch in chunks(batches):
             rows = []
-            for doc_id, start, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                words = words.values.to_numpy(zero_copy_only=False).astype(np.int64)
-                rows += [{"doc_id": doc_id} | h for h in _hits(block, seeds, least, start, words)]
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                numbers = np.array([number(w, 0) for w in words_of(text)], np.int64)
+                rows += [{"doc_id": doc_id} | h for h in _hits(block, least, slack, numbers)]
             yield pa.RecordBatch.from_pylist(rows, HIT)
 
     ddl = "doc_id long, item_id long, score double, first_word long, last_word long"
-    return kept.filter("gram is null").select("doc_id", "start", "words").mapInArrow(work, ddl)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(work, ddl)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
