@@ -256,3 +256,20 @@ def test_odd_documents_have_fingerprints(spark):
     assert fingerprints.with_edits(docs.limit(0)).count() == 0
     one = fingerprints.with_edits(docs.filter("doc_id = 3")).first()
     assert one.edited == "x" * 30_000
+
+
+def test_fingerprints_keep_all_anchors_at_all_lengths(spark):
+    from pyspark.sql import functions as F
+
+    r = random.Random(6)
+    words = lambda n: [f"q{r.randrange(10**6)}" for _ in range(n)]
+    text, long = words(17), words(3000)
+    pairs = [(text, text + words(2)), (long, long[:1500] + words(500) + long[1500:]), (words(19), words(17)), (["a", "b"] * 300, ["a", "b"] * 300)]
+    pairs += [(text[:n], text[:n]) for n in (0, 1, 5, 6, 8)] + [(long, long[:1500] + words(1) + long[1501:])]
+    df = spark.createDataFrame([(i, " ".join(a), " ".join(b)) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    df = df.select("i", fingerprints.sketch(F.col("a")).alias("a"), fingerprints.sketch(F.col("b")).alias("b"))
+    got = {x.i: x for x in df.select("*", fingerprints.likeness(F.col("a"), F.col("b")).alias("like"), fingerprints.printed(F.col("a")).alias("p"), fingerprints.printed(F.col("b")).alias("q")).collect()}
+    assert abs(got[0].like - 17 / 19) < 1e-9 and got[2].like == 0
+    assert 0.8 < got[1].like < 0.92 and len(got[1].a.anchors) > 900  # 3,000 of 3,500 pieces, apart by a long insertion
+    assert all(got[i].like == 1 for i in range(3, 9)) and len(got[3].a.anchors) > 200
+    assert 0.98 < got[9].like < 1 and got[9].p != got[9].q

@@ -3,7 +3,8 @@
 A text is cut into pieces (runs without white space, at most ``PIECE`` characters long). Of every ``K`` pieces in
 a row, a k-mer, the neighbouring pairs are hashed; the k-mer is an anchor if the least of its pairs is the
 first or the last one. Whether a k-mer is an anchor depends on nothing around it, so an edit moves or changes
-only anchors that touch it. The anchors with the least hashes, with their places, are the fingerprint.
+only anchors that touch it. The fingerprint is all anchors and, as the finer form that texts with few anchors are
+compared in, all pieces, each as a hash with its place.
 """
 
 from __future__ import annotations
@@ -16,39 +17,59 @@ from tidemark.llm.common import range_bounds, range_of, shuffle_parts
 
 PIECE = 8
 K = 6
-#: Anchors that a fingerprint keeps: those with the least hashes.
-ANCHORS = 64
-#: Pieces by which matching anchors may be shifted against the middle of all shifts.
+#: Below so many pieces a text has few anchors or none; if either of two texts is that short, pieces are compared.
+SHORT = 3 * K
+#: Pieces by which the shifts of matching anchors that follow one another may differ.
 SHIFT = 8
 
 
+def pieces(text: Column) -> Column:
+    """The hash of each piece of a text, in order."""
+    found = F.regexp_extract_all(text, F.lit(rf"\S{{1,{PIECE}}}"), F.lit(0))
+    return F.transform(found, lambda p: F.xxhash64(p))
+
+
 def anchors(text: Column) -> Column:
     """All anchors of a text as longs, the hash in the upper half and the place in the lower one, sorted.
 
-    Of equal k-mers the first place counts. Below ``3 * K`` pieces every piece is an anchor; no piece, none.
+    Equal k-mers all count: the hash of a later one is also of how many stand before it. Below ``K`` pieces, none.
     """
-    pieces = F.regexp_extract_all(text, F.lit(rf"\S{{1,{PIECE}}}"), F.lit(0))
-    hashes = F.transform(pieces, lambda p: F.xxhash64(p))
-    pack = lambda h, i: F.shiftleft(h.bitwiseAND(F.lit(0x7FFFFFFF)), 32).bitwiseOR(i.cast("long"))
+    return _with(pieces(text), _syncmers)
+
+
+def _pack(h: Column, i: Column) -> Column:
+    return F.shiftleft(h.bitwiseAND(F.lit(0x7FFFFFFF)), 32).bitwiseOR(i.cast("long"))
+
+
+def _syncmers(h: Column) -> Column:
+    pairs = F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + 1)))
+
+    def of_pairs(s: Column) -> Column:
+        def at(i: Column) -> Column:
+            edge = F.least(F.get(s, i), F.get(s, i + K - 2))
+            inner = F.least(*[F.get(s, i + j) for j in range(1, K - 2)])
+            return F.when(edge <= inner, _pack(F.xxhash64(*[F.get(h, i + j) for j in range(K)]), i))
+
+        return F.transform(F.sequence(F.lit(0), F.size(h) - K), at)
 
-    def long_text(h: Column) -> Column:
-        pairs = F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + 1)))
+    found = F.when(F.size(h) >= K, _with(pairs, of_pairs)).otherwise(F.array().cast("array<bigint>"))
+    return _told_apart(F.array_compact(found))
 
-        def of_pairs(s: Column) -> Column:
-            def at(i: Column) -> Column:
-                edge = F.least(F.get(s, i), F.get(s, i + K - 2))
-                inner = F.least(*[F.get(s, i + j) for j in range(1, K - 2)])
-                return F.when(edge <= inner, pack(F.xxhash64(*[F.get(h, i + j) for j in range(K)]), i))
 
-            return F.transform(F.sequence(F.lit(0), F.size(h) - K), at)
+def _told_apart(packed: Column) -> Column:
+    """Sorted, with another hash for every further one of equal hashes."""
 
-        return _with(pairs, of_pairs)
+    def of_sorted(a: Column) -> Column:
+        starts = F.filter(F.transform(a, lambda x, i: F.when((i == 0) | (_hash(x) != _hash(F.get(a, i - 1))), i)), lambda i: i.isNotNull())
 
-    def all_lengths(h: Column) -> Column:
-        return F.when(F.size(h) >= 3 * K, long_text(h)).otherwise(F.transform(h, pack))
+        def of_starts(s: Column) -> Column:
+            run = lambda at, k: F.slice(a, at + 1, F.coalesce(F.get(s, k + 1), F.size(a)) - at)
+            named = lambda x, n: F.when(n == 0, x).otherwise(_pack(F.xxhash64(_hash(x), n), _place(x)))
+            return F.flatten(F.transform(s, lambda at, k: F.transform(run(at, k), named)))
 
-    packed = F.sort_array(F.array_compact(_with(hashes, all_lengths)))
-    return _with(packed, lambda a: F.filter(a, lambda x, i: (i == 0) | (_hash(x) != _hash(F.get(a, i - 1)))))
+        return F.when(F.size(starts) == F.size(a), a).otherwise(F.sort_array(_with(starts, of_starts)))
+
+    return _with(F.sort_array(packed), of_sorted)
 
 
 def _with(value: Column, use) -> Column:
@@ -65,33 +86,48 @@ def _place(anchor: Column) -> Column:
 
 
 def sketch(text: Column) -> Column:
-    """The fingerprint as an array of packed anchors."""
-    return F.slice(anchors(text), 1, ANCHORS)
+    """The fingerprint: ``anchors`` as sorted packed longs, and ``pieces`` as packed longs in their order."""
+    return _with(pieces(text), lambda h: F.struct(_syncmers(h).alias("anchors"), F.transform(h, _pack).alias("pieces")))
 
 
 def printed(fingerprint: Column) -> Column:
-    """The fingerprint as text: hash and place of each anchor in hexadecimal digits."""
-    return F.array_join(F.transform(fingerprint, lambda a: F.concat_ws(":", F.lower(F.hex(_hash(a))), F.lower(F.hex(_place(a))))), ",")
+    """Hash and place of each anchor in hexadecimal digits; for short texts, behind a bar, those of each piece too."""
+    one = lambda a: F.concat_ws(":", F.lower(F.hex(_hash(a))), F.lower(F.hex(_place(a))))
+    joined = lambda name: F.array_join(F.transform(fingerprint[name], one), ",")
+    return F.concat(joined("anchors"), F.when(F.size(fingerprint["pieces"]) < SHORT, F.concat(F.lit("|"), joined("pieces"))).otherwise(""))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of the least hashes of both texts that both have at places shifted alike; 1 for two empty texts."""
-    hashes = lambda x: F.transform(x, _hash)
-    least = F.slice(F.sort_array(F.array_union(hashes(a), hashes(b))), 1, ANCHORS)
-    shared = F.array_intersect(F.array_intersect(least, hashes(a)), hashes(b))
-    places = lambda x: F.map_from_arrays(hashes(x), F.transform(x, _place))
+    """Share of the anchors of both texts that both have in runs of like shifts; 1 for two empty texts.
+
+    If either text is short, pieces are compared in place of anchors. A matching anchor counts if the one before or
+    behind it in the first text is shifted alike, or if it is the only one; so words put in or taken out between
+    two runs cost nothing but themselves.
+    """
+
+    def compared(x: Column, y: Column) -> Column:
+        side = lambda c, n: F.transform(c, lambda v: _pack(_hash(v), F.shiftleft(_place(v), 1).bitwiseOR(F.lit(n).cast("long"))))
+        met = lambda s: F.array_compact(F.transform(s, lambda v, i: F.when((i > 0) & (_hash(v) == _hash(F.get(s, i - 1))) & (v % 2 != F.get(s, i - 1) % 2), both(v, F.get(s, i - 1)))))
+        half = lambda v: F.shiftright(_place(v), 1)
+        both = lambda v, w: F.when(v % 2 == 1, _pack(half(w), half(v))).otherwise(_pack(half(v), half(w)))
 
-    def aligned(maps: Column) -> Column:
-        shifts = F.transform(shared, lambda h: F.element_at(maps["a"], h) - F.element_at(maps["b"], h))
-        near = _with(F.sort_array(shifts), lambda s: F.filter(s, lambda x: F.abs(x - F.get(s, F.floor(F.size(s) / 2).cast("int"))) <= SHIFT))
-        return F.size(near)
+        def in_runs(m: Column) -> Column:
+            shift = lambda v: _hash(v) - _place(v)
+            alike = lambda v, i: F.coalesce(F.abs(shift(v) - shift(F.get(m, i))) <= SHIFT, F.lit(False))
+            return F.size(F.filter(m, lambda v, i: (F.size(m) == 1) | alike(v, i - 1) | alike(v, i + 1)))
 
-    matched = F.when(F.size(shared) == 0, 0).otherwise(_with(F.struct(places(a).alias("a"), places(b).alias("b")), aligned))
-    return F.when(F.size(least) == 0, 1.0).otherwise(matched / F.size(least))
+        matches = _with(F.sort_array(_with(F.sort_array(F.concat(side(x, 0), side(y, 1))), met)), lambda m: F.struct(F.size(m).alias("met"), in_runs(m).alias("runs")))
+        share = lambda n: F.when(F.size(x) + F.size(y) == 0, 1.0).otherwise(n["runs"] / (F.size(x) + F.size(y) - n["met"]))
+        return _with(matches, share)
+
+    short = F.least(F.size(a["pieces"]), F.size(b["pieces"])) < SHORT
+    forms = F.when(short, F.struct(_told_apart(a["pieces"]).alias("a"), _told_apart(b["pieces"]).alias("b")))
+    forms = forms.otherwise(F.struct(a["anchors"].alias("a"), b["anchors"].alias("b")))
+    return _with(forms, lambda f: compared(f["a"], f["b"]))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, anchors`` per row; null texts count as empty. One narrow stage."""
+    """``doc_id, text, anchors`` per row, ``anchors`` the whole fingerprint; null texts count as empty. One narrow stage."""
     text = F.coalesce("text", F.lit(""))
     return docs.select("doc_id", text.alias("text")).withColumn("anchors", sketch(F.col("text")))
 
@@ -118,10 +154,14 @@ def with_next(rows: DataFrame, columns: list[str], parts: int | None = None) ->
 
 
 def with_edits(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every text, of the next one and of the text with its last third taken from the next one."""
-    rows = with_next(fingerprints(docs), ["text", "anchors"])
+    """Fingerprints of every text, of the next one and of the text with its last third taken from the next one.
+
+    Only texts are shuffled; fingerprints are made behind it.
+    """
+    rows = with_next(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), ["text"])
     n = F.char_length("text").cast("long")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n.cast("int") - third), F.substring(F.col("next_text"), F.lit(1), third))
-    made = rows.select("doc_id", n.alias("n_chars"), edited.alias("edited"), "anchors", "next_anchors")
-    return made.withColumn("edited_anchors", sketch(F.col("edited")))
+    made = rows.select("doc_id", n.alias("n_chars"), edited.alias("edited"), "text", "next_text")
+    fingerprint = {f"{name}anchors": sketch(F.col(column)) for name, column in (("", "text"), ("next_", "next_text"), ("edited_", "edited"))}
+    return made.withColumns(fingerprint).drop("text", "next_text")
