@@ -77,6 +77,26 @@ def by_size(df: DataFrame, rows: int, bytes_per_row: int) -> DataFrame:
     return F.broadcast(df) if rows * bytes_per_row <= BROADCAST_BYTES else df
 
 
+#: Keys that hold one row in so many are met by broadcast: there cannot be more than so many of them.
+HOT_SHARE = 10_000
+
+
+def looked_up(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the columns of ``found`` (one row per key, ``n`` the rows of ``rows`` under it) and ``met``.
+
+    Rows without a match have nulls and ``met`` false. Keys that hold more than one row in ``HOT_SHARE`` are
+    broadcast, and their rows stay where they are; the other rows are shuffled, and none of their keys is hot.
+    Both tables are read twice, so they should be stored. Keys are not null.
+    """
+    others = [c for c in found.columns if c not in (*keys, "n")]
+    least = max(1_000, rows.count() // HOT_SHARE)
+    hot = found.filter(F.col("n") > least).select(*keys, *others)
+    cold = found.filter(F.col("n") <= least).select(*keys, *others, F.lit(True).alias("met"))
+    near = rows.join(F.broadcast(hot), keys).withColumn("met", F.lit(True))
+    far = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys, "left")
+    return near.unionByName(far.withColumn("met", F.coalesce("met", F.lit(False))))
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, fingerprints, license_scan, line_dedup, near_dedup, pii, piece_encoding, token_files, toxicity, warc
+from tidemark.llm import decontamination, fingerprints, license_scan, line_dedup, near_dedup, pii, piece_encoding, simhash, token_files, toxicity, warc
 from tidemark.llm.common import table
 from tidemark.session import shared_dir
 
@@ -116,6 +116,11 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.similar(table(spark, sf_dir, "documents"), percent=85)
 
 
+@query
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.similar(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op9_warc"] = f"""
 with p as (select page_id, coalesce(html, '') as html from pages),
 d as (select page_id, html, sha1(html) as h, max(page_id) over (partition by html) as top from p)
