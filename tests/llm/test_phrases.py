@@ -1,0 +1,75 @@
+"""Phrases against a plain version."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from tests.llm.brute import SF, odd_documents, rows
+from tidemark.llm import phrases, queries
+
+
+def plain(docs, top=2000):
+    counts = defaultdict(Counter)
+    for lang, text in docs:
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for size in (1, 2, 3):
+                counts["und" if lang is None else lang].update(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+    out = set()
+    for lang, f in counts.items():
+        found, n = [], sum(v for p, v in f.items() if len(p) == 1)
+        longer = [p for p, a in f.items() if len(p) == 3 and a >= 10]
+        gone = {p[i : i + 2] for p in longer for i in (0, 1) if 100 * f[p] >= 50 * f[p[i : i + 2]]}
+        for p, a in f.items():
+            if len(p) > 1 and a >= 10 and p not in gone:
+                score, k = min((10**6 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+                found.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (s, a, p, left, right) in enumerate(sorted(found)[:top], 1):
+            out.add((lang, rank, p.decode(), -a, left, right, n, -s))
+    return out
+
+
+def test_query(spark):
+    got = queries.op11_phrases(spark, SF)
+    assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert [t for _, t in got.dtypes] == ["string", "bigint", "string", *["bigint"] * 5]
+    assert {tuple(r) for r in got.collect()} == plain([(r["lang"], r["text"]) for r in rows("documents")])
+
+
+def random_texts(r, n, vocabulary):
+    weights = [1 / (k + 1) for k in range(len(vocabulary))]
+    signs = [" ", " ", " ", "  ", "\t", ", ", "\r\n", ". ", ";", "!", "?", ":", "\x0b", "\x0c"]
+    return [(r.choice(["en", "de", None]), "".join(w + r.choice(signs) for w in r.choices(vocabulary, weights, k=r.randint(0, 60)))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("frequent, held, bucket, top", [(1000, 300_000, 200_000, 2000), (12, 20, 50, 2000), (2, 1, 1, 5)])
+def test_small_buckets_parts_and_ranks(spark, monkeypatch, frequent, held, bucket, top):
+    """The same with stripes handed on early, split by the third word, and dealt into many buckets; ties at the end."""
+    for name, value in (("FREQUENT", frequent), ("HELD", held), ("BUCKET_WORDS", bucket), ("TOP", top)):
+        monkeypatch.setattr(phrases, name, value)
+    r = random.Random(top + held)
+    docs = random_texts(r, 300, ["in spite of", "New York", *(f"{c}{k}" for k in range(8) for c in "aÄéZ"), "d0 of d1"])
+    df = spark.createDataFrame(docs, "lang string, text string").repartition(6)
+    got = [tuple(x) for x in phrases.phrases(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == plain(docs, top)
+    assert any(" " in p[2].replace(" ", "", 1) for p in got)
+
+
+def test_exact_scores_of_large_counts(spark):
+    cases = [(10**12, 10**12 + 1, 10**12 + 7), (3 * 10**9, 3 * 10**9, 3 * 10**9), (999_999_999_989, 10**12, 999_999_999_990), (10, 10, 3_333_333)]
+    df = spark.createDataFrame(cases, "a long, l long, r long")
+    got = [x.s for x in df.select(phrases.score("a", "l", "r").alias("s")).collect()]
+    assert got == [10**6 * a * a // (left * right) for a, left, right in cases]
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark).withColumnRenamed("k", "lang")
+    plain_rows = [(r.lang, r.text) for r in docs.collect()]
+    assert {tuple(x) for x in phrases.phrases(docs).collect()} == plain(plain_rows)
+    clash = docs.selectExpr("lang", "text", "1 as first", "2 as n", "3 as score", "4 as word", "5 as bucket")
+    assert {tuple(x) for x in phrases.phrases(clash).collect()} == plain(plain_rows)
+    assert phrases.phrases(docs.limit(0)).collect() == []
+    assert phrases.phrases(docs.filter("text is null or text = ''")).collect() == []

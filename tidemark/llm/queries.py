@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, fingerprints, license_scan, line_dedup, near_dedup, pii, piece_encoding, simhash, token_files, toxicity, warc
+from tidemark.llm import decontamination, fingerprints, license_scan, line_dedup, near_dedup, phrases, pii, piece_encoding, simhash, spelling, token_files, toxicity, warc
 from tidemark.llm.common import table
 from tidemark.session import shared_dir
 
@@ -116,6 +116,16 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.similar(table(spark, sf_dir, "documents"), percent=85)
 
 
+@query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.similar(table(spark, sf_dir, "documents"))
@@ -128,3 +138,34 @@ select page_id, cast(strlen(html) as bigint) as payload_bytes, {base32_sql('h')}
   case when page_id = top then 'response' else 'revisit' end as record_type,
   case when page_id < top then top end as refers_to
 from d"""
+
+ORACLE["op11_phrases"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+places as (select lang, w, unnest(range(1, len(w) + 1)) as i from w),
+f1 as (select lang, w[i] as w1, count(*) as f from places group by all),
+f2 as (select lang, w[i] as w1, w[i + 1] as w2, count(*) as f from places where i < len(w) group by all),
+f3 as (select lang, w[i] as w1, w[i + 1] as w2, w[i + 2] as w3, count(*) as f from places where i + 1 < len(w) group by all having count(*) >= 10),
+n as (select lang, cast(sum(f) as bigint) as n from f1 group by lang),
+longer as (select lang, w1, w2, max(f) as f from (
+  select lang, w1, w2, f from f3 union all select lang, w2, w3, f from f3) group by all),
+two as (
+  select f2.lang, f2.w1 || ' ' || f2.w2 as phrase, f2.f as a, x.f as l, y.f as r, 1 as k
+  from f2 join f1 x on x.lang = f2.lang and x.w1 = f2.w1 join f1 y on y.lang = f2.lang and y.w1 = f2.w2
+  left join longer on longer.lang = f2.lang and longer.w1 = f2.w1 and longer.w2 = f2.w2
+  where f2.f >= 10 and 100 * coalesce(longer.f, 0) < 50 * f2.f),
+three as (
+  select f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3 as phrase, f3.f as a, x.f as l, y.f as r, 1 as k
+  from f3 join f1 x on x.lang = f3.lang and x.w1 = f3.w1 join f2 y on y.lang = f3.lang and y.w1 = f3.w2 and y.w2 = f3.w3
+  union all
+  select f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.f, x.f, y.f, 2
+  from f3 join f2 x on x.lang = f3.lang and x.w1 = f3.w1 and x.w2 = f3.w2 join f1 y on y.lang = f3.lang and y.w1 = f3.w3),
+cuts as (
+  select *, cast(cast(1000000 as hugeint) * a * a // (cast(l as hugeint) * r) as bigint) as score
+  from (select * from two union all select * from three)),
+lowest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from lowest)
+select lang, rank, phrase, a, l, r, n, score from ranked join n using (lang) where rank <= 2000"""
