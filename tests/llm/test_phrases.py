@@ -45,10 +45,10 @@ def random_texts(r, n, vocabulary):
     return [(r.choice(["en", "de", None]), "".join(w + r.choice(signs) for w in r.choices(vocabulary, weights, k=r.randint(0, 60)))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("frequent, held, bucket, top", [(1000, 300_000, 200_000, 2000), (12, 20, 50, 2000), (2, 1, 1, 5)])
-def test_small_buckets_parts_and_ranks(spark, monkeypatch, frequent, held, bucket, top):
-    """The same with stripes handed on early, split by the third word, and dealt into many buckets; ties at the end."""
-    for name, value in (("FREQUENT", frequent), ("HELD", held), ("BUCKET_WORDS", bucket), ("TOP", top)):
+@pytest.mark.parametrize("frequent, held, bucket, top, words", [(1000, 300_000, 200_000, 2000, 300_000), (12, 20, 50, 2000, 300_000), (2, 1, 1, 5, 3), (1000, 40, 10**6, 2000, 300_000)])
+def test_small_buckets_parts_and_ranks(spark, monkeypatch, frequent, held, bucket, top, words):
+    """The same with stripes handed on early, in parts, split by the third word, and dealt into many buckets; ties at the end."""
+    for name, value in (("FREQUENT", frequent), ("HELD", held), ("BUCKET_WORDS", bucket), ("TOP", top), ("HELD_WORDS", words)):
         monkeypatch.setattr(phrases, name, value)
     r = random.Random(top + held)
     docs = random_texts(r, 300, ["in spite of", "New York", *(f"{c}{k}" for k in range(8) for c in "aÄéZ"), "d0 of d1"])
