@@ -21,21 +21,24 @@ def decode_events(events: DataFrame, prefix: str = "", tombstones: str = "delete
     ``root`` is the parsed value, or the parsed key of a tombstone, and ``wrapped`` tells whether its
     content lies under ``payload``; row images are read from it in place. ``reason`` is set when the
     text is not JSON; only then are ``key`` and ``value`` kept. ``tombstones='drop'`` leaves out
-    key-only deletes. ``digests`` adds two hashes of the whole event as it came.
+    key-only deletes. ``digests`` adds two hashes of the whole event as it came, and ``size``, the length of its
+    texts. A ``partition`` of the events is carried through.
     """
     if tombstones not in ("delete", "drop"):
         raise ValueError(f"tombstones must be 'delete' or 'drop', not {tombstones!r}")
     if tombstones == "drop":
         events = events.filter(F.col("value").isNotNull())
     wrapped, op, decoded = _columns(prefix)
-    text = events.select("pos", "topic", "key", "value", F.coalesce("value", "key").alias("text"))
+    carried = ["partition"] if "partition" in events.columns else []
+    text = events.select("pos", "topic", "key", "value", F.coalesce("value", "key").alias("text"), *carried)
     parsed = E.with_parsed(text, "text", "root").select("*", wrapped).select("*", op)
-    return parsed.select(*decoded, *(_digests() if digests else []))
+    return parsed.select(*decoded, *carried, *(_digests() if digests else []))
 
 
 def _digests() -> list[Column]:
     whole = ["topic", "pos", F.col("key").isNull(), "key", F.col("value").isNull(), "value"]  # a null leaves a hash as it is
-    return [F.xxhash64(F.lit(i), *whole).alias(name) for i, name in enumerate(DIGESTS)]
+    size = sum((F.coalesce(F.octet_length(t), F.lit(0)) for t in ("key", "value")), F.lit(0)).cast("long").alias("size")
+    return [*[F.xxhash64(F.lit(i), *whole).alias(name) for i, name in enumerate(DIGESTS)], size]
 
 
 @lru_cache(maxsize=64)

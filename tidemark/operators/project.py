@@ -24,6 +24,8 @@ def project_rows(
 ) -> DataFrame:
     """``pos, topic, row, needs_lookup, bad_columns, op, root``; ``row`` holds the catalog columns, marker last.
 
+    A ``size`` of the events is carried through.
+
     Members the catalog does not know are dropped, missing ones are NULL. ``bad_columns`` names the
     columns whose value cannot be converted; it is empty text for a good row. ``needs_lookup`` marks
     updates whose row image is missing: they carry their ``before`` image until a lookup finds the
@@ -34,8 +36,9 @@ def project_rows(
     0 or 1 in a numeric column to refuse booleans.
     """
     rows = decoded
+    carried = ["size"] if "size" in decoded.columns else []
     for step in _steps(spec, units, marker, lookup_updates):
-        rows = rows.select(*step)
+        rows = rows.select(*step, *carried)
     return rows
 
 
@@ -110,7 +113,8 @@ def _struct(fields) -> str:
 
 
 def convertible(projected: DataFrame) -> DataFrame:
-    return keep_rows(projected, F.col("bad_columns") == "").select("pos", "topic", "row", "needs_lookup")
+    carried = ["size"] if "size" in projected.columns else []
+    return keep_rows(projected, F.col("bad_columns") == "").select("pos", "topic", "row", "needs_lookup", *carried)
 
 
 def refused_rows(projected: DataFrame, folder: str, marker: str = E.MARKER_COLUMN) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -9,7 +10,7 @@ class Files:
     """File names, renames and texts of a few bytes; table data never passes through here."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self._jvm = spark._jvm
+        self._jvm, self._gateway = spark._jvm, spark.sparkContext._gateway
         self._conf = spark._jsparkSession.sessionState().newHadoopConf()
         self._fs = self._path(root).getFileSystem(self._conf)
 
@@ -25,6 +26,17 @@ class Files:
             return []
         return [s.getPath().getName() for s in self._fs.listStatus(path) if s.isFile()]
 
+    def tree(self, folder: str) -> list[str]:
+        """Names of all files below a folder, relative to it."""
+        path = self._path(folder)
+        if not self._fs.exists(path):
+            return []
+        found, names = self._fs.listFiles(path, True), []
+        head = self._fs.makeQualified(path).toUri().getPath().rstrip("/") + "/"
+        while found.hasNext():
+            names.append(found.next().getPath().toUri().getPath().removeprefix(head))
+        return names
+
     def read_text(self, path: str) -> str | None:
         target = self._path(path)
         if not self._fs.exists(target):
@@ -36,7 +48,24 @@ class Files:
             stream.close()
 
     def write_text(self, path: str, text: str) -> None:
-        """Replace the file in one step for readers that open it afterwards."""
+        """Replace the file in one step: it is written aside and renamed over, so it is never half written.
+
+        File systems that cannot rename over a file replace it when it is closed.
+        """
+        aside = f"{path}.writing"
+        self._write(aside, text)
+        hadoop = self._jvm.org.apache.hadoop.fs
+        over = self._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+        over[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+        try:
+            hadoop.FileContext.getFileContext(self._fs.getUri(), self._conf).rename(self._path(aside), self._path(path), over)
+        except Py4JJavaError as error:
+            if "UnsupportedFileSystemException" not in str(error.java_exception):
+                raise
+            self._write(path, text)
+            self.delete(aside)
+
+    def _write(self, path: str, text: str) -> None:
         stream = self._fs.create(self._path(path), True)
         try:
             stream.write(text.encode("utf-8"))
@@ -46,7 +75,7 @@ class Files:
     def write_text_once(self, path: str, text: str) -> None:
         """Write aside, then rename, so the file is either whole or absent."""
         aside = f"{path}.writing"
-        self.write_text(aside, text)
+        self._write(aside, text)
         self.rename(aside, path)
 
     def rename(self, source: str, target: str) -> None:
@@ -56,5 +85,12 @@ class Files:
         if not self._fs.rename(self._path(source), self._path(target)):
             raise OSError(f"could not rename {source} to {target}")
 
-    def delete(self, path: str) -> None:
+    def delete(self, path: str, up_to: str | None = None) -> None:
+        """Delete a file or folder, and folders above it that are empty then, below ``up_to``."""
         self._fs.delete(self._path(path), True)
+        while up_to and (path := path.rsplit("/", 1)[0]).startswith(f"{up_to}/"):
+            target = self._path(path)
+            if self._fs.exists(target):
+                if len(self._fs.listStatus(target)):
+                    return
+                self._fs.delete(target, False)

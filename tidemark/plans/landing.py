@@ -7,6 +7,7 @@ renames; before it, staging starts over and no number has been given out.
 
 from __future__ import annotations
 
+import bisect
 import json
 import math
 import re
@@ -14,8 +15,9 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.functions import naming
 from tidemark.functions.convert import Units
@@ -35,6 +37,7 @@ class LandingOptions:
     marker: str = MARKER_COLUMN
     compression: str | None = "SNAPPY"
     max_records_per_file: int = 1_000_000
+    max_bytes_per_file: int | None = None  # of event text; Parquet files of it are smaller as a rule
     state_file: str = naming.STATE_FILE
     units: Units = Units()
 
@@ -60,6 +63,16 @@ class Unit:
         return re.sub(r"[^A-Za-z0-9_-]", lambda m: f"%{ord(m.group()):x}", self.folder)
 
 
+@dataclass(frozen=True)
+class TableSize:
+    """Counted events of one table: rows, bytes of text, the widest of them, updates."""
+
+    rows: int
+    bytes: int = 0
+    widest: int = 0
+    updates: int = 0
+
+
 def restore_sequence(files: Files, base: str, folder: str, state_file: str = naming.STATE_FILE) -> int:
     """Last sequence of a table: its state file, or the highest file name without a readable one."""
     last = naming.parse_state(files.read_text(f"{base}/{folder}/{state_file}"))
@@ -89,29 +102,73 @@ def write_key_metadata(files: Files, base: str, folder: str, spec: TableSpec) ->
         files.write_text(path, text)
 
 
-def file_count(rows: int, max_records_per_file: int) -> int:
-    """Tasks for the ordered write. Ranges are sampled, so several of them aim below the limit."""
-    if rows <= max_records_per_file:
-        return 1
-    return math.ceil(rows / (0.9 * max_records_per_file))
+def file_count(size: TableSize, options: LandingOptions) -> int:
+    """Ranges for the ordered write. They are cut by a summary of positions, so several of them aim below the limits."""
+    share = size.rows / options.max_records_per_file
+    if options.max_bytes_per_file:
+        share = max(share, size.bytes / options.max_bytes_per_file)
+    return 1 if share <= 1 else math.ceil(share / 0.9)
+
+
+def position_cuts(events: DataFrame, parts: int) -> list[int]:
+    """Positions that cut the events into ``parts`` ranges of about equal counts, taken before any conversion.
+
+    A position that holds several ranges' rows is named several times.
+    """
+    if parts < 2:
+        return []
+    at = F.lit([i / parts for i in range(1, parts)]).cast("array<double>")
+    return events.agg(F.percentile_approx("pos", at, F.lit(max(10_000, 20 * parts))).alias("cuts")).first().cuts or []
+
 
+def range_number(pos: Column, tie: Column, cuts: list[int]) -> Column:
+    """The range of a row, found by halving the cuts. Ranges rise with ``(pos, tie)``.
 
-def write_ordered(rows: DataFrame, target: str, n_files: int, options: LandingOptions) -> None:
+    ``tie`` is a whole number from 0 to 2**63 - 1. Where several cuts name one position, its rows are spread over
+    the ranges between them by even shares of the tie.
+    """
+    steps = sorted(set(cuts))
+
+    def within(low: int, high: int) -> Column:  # positions from steps[low - 1] on and below steps[high]
+        if low == high:
+            first = bisect.bisect_left(cuts, steps[low - 1]) if low else 0
+            following = bisect.bisect_right(cuts, steps[low - 1]) if low else 0
+            if following - first == 1 or not low:
+                return F.lit(following)
+            share = F.least((tie / 2.0**63 * (following - first + 1)).cast("int"), F.lit(following - first))
+            return F.when(pos == steps[low - 1], F.lit(first) + share).otherwise(F.lit(following))
+        middle = (low + high) // 2
+        return F.when(pos < steps[middle], within(low, middle)).otherwise(within(middle + 1, high))
+
+    return F.when(pos.isNull(), F.lit(0)).otherwise(within(0, len(steps))).cast("int")
+
+
+def write_ordered(rows: DataFrame, target: str, size: TableSize, cuts: list[int], options: LandingOptions) -> None:
     """Write ``row`` in ``pos`` order across and within files.
 
-    Rows that share a position are spread by a hash of their content, so a position with many rows
-    does not end up in one task.
+    Rows go to the ranges between ``cuts``, each to its own task. Rows that share a position are spread by a
+    hash of their content, so a position with many rows does not end up in one task. Where the table has more
+    bytes than a file may, files are cut at running sums of rows and bytes.
     """
-    (
-        rows.select("pos", F.xxhash64("row").alias("tie"), "row")
-        .repartitionByRange(n_files, "pos", "tie")
-        .sortWithinPartitions("pos", "tie")
-        .select("row.*")
-        .write.mode("overwrite")
-        .option("compression", naming.codec(options.compression))
-        .option("maxRecordsPerFile", options.max_records_per_file)
-        .parquet(target)
-    )
+    limit = options.max_bytes_per_file
+    by_bytes = bool(limit) and size.bytes > limit
+    tie = F.call_function("shiftrightunsigned", F.xxhash64("row"), F.lit(1))
+    dealt = rows.select("pos", tie.alias("tie"), "row", *(["size"] if by_bytes else []))
+    dealt = dealt.withColumn("range", range_number(F.col("pos"), F.col("tie"), cuts))
+    dealt = dealt.repartitionById(len(cuts) + 1, "range")
+    if by_bytes:
+        before = Window.partitionBy("range").orderBy("pos", "tie").rowsBetween(Window.unboundedPreceding, -1)
+        room = max(1, limit - size.widest)  # a file that starts below its room ends below the limit
+        n, done = F.count("*").over(before), F.coalesce(F.sum("size").over(before), F.lit(0))
+        file = F.floor(n / options.max_records_per_file) + F.floor(done / room)
+        dealt = dealt.withColumn("file", file).sortWithinPartitions("range", "file", "pos", "tie").select("range", "file", "row.*")
+    else:
+        dealt = dealt.sortWithinPartitions("pos", "tie").select("row.*")
+    writer = dealt.write.mode("overwrite").option("compression", naming.codec(options.compression))
+    if by_bytes:
+        writer.partitionBy("range", "file").parquet(target)
+    else:
+        writer.option("maxRecordsPerFile", options.max_records_per_file).parquet(target)
 
 
 def land_table(
@@ -119,10 +176,14 @@ def land_table(
     unit: Unit,
     spec: TableSpec,
     options: LandingOptions,
-    row_count: int,
+    size: TableSize,
+    events: DataFrame,
     on_step: Callable[[str, str], None] = lambda step, folder: None,
 ) -> dict:
-    """Land projected rows of one table; returns the manifest with the files and their row counts."""
+    """Land projected rows of one table; returns the manifest with the files and their row counts.
+
+    ``events`` are the same rows before conversion; only their positions are read, to cut ranges.
+    """
     spark = projected.sparkSession
     base, folder = options.base, unit.folder
     files, state = Files(spark, base), Files(spark, unit.state_dir)
@@ -131,7 +192,7 @@ def land_table(
     text = state.read_text(unit.manifest)
     if text is None:
         write_key_metadata(files, base, folder, spec)
-        staged = _stage(projected, unit, options, row_count, staging, files)
+        staged = _stage(projected, unit, options, size, events, staging, files)
         on_step("staged", folder)
         first = first_free_sequence(files, base, folder, options.state_file)
         text = json.dumps({"folder": folder, "first": first, "files": staged})
@@ -150,17 +211,18 @@ def land_table(
             commit_sequence(files, base, folder, last, options.state_file)
     on_step("committed", folder)
     state.write_text(unit.done, "")
-    files.delete(staging)
+    files.delete(staging, up_to=f"{base}/{STAGING}")
     return manifest
 
 
 def _stage(
-    projected: DataFrame, unit: Unit, options: LandingOptions, row_count: int, staging: str, files: Files
+    projected: DataFrame, unit: Unit, options: LandingOptions, size: TableSize, events: DataFrame, staging: str, files: Files
 ) -> list:
     """Write the good rows to staging and the others to the quarantine; returns the staged files."""
-    write_ordered(convertible(projected), staging, file_count(row_count, options.max_records_per_file), options)
+    cuts = position_cuts(events, file_count(size, options))
+    write_ordered(convertible(projected), staging, size, cuts, options)
     staged = _staged_files(projected.sparkSession, files, staging)
-    if sum(n for _, n in staged) < row_count:
+    if sum(n for _, n in staged) < size.rows:
         target = f"{options.base}/{QUARANTINE}/{unit.batch}/{unit.key}"
         refused_rows(projected, unit.folder, options.marker).write.mode("overwrite").parquet(target)
     return staged
@@ -169,14 +231,18 @@ def _stage(
 def _staged_files(spark: SparkSession, files: Files, staging: str) -> list:
     """Staged files in row order with their row counts; counts come from the footers."""
 
-    def place(name: str) -> tuple[int, int]:
-        part, chunk = re.match(r"part-(\d+)-.*[.-]c(\d+)[.]", name).groups()
-        return int(part), int(chunk)
-
-    counts = dict(
-        spark.read.parquet(staging).groupBy(F.col("_metadata.file_name").alias("name")).count().collect()
-    )
-    return [[n, counts[n]] for n in sorted((n for n in files.names(staging) if n in counts), key=place)]
+    def place(name: str) -> tuple[int, ...]:
+        folders = tuple(int(n) for n in re.findall(r"(?:range|file)=(\d+)/", name))
+        part, chunk = re.search(r"part-(\d+)-.*[.-]c(\d+)[.]", name).groups()
+        return (*folders, int(part), int(chunk))
+
+    names = [n for n in files.tree(staging) if n.endswith(naming.SUFFIX)]
+    if not names:
+        return []
+    every = spark.read.option("recursiveFileLookup", "true").parquet(staging)
+    name = F.substring_index("_metadata.file_path", "/", -1 - names[0].count("/"))
+    counts = dict(every.groupBy(name.alias("name")).count().collect())
+    return [[n, counts[n]] for n in sorted((n for n in names if n in counts), key=place)]
 
 
 def _publish(files: Files, manifest: dict, staging: str, folder: str, renamed: Callable[[], None]) -> None:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from tidemark.plans.files import Files
 from tidemark.plans.landing import LandingOptions, restore_sequence, scan_sequence
 from tidemark.session import prepare, shared_dir
 from tidemark.sources import catalog, events, landing
+from tidemark.streaming.segments import FlushPolicy
 from tidemark.streaming.sink import LandingSink, start_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,13 +116,17 @@ def new_sink(spark: SparkSession, specs: tuple = (X.ORDERS, X.USERS), **options)
     )
 
 
-def landed(spark: SparkSession, feed: DataFrame, **options) -> str:
+def landed(spark: SparkSession, feed: DataFrame, specs: tuple = (X.ORDERS, X.USERS), **options) -> str:
     """Land a feed as one batch; returns the landing zone's folder."""
-    sink = new_sink(spark, **options)
+    sink = new_sink(spark, specs, **options)
     sink(feed, 0)
     return sink.options.base
 
 
+class Interrupted(Exception):
+    pass
+
+
 def read_orders(spark: SparkSession, base: str) -> DataFrame:
     return landing.read_landing(spark, base, X.ORDERS_FOLDER, X.ORDERS)
 
@@ -944,6 +950,176 @@ def schema_evolution(spark, sf_dir):
     )
 
 
+# --- many tables, wide rows, waiting and failing tables ------------------------------------------
+
+N_TABLES = 60
+SPREAD_SQL = f"case when o_custkey % 4 = 0 then 0 else o_custkey % {N_TABLES} end"
+
+
+def spread_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[catalog.TableSpec]]:
+    """The order events dealt over many tables by customer, a quarter of them to the first one."""
+    of = X.table(spark, sf_dir, "orders").selectExpr("o_orderkey as k", f"{SPREAD_SQL} as t")
+    feed = X.order_events(spark, sf_dir).withColumn("k", F.floor(F.col("pos") / 2)).join(of, "k")
+    feed = feed.select(F.concat(F.col("topic"), F.lit("_"), F.col("t")).alias("topic"), "key", "value", "pos")
+    return feed, [replace(X.ORDERS, table=f"ORDERS_{i}") for i in range(N_TABLES)]
+
+
+@query(
+    ORDER_ROWS
+    + f""", t as (select o_orderkey as orderkey, {SPREAD_SQL} as t from orders)
+    select 'ORDERS_' || t as table_name, {ORDER_COLUMNS}, cast(1 as bigint) as file_sequence from r join t using (orderkey)"""
+)
+def fan_out(spark, sf_dir):
+    """A batch of many tables is split in one pass and lands in all of them."""
+    feed, specs = spread_orders(spark, sf_dir)
+    base = landed(spark, feed, specs=tuple(specs))
+    every = [
+        landing.read_landing(spark, base, f"{s.schema}.schema/{s.table}", s).select(F.lit(s.table).alias("table_name"), *order_columns(), "file_sequence")
+        for s in specs
+    ]
+    return reduce(DataFrame.unionByName, every)
+
+
+DOCS = catalog.TableSpec(
+    "TEXT", "DOCS",
+    (
+        catalog.ColumnSpec("DOC_ID", "NUMBER", 18, 0, False, 1),
+        catalog.ColumnSpec("BODY", "CLOB", 0, 0, True, 2),
+        catalog.ColumnSpec("LANG", "VARCHAR2", 0, 0, True, 3),
+    ),
+    ("DOC_ID",),
+)
+DOCS_FOLDER = "TEXT.schema/DOCS"
+
+
+def document_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows from a few to many thousand bytes."""
+    row = F.to_json(F.struct(F.col("doc_id").alias("DOC_ID"), F.col("text").alias("BODY"), F.col("lang").alias("LANG")))
+    return X.table(spark, sf_dir, "documents").select(
+        F.lit("oracle.TEXT.DOCS").alias("topic"), F.lit(None).cast("string").alias("key"),
+        F.concat(F.lit('{"op":"c","after":'), row, F.lit("}")).alias("value"), F.col("doc_id").alias("pos"),
+    )
+
+
+@query(
+    """select doc_id, md5(text) as body_md5, lang, 1 as is_within_limit, 1 as is_one_of_several, 1 as is_in_order from documents"""
+)
+def flush_by_bytes(spark, sf_dir):
+    """Files of wide rows end at a limit of bytes; a file above it would hold a single row."""
+    limit = 250_000
+    base = landed(spark, document_events(spark, sf_dir), specs=(DOCS,), max_bytes_per_file=limit)
+    rows = landing.read_landing(spark, base, DOCS_FOLDER, DOCS)
+    names = landing.landing_files(spark, base, DOCS_FOLDER)
+    files = names.select(naming.name_sequence(F.col("file_name")).alias("file_sequence"), "length").filter("file_sequence is not null")
+    spans = rows.groupBy("file_sequence").agg(F.count("*").alias("n"), F.min("DOC_ID").alias("low"), F.max("DOC_ID").alias("high"))
+    following = spans.select((F.col("file_sequence") - 1).alias("file_sequence"), F.col("low").alias("next_low"))
+    marked = spans.join(files, "file_sequence").join(following, "file_sequence", "left").select(
+        "file_sequence",
+        ((F.col("length") <= limit) | (F.col("n") == 1)).cast("int").alias("is_within_limit"),
+        F.lit(int(files.count() > 1)).alias("is_one_of_several"),
+        F.coalesce(F.col("high") < F.col("next_low"), F.lit(True)).cast("int").alias("is_in_order"),
+    )
+    return rows.join(marked, "file_sequence").select(
+        F.col("DOC_ID").alias("doc_id"), F.md5("BODY").alias("body_md5"), F.col("LANG").alias("lang"),
+        "is_within_limit", "is_one_of_several", "is_in_order",
+    )
+
+
+N_SMALL = 9
+SMALL_BATCHES = f"""
+with r as (select *, ntile({N_SMALL}) over (order by event_id) - 1 as batch from events)
+select user_id, event_id, case when event_type = 'error' then 2 else 1 end as row_marker,
+"""
+
+
+def small_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The user events cut into as equal batches as their number allows, in order."""
+    feed, n = X.user_events(spark, sf_dir), X.table(spark, sf_dir, "events").count()
+    ends = [0]
+    for i in range(N_SMALL):
+        ends.append(ends[-1] + n // N_SMALL + (i < n % N_SMALL))
+    first = X.table(spark, sf_dir, "events").agg(F.min("event_id")).first()[0]
+    return [feed.filter((F.col("pos") >= first + low) & (F.col("pos") < first + high)) for low, high in zip(ends, ends[1:])]
+
+
+def landed_users(spark: SparkSession, base: str) -> DataFrame:
+    return read_users(spark, base).select(
+        F.col("USER_ID").alias("user_id"), F.col("EVENT_ID").alias("event_id"),
+        F.col(envelope.MARKER_COLUMN).alias("row_marker"), "file_sequence",
+    )
+
+
+@query(SMALL_BATCHES + "cast(batch // 3 + 1 as bigint) as file_sequence from r")
+def carry_over(spark, sf_dir):
+    """Small batches wait until there are enough rows: three of them make a file."""
+    batches = small_batches(spark, sf_dir)
+    least = sum(b.count() for b in batches[-3:])
+    sink = replace(new_sink(spark), flush=FlushPolicy(rows=least, seconds=1e9))
+    for i, batch in enumerate(batches):
+        sink(batch, i)
+    sink.flush_due(spark, everything=True)
+    return landed_users(spark, sink.options.base)
+
+
+@query(SMALL_BATCHES + "cast(batch // 4 + 1 as bigint) as file_sequence from r")
+def flush_by_age(spark, sf_dir):
+    """Ten seconds between batches: a table lands with the first batch after its oldest event is 25 seconds old."""
+    now = [0.0]
+    sink = replace(new_sink(spark), flush=FlushPolicy(rows=1 << 40, bytes=1 << 60, seconds=25), clock=lambda: now[0])
+    for i, batch in enumerate(small_batches(spark, sf_dir)):
+        now[0] = 10.0 * i
+        sink(batch, i)
+    now[0] += 100
+    sink.flush_due(spark)
+    return landed_users(spark, sink.options.base)
+
+
+@query(
+    SMALL_BATCHES
+    + f"""cast(batch + 1 as bigint) as file_sequence from r
+    union all select null, o_orderkey, 0, cast(o_orderkey % {N_SMALL} + 1 as bigint) from orders"""
+)
+def failing_table(spark, sf_dir):
+    """A table that fails three times lands in order afterwards, a file for each batch; the other one is not held up."""
+    orders = X.table(spark, sf_dir, "orders").select(
+        F.lit("oracle.SALES.ORDERS").alias("topic"), F.lit(None).cast("string").alias("key"),
+        F.expr("concat('{\"after\":{\"O_ORDERKEY\":', o_orderkey, '}}')").alias("value"), F.col("o_orderkey").alias("pos"),
+    )
+    attempts: list[str] = []
+
+    def fail(step: str, folder: str) -> None:
+        if step == "staged" and folder == X.ORDERS_FOLDER and len(attempts) < 3:
+            attempts.append(folder)
+            raise Interrupted(folder)
+
+    sink = replace(new_sink(spark), keep_failed=True, on_step=fail)
+    for i, batch in enumerate(small_batches(spark, sf_dir)):
+        sink(batch.unionByName(orders.filter(F.col("pos") % N_SMALL == i)), i)
+    rows = read_orders(spark, sink.options.base).select(
+        F.lit(None).cast("bigint").alias("user_id"), F.col("O_ORDERKEY").alias("event_id"),
+        F.col(envelope.MARKER_COLUMN).alias("row_marker"), "file_sequence",
+    )
+    return landed_users(spark, sink.options.base).unionByName(rows)
+
+
+@query(USER_CHANGES + "select user_id, pos as event_id, row_marker from r")
+def replay_overlap(spark, sf_dir):
+    """Batches that overlap, whole replays and copies within a batch: each change lands once.
+
+    Offsets are counted per partition, so equal ones of two partitions are different changes.
+    """
+    feed = X.user_events(spark, sf_dir)
+    numbered = feed.select("topic", "key", "value", (F.col("pos") % 2).cast("int").alias("partition"), F.expr("pos div 2").alias("pos"))
+    n = X.table(spark, sf_dir, "events").count() // 2
+    sink = replace(new_sink(spark), drop_replays=True)
+    early, late = numbered.filter(F.col("pos") < 0.6 * n), numbered.filter(F.col("pos") >= 0.4 * n)
+    sink.land_batch(early.unionByName(early.filter("pos % 7 = 0")))
+    sink.land_batch(early)
+    sink.land_batch(late)
+    sink.land_batch(numbered)
+    return landed_users(spark, sink.options.base).drop("file_sequence")
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 
@@ -961,10 +1137,6 @@ def stream_landing(spark, sf_dir):
     return read_orders(spark, sink.options.base).select(*order_columns())
 
 
-class Interrupted(Exception):
-    pass
-
-
 @query(
     BOTH_TABLES
     + "select folder, count(*) as rows, 0 as gaps, count(*) filter (row_marker = 2) as deletes from both_tables group by folder"
