@@ -77,28 +77,29 @@ def edits_within_one(a: list, b: list) -> bool:
     return row[-1] <= 1
 
 
-def without_repeated_lines(docs: list[tuple[int, str]], least: int = 8) -> dict[int, str]:
+def without_repeated_lines(docs: list[tuple[int, str]], exact: int = 1, near: int = 4) -> dict[int, str]:
+    """Exact repeats go from ``exact`` words on, near ones from ``near`` words on."""
     first: dict[tuple, tuple] = {}
     places = sorted((d, i, tuple(x.lower().split())) for d, t in docs for i, x in enumerate(t.split("\n")))
     for d, i, w in places:
-        if len(w) >= least:
+        if len(w) >= min(exact, near):
             first.setdefault(w, (d, i))
-    halves = collections.defaultdict(list)
+    by_end = collections.defaultdict(list)
     for w in first:
-        for h in {w[: len(w) // 2 - 1], w[len(w) // 2 + 1 :]}:
-            halves[h[:3]].append(w)
-    ordered, near = list(first), set()
-    by_size = collections.defaultdict(list)
-    for w in ordered:
-        by_size[len(w)].append(w)
-    for w in ordered:
-        for size in (len(w) - 1, len(w), len(w) + 1):
-            for v in by_size[size]:
-                # an edit leaves one end of a line as it is
-                if first[v] < first[w] and (v[:2] == w[:2] or v[-2:] == w[-2:]) and edits_within_one(list(v), list(w)):
-                    near.add(w)
-                    break
-    gone = {(d, i) for d, i, w in places if len(w) >= least and (w in near or first[w] < (d, i))}
+        # an edit leaves one end of a line as it is
+        if len(w) >= near:
+            for end in {("first", *w[:2]), ("last", *w[-2:])}:
+                by_end[end, len(w)].append(w)
+    edited = {
+        w
+        for w in first
+        if len(w) >= near
+        for end in {("first", *w[:2]), ("last", *w[-2:])}
+        for size in (len(w) - 1, len(w), len(w) + 1)
+        for v in by_end[end, size]
+        if first[v] < first[w] and edits_within_one(list(v), list(w))
+    }
+    gone = {(d, i) for d, i, w in places if w in edited or (len(w) >= exact and first[w] < (d, i))}
     return {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in docs}
 
 

@@ -5,7 +5,7 @@ variant: one with the word at some place left out. Variants of equal length carr
 variants that meet a whole line do not, so every line of a group under one key is within the bound of the
 earliest one the key compares it with. Groups are reduced to their earliest line, never to pairs.
 
-Lines that are too short for an edit to leave them the same sentence meet their exact copies only. Only lines
+Lines that are too short for an edit to leave them the same meet their exact copies only. Only lines
 that can have a partner emit variants. An edit leaves the first or the last half of a line as it
 is, so lines whose halves nobody shares have none; this test loses nothing.
 """
@@ -24,8 +24,8 @@ from xxhash import xxh64_intdigest
 
 from tidemark.llm.common import by_size, chunks, small_batches, stored, with_made
 
-#: Lines of fewer words have no near lines: one edit makes another sentence of them.
-LEAST_WORDS = 8
+#: Lines of fewer words have no near lines: one edit changes a third of them or more.
+LEAST_WORDS = 4
 #: Every line that is not blank.
 ANY_LINE = 1
 #: Odd base of the rolling sum by which all deletions of a line are hashed at once.
@@ -49,7 +49,7 @@ def _halves(words: list[str], size: int) -> list[int]:
     return [_hash(f"head {size}", *words[:h]), _hash(f"tail {size}", *words[len(words) - (size - h) :])]
 
 
-def hashed_lines(docs: DataFrame, exact_from: int = LEAST_WORDS) -> DataFrame:
+def hashed_lines(docs: DataFrame, exact_from: int = ANY_LINE) -> DataFrame:
     """Lines of ``exact_from`` words or more: place, hash of the words, hashes of the halves.
 
     Halves are taken twice: for a partner of the same number of words, and for one that is a word shorter.
@@ -174,7 +174,7 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return compared.filter(near("words", "other_words")).groupBy("h").agg(F.min("earlier").alias("earlier"))
 
 
-def repeated_lines(docs: DataFrame, exact_from: int = LEAST_WORDS) -> DataFrame:
+def repeated_lines(docs: DataFrame, exact_from: int = ANY_LINE) -> DataFrame:
     """``doc_id, gone`` per document that loses lines; ``gone`` lists the lines' numbers and hashes.
 
     A line of ``exact_from`` words or more goes if the same or a near line stands at an earlier place (doc_id,
@@ -194,11 +194,11 @@ def repeated_lines(docs: DataFrame, exact_from: int = LEAST_WORDS) -> DataFrame:
     return gone.groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "h")).alias("gone"))
 
 
-def drop_repeated_lines(docs: DataFrame, exact_from: int = LEAST_WORDS) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, exact_from: int = ANY_LINE) -> DataFrame:
     """``docs`` with lines that repeat earlier ones taken out of ``text``, and ``n_lines``, ``n_dropped`` longs.
 
     Documents stay, if need be with an empty text; null texts stay null. A document's own repeated lines go as
-    well. Exact copies go from ``exact_from`` words on (``ANY_LINE``: all but blank lines), near ones from
+    well. Exact copies go from ``exact_from`` words on (all but blank lines, unless told otherwise), near ones from
     ``LEAST_WORDS``. Rows with equal ids count as one document: their equal lines at equal places stay.
     Only ``doc_id`` and ``text`` are read, other columns pass.
     """
