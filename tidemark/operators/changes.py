@@ -42,12 +42,30 @@ def apply_changes(
     reduced; base rows of changed keys give way to them. Changes without a full key cannot be applied,
     see :func:`keyless_changes`.
     """
-    last = last_changes(changes, keys, order)
-    current = last.filter(F.col(marker) != DELETE).drop(marker, *order)
+    return merge_changes(base, last_changes(changes, keys, order), keys, marker, order)
+
+
+def merge_changes(
+    base: DataFrame | None, last: DataFrame, keys: Sequence[str], marker: str = MARKER_COLUMN, order: Sequence[str] = ORDER
+) -> DataFrame:
+    """``base`` with the last change of each key on top of it, both read once.
+
+    A base stored in buckets by ``keys`` is not shuffled. Columns that only one side has are NULL in rows of the other.
+    """
     if base is None:
-        return current
-    untouched = base.join(last.select(*keys), list(keys), "left_anti")
-    return untouched.unionByName(current, allowMissingColumns=True)
+        return last.filter(F.col(marker) != DELETE).drop(marker, *order)
+    values = [c for c in last.columns if c not in (marker, *order)]
+    names = [*values, *(c for c in base.columns if c not in values)]
+    old, new = base.alias("old"), last.alias("new")
+    both = old.join(new, reduce(lambda a, b: a & b, (F.col(f"old.`{k}`") == F.col(f"new.`{k}`") for k in keys)), "full_outer")
+    changed = F.col(f"new.`{marker}`").isNotNull()
+
+    def value(name: str) -> Column:
+        new_one = F.col(f"new.`{name}`") if name in values else F.lit(None)
+        old_one = F.col(f"old.`{name}`") if name in base.columns else F.lit(None)
+        return F.when(changed, new_one).otherwise(old_one).alias(name)
+
+    return both.filter(F.coalesce(F.col(f"new.`{marker}`") != DELETE, F.lit(True))).select(*map(value, names))
 
 
 def keyless_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:

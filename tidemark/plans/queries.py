@@ -9,18 +9,20 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions import convert, envelope, naming, routing
-from tidemark.operators import changes, decode, lookup, project, resolve
+from tidemark.operators import changes, decode, lookup, project, resolve, state
 from tidemark.operators.keep import keep_rows
 from tidemark.plans import fixtures as X
 from tidemark.plans.files import Files
 from tidemark.plans.landing import LandingOptions, restore_sequence, scan_sequence
 from tidemark.session import prepare, shared_dir
-from tidemark.sources import catalog, events, landing
+from tidemark.sources import catalog, events, history, landing
 from tidemark.streaming.segments import FlushPolicy
 from tidemark.streaming.sink import LandingSink, start_landing
 
@@ -248,7 +250,10 @@ def key_metadata_json(spark, sf_dir):
 def catalog_resolve(spark, sf_dir):
     topics = "array('oracle.APP.USER_STATE', 'oracle.app.user_state', 'oracle.App.User_State', 'oracle.APP.MISSING')"
     feed = X.user_events(spark, sf_dir).withColumn("topic", F.expr(f"element_at({topics}, cast(pos % 4 + 1 as int))"))
-    found = resolve.resolve_tables(events.with_folder(feed, X.PREFIX), spec_columns(spark, X.ORDERS, X.USERS))
+    none = (spark.createDataFrame([], s) for s in (catalog.CONSTRAINT_SCHEMA, catalog.KEY_COLUMN_SCHEMA))
+    current = catalog.cached_catalog(lambda: catalog.collect_catalog(spec_columns(spark, X.ORDERS, X.USERS), *none))
+    known = [current() for _ in range(2)][-1]  # the second call is answered by the cache
+    found = resolve.resolve_tables(events.with_folder(feed, X.PREFIX), spec_columns(spark, *known.values()))
     return found.select(
         "folder", "catalog_name", "n_events", F.coalesce("n_columns", F.lit(0)).cast("int").alias("n_columns")
     )
@@ -559,23 +564,21 @@ def json_row_map(spark, sf_dir):
     """select event_id, case event_id % 10 when 0 then 'int' when 1 then 'long' when 2 then 'double' when 3 then 'text'
       when 4 then 'boolean' when 5 then 'null' when 6 then 'json' when 7 then 'json' when 8 then 'json' else 'double' end as kind,
     case event_id % 10 when 0 then json_extract_string(props, '$.k') when 1 then cast(epoch_us(ts) as varchar)
-      when 3 then event_type when 4 then 'true' when 6 then '[' || event_id || ']' when 7 then props
+      when 2 then cast(value + 0.005 as varchar) when 3 then event_type when 4 then 'true' when 6 then '[' || event_id || ']'
+      when 7 then '{"a":' || json_extract_string(props, '$.k') || ',"b":"' || event_type || '","c":[1,null]}'
       when 8 then '99999999999999999999' when 9 then event_id || '.0' end as value from events"""
 )
 def json_scalar_types(spark, sf_dir):
+    """Kind and text of every value; objects print with sorted members, without spaces."""
     documents = """case event_id % 10 when 0 then get_json_object(props, '$.k') when 1 then cast(unix_micros(cast(ts as timestamp)) as string)
       when 2 then cast(value + 0.005 as string) when 3 then to_json(named_struct('t', event_type)) when 4 then 'true' when 5 then 'null'
-      when 6 then concat('[', event_id, ']') when 7 then props when 8 then '99999999999999999999' else concat(event_id, '.0') end"""
+      when 6 then concat('[', event_id, ']') when 7 then concat('{"c": [1, null], "b": "', event_type, '", "a": ', get_json_object(props, '$.k'), '}')
+      when 8 then '99999999999999999999' else concat(event_id, '.0') end"""
     rows = X.table(spark, sf_dir, "events").select("event_id", F.expr(f"parse_json({documents})").alias("v"))
     text_member = envelope.read(F.col("v"), envelope.json_path("t"))
-    value = F.when(F.col("event_id") % 10 == 3, text_member).otherwise(F.col("v"))
-    rows = rows.select("event_id", value.alias("v"))
+    rows = rows.select("event_id", F.when(F.col("event_id") % 10 == 3, text_member).otherwise(F.col("v")).alias("v"))
     text = convert.plain_text(F.try_variant_get("v", "$", "string"), F.col("v"))
-    # Objects print without the space the table has; other fractions are compared by kind only.
-    spaced = F.format_string('{"k": %s}', F.try_variant_get("v", "$.k", "string"))
-    kind = F.col("event_id") % 10
-    shown = F.when(kind == 7, spaced).when(kind != 2, text)
-    return rows.select("event_id", envelope.scalar_kind(F.col("v")).alias("kind"), shown.alias("value"))
+    return rows.select("event_id", envelope.scalar_kind(F.col("v")).alias("kind"), text.alias("value"))
 
 
 def line_values(spark: SparkSession, sf_dir: str, value: str) -> DataFrame:
@@ -751,18 +754,34 @@ def max_sequence(spark, sf_dir):
     return landing.max_sequence(file_names(spark, sf_dir))
 
 
+CODECS_ASKED = {"gzip": "GZIP", "LZ4": "LZ4", "Zstd": "ZSTD", "UNCOMPRESSED": "UNCOMPRESSED", "bogus": "SNAPPY", "": "SNAPPY"}
+
+
 @query(
-    """select l_orderkey as orderkey, l_linenumber as linenumber,
-    case l_linenumber when 1 then 'gzip' when 2 then 'lz4' when 3 then 'zstd' when 4 then 'uncompressed' else 'snappy' end as codec
-    from lineitem"""
+    ORDER_ROWS
+    + f"""select asked, found as codec, orderkey, price, row_marker from r, (values {', '.join(f"('{a}', '{c}')" for a, c in CODECS_ASKED.items())}) as asked(asked, found)"""
 )
 def codecs(spark, sf_dir):
-    requested = """case l_linenumber when 1 then 'gzip' when 2 then 'LZ4' when 3 then 'Zstd' when 4 then 'UNCOMPRESSED'
-      when 5 then 'bogus' when 6 then null else 'SNAPPY' end"""
-    return X.table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").alias("linenumber"),
-        naming.codec_column(F.expr(requested)).alias("codec"),
-    )
+    """The orders landed with every codec and read back, with the codec that the files' footers name."""
+    path = f"{shared_dir(spark)}/events"
+    X.order_events(spark, sf_dir).write.parquet(path)
+    every = []
+    for asked in CODECS_ASKED:
+        base = landed(spark, events.read_events(spark, path), specs=(X.ORDERS,), compression=asked or None)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{naming.SUFFIX}").load(f"{base}/{X.ORDERS_FOLDER}")
+        found = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content").mapInArrow(_footer_codecs, "name string, codec string")
+        found = found.select(naming.name_sequence(F.col("name")).alias("file_sequence"), "codec")
+        rows = read_orders(spark, base).join(F.broadcast(found), "file_sequence")  # a row per file
+        every.append(rows.select(F.lit(asked).alias("asked"), "codec", F.col("O_ORDERKEY").alias("orderkey"), F.col("O_TOTALPRICE").alias("price"), F.col(envelope.MARKER_COLUMN).alias("row_marker")))
+    return reduce(DataFrame.unionByName, every)
+
+
+def _footer_codecs(batches):
+    for batch in batches:
+        footers = [pq.ParquetFile(pa.BufferReader(c)).metadata.row_group(0).column(0).compression for c in batch.column(1).to_pylist()]
+        # LZ4 in the frames that Spark writes has no name there
+        named = ["LZ4" if f == "UNKNOWN" else f for f in footers]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(named, pa.string())], ["name", "codec"])
 
 
 # --- tables, counts, profiles ------------------------------------------------------------------
@@ -972,10 +991,11 @@ def spread_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[cat
 def fan_out(spark, sf_dir):
     """A batch of many tables is split in one pass and lands in all of them."""
     feed, specs = spread_orders(spark, sf_dir)
-    base = landed(spark, feed, specs=tuple(specs))
+    sink = new_sink(spark, tuple(specs))
+    names = {f"{s.schema}.schema/{s.table}": s for s in specs}
     every = [
-        landing.read_landing(spark, base, f"{s.schema}.schema/{s.table}", s).select(F.lit(s.table).alias("table_name"), *order_columns(), "file_sequence")
-        for s in specs
+        landing.read_landing(spark, sink.options.base, folder, names[folder]).select(F.lit(names[folder].table).alias("table_name"), *order_columns(), "file_sequence")
+        for folder in sink(feed, 0)
     ]
     return reduce(DataFrame.unionByName, every)
 
@@ -1170,6 +1190,56 @@ def restart_no_dup(spark, sf_dir):
     )
 
 
+# --- catalog versions --------------------------------------------------------------------------
+
+ID_OF_STATUS = 3
+
+
+def order_history(spark: SparkSession, sf_dir: str) -> tuple[catalog.Catalog, int, int]:
+    """Three catalog entries of the orders, from their rows with the positions from which they hold.
+
+    The second one adds a column, the third one drops a column and gives another one a new name.
+    """
+    last = X.table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0]
+    starts = (0, last // 3, 2 * last // 3)
+    columns = [c for c in X.ORDERS.columns if c.name != "O_ORDERDATE"]
+    second = columns
+    third = [replace(c, name="O_STATE") if c.column_id == ID_OF_STATUS else c for c in columns if c.name != "O_CUSTKEY"]
+    rows = [
+        ("SALES", "ORDERS", c.name, c.data_type, c.precision, c.scale, "Y" if c.nullable else "N", c.column_id, start)
+        for start, entry in zip(starts, (second[:-1], second, third))
+        for c in entry
+    ]
+    listed = spark.createDataFrame(rows, f"{catalog.COLUMN_SCHEMA}, valid_from BIGINT")
+    constraints = spark.createDataFrame([("SALES", "ORDERS", "PK", "P")], catalog.CONSTRAINT_SCHEMA)
+    keys = spark.createDataFrame([("SALES", "PK", "O_ORDERKEY", 1)], catalog.KEY_COLUMN_SCHEMA)
+    return history.collect_history(listed, constraints, keys), starts[1], starts[2]
+
+
+@query(
+    """with b as (select max(o_orderkey) // 3 as second, 2 * max(o_orderkey) // 3 as third from orders)
+    select o_orderkey as orderkey, case when o_orderkey < third then o_orderstatus else lower(o_orderstatus) end as state, o_totalprice as price,
+    case when o_orderkey >= second then o_orderpriority end as priority, case when o_orderkey < third then cast(o_custkey as integer) end as custkey,
+    cast(o_orderkey % 2 + 1 as bigint) as file_sequence from orders, b"""
+)
+def catalog_versions(spark, sf_dir):
+    """Each event is read under the catalog entry of its position; a renamed column goes on, a dropped one stays NULL."""
+    entries, _, _ = order_history(spark, sf_dir)
+    rows = X.order_rows(spark, sf_dir).withColumn("O_STATE", F.lower("O_ORDERSTATUS"))  # entries tell which of the two names counts
+    feed = rows.select(
+        F.lit("oracle.SALES.ORDERS").alias("topic"), F.lit(None).cast("string").alias("key"),
+        F.to_json(F.struct(F.struct(*rows.columns).alias("after"))).alias("value"), F.col("O_ORDERKEY").alias("pos"),
+    )
+    sink = replace(new_sink(spark), catalog=catalog.cached_catalog(lambda: entries))
+    for batch in range(2):
+        sink(feed.filter(F.col("pos") % 2 == batch), batch)
+    spec = entries[X.ORDERS.name].landing_spec()
+    return landing.read_landing(spark, sink.options.base, X.ORDERS_FOLDER, spec).select(
+        F.col("O_ORDERKEY").alias("orderkey"), F.col("O_STATE").alias("state"), F.col("O_TOTALPRICE").alias("price"),
+        F.col("O_ORDERPRIORITY").alias("priority"), F.col("O_CUSTKEY").alias("custkey"), "file_sequence",
+    )
+
+
 # --- current state -----------------------------------------------------------------------------
 
 LAST_USERS = (
@@ -1211,6 +1281,51 @@ def apply_changes_incremental(spark, sf_dir):
     return user_state(changes.apply_changes(since, X.USERS.keys, first))
 
 
+@query(LAST_USERS)
+def snapshot_hand_over(spark, sf_dir):
+    """A snapshot read in two chunks while changes go on, then the changes from its start: the true last state.
+
+    Each user's row is read at some position inside the window of its chunk, and may be overtaken there.
+    """
+    n = X.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    windows = [(3 * n // 10, 45 * n // 100), (45 * n // 100, 6 * n // 10)]
+    feed = X.user_events(spark, sf_dir)
+    user = F.get_json_object("key", "$.USER_ID").cast("long")
+    low, high = (F.when(user % 2 == 0, windows[0][i]).otherwise(windows[1][i]) for i in range(2))
+    read_at = low + 1 + user * 7919 % (high - low)
+    seen = feed.filter(F.col("pos") <= read_at).groupBy("topic", "key").agg(F.max_by("value", "pos").alias("value"))
+    snapshot = seen.filter(F.get_json_object("value", "$.op") == "u").select(
+        "topic", "key", F.replace("value", F.lit('"op":"u"'), F.lit('"op":"r"')).alias("value"), (user % 2).cast("int").alias("window")
+    )
+    handed = events.hand_over(snapshot, feed.filter(F.col("pos") > windows[0][0]), windows, X.USERS.keys)
+    return user_state(changes.apply_changes(read_users(spark, landed(spark, handed)), X.USERS.keys))
+
+
+KEYED = "(case when event_id % 13 <> 0 then user_id end)"
+
+
+@query(
+    USER_CHANGES.replace("user_id,", f"{KEYED} as user_id,")
+    + """, l as (select *, row_number() over (partition by user_id order by case when pos % 10 < 4 then 0 when pos % 10 < 7 then 1 else 2 end desc, pos desc) as n
+      from r where user_id is not null)
+    select 1 as is_state, user_id, pos as event_id, event_type, value from l where n = 1 and row_marker <> 2
+    union all select 0, user_id, pos, event_type, value from r where user_id is null"""
+)
+def state_advance(spark, sf_dir):
+    """The state advanced by three landed batches, and the changes without a key that each call hands on."""
+    keyless = "if(pos % 13 = 0, replace(value, concat('\"USER_ID\":', get_json_object(key, '$.USER_ID'), ','), ''), value)"
+    feed = X.user_events(spark, sf_dir).withColumn("value", F.expr(keyless))
+    sink, home = new_sink(spark), shared_dir(spark)
+    current = state.KeyedState(f"{home}/state", X.USERS, buckets=8)
+    handed = []
+    for batch in range(3):
+        sink(feed.filter(F.col("pos") % 10 < 4 if batch == 0 else F.col("pos") % 10 >= 7 if batch == 2 else (F.col("pos") % 10).between(4, 6)), batch)
+        handed.append(current.advance(spark, sink.options.base, X.USERS_FOLDER))
+    columns = [F.col("USER_ID").alias("user_id"), F.col("EVENT_ID").alias("event_id"), F.col("EVENT_TYPE").alias("event_type"), F.col("VALUE").alias("value")]
+    rows = current.read(spark).select(F.lit(1).alias("is_state"), *columns)
+    return reduce(DataFrame.unionByName, [rows, *(h.select(F.lit(0).alias("is_state"), *columns) for h in handed)])
+
+
 @query("select o_orderkey as k, 1 as row_marker from orders where o_orderkey % 3 = 0")
 def keyless_changes(spark, sf_dir):
     """Changes that no current row can be found for are handed on, not dropped unseen."""

@@ -74,6 +74,7 @@ class TableSpec:
         )
 
 
+#: A catalog's tables by name; an entry may also be a history of entries (``sources.history``).
 Catalog = dict[str, TableSpec]
 
 

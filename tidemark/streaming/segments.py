@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.files import Files
 from tidemark.plans.landing import TableSize, Unit
 from tidemark.sources.catalog import TableSpec
+from tidemark.sources.history import TableHistory, entry_from_dict
 
 #: What of a decoded event its table needs; ``size`` is the length of its text.
 COLUMNS = ("pos", "topic", "op", "marker", "root", "wrapped", "size")
@@ -58,7 +59,7 @@ class Flush:
 
     unit: Unit
     segments: tuple[Segment, ...]
-    spec: TableSpec
+    spec: TableSpec | TableHistory
     failed: int = 0
     error: str = ""
 
@@ -71,7 +72,7 @@ class Flush:
     @classmethod
     def from_dict(cls, data: dict) -> Flush:
         segments = tuple(Segment(**s) for s in data["segments"])
-        return cls(Unit(**data["unit"]), segments, TableSpec.from_dict(data["spec"]), data["failed"], data["error"])
+        return cls(Unit(**data["unit"]), segments, entry_from_dict(data["spec"]), data["failed"], data["error"])
 
 
 def total_size(segments: Iterable[Segment]) -> TableSize:

@@ -24,6 +24,7 @@ from tidemark.plans.files import Files
 from tidemark.plans.landing import QUARANTINE, STAGING, LandingOptions, TableSize, Unit, land_table
 from tidemark.session import prepare
 from tidemark.sources.catalog import Catalog, TableSpec
+from tidemark.sources.history import TableHistory, entry_from_dict, project_versions
 from tidemark.streaming.segments import Flush, FlushPolicy, Ledger, Segment, read_segments, split, total_size
 
 TRIGGER_SECONDS = 10
@@ -274,11 +275,15 @@ class LandingSink:
         state.delete(plan_path)
         return landed
 
-    def _land(self, rows: DataFrame | None, size: TableSize, spec: TableSpec, unit: Unit, spark: SparkSession | None = None) -> dict:
+    def _land(self, rows: DataFrame | None, size: TableSize, spec: TableSpec | TableHistory, unit: Unit, spark: SparkSession | None = None) -> dict:
         options = self.options
         if rows is None:  # landed already
             return json.loads(Files(spark, unit.state_dir).read_text(unit.manifest))
-        projected = project_rows(rows, spec, options.units, options.marker, self.lookup_updates)
+        if isinstance(spec, TableHistory):
+            projected = project_versions(rows, spec, options.units, options.marker, self.lookup_updates)
+            spec = spec.landing_spec()
+        else:
+            projected = project_rows(rows, spec, options.units, options.marker, self.lookup_updates)
         read = self.snapshots.get(spec.name)
         if self.lookup_updates and size.updates and read:
             projected = fill_from_snapshot(projected, read(rows.sparkSession), spec, options.marker)
@@ -434,7 +439,7 @@ def _frozen_specs(state: Files, path: str, folders: list[str], catalog: Callable
         seen = {f: specs[n] for f in folders if (n := _catalog_name(f)) in specs}
         text = json.dumps({f: s.to_dict() for f, s in seen.items()})
         state.write_text_once(path, text)
-    return {f: TableSpec.from_dict(s) for f, s in json.loads(text).items()}
+    return {f: entry_from_dict(s) for f, s in json.loads(text).items()}
 
 
 def _catalog_name(folder: str) -> str:
