@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tests.llm.brute import SF, odd_documents, rows, texts
@@ -201,6 +202,45 @@ def test_evenly_edited_items_are_found(spark):
     assert expected <= {(r.doc_id, r.item_id) for r in got}
 
 
+def test_long_excerpts_and_short_items_are_found(spark):
+    """An excerpt counts by its words, however long its item; a few words count as a line of their own."""
+    r = random.Random(8)
+    item = [f"w{r.randrange(4000)}" for _ in range(1000)]
+    pad = lambda n: [f"p{r.randrange(4000)}" for _ in range(n)]
+    items = [(1, " ".join(item)), (2, "Four words, only here"), (3, "one two"), (4, "")]
+    docs = [
+        (1, " ".join(pad(50) + item[200:650] + pad(50))), (2, " ".join(item[500:980])), (3, " ".join(pad(9) + item[40:71] + pad(9))),
+        (4, " ".join(pad(9) + item[40:60] + pad(9))), (5, "four words only here"), (6, "a line\nFour words - only here.\nanother"),
+        (7, "they have four words only here and there"), (8, "One two"), (9, "one two three"), (10, "\n\n"),
+    ]
+    got = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(x.doc_id, x.item_id) for x in got} == {(1, 1), (2, 1), (3, 1), (5, 2), (6, 2), (8, 3)}
+    places = {(x.doc_id, x.item_id): (x.first_word, x.last_word) for x in got}
+    assert places[1, 1] == (50, 499) and places[3, 1] == (9, 39) and places[6, 2] == (2, 5)
+
+
+def test_all_scores_equal_a_full_alignment(spark):
+    """Pairs that share a trigram: every score is that of the whole table of whole texts."""
+    r = random.Random(12)
+    items = [(k, [f"w{r.randrange(60)}" for _ in range(r.randint(5, 40))]) for k in range(12)]
+    docs = []
+    for k in range(60):
+        words = [x for w in r.choice(items)[1] for x in (r.choice([[], ["other"], [w, "more"]]) if r.random() < 0.2 else [w])]
+        docs.append((k, [f"w{r.randrange(60)}" for _ in range(r.randint(0, 40))] + words + [f"w{r.randrange(60)}" for _ in range(r.randint(0, 40))]))
+    grams = lambda w: {tuple(w[i : i + 3]) for i in range(len(w) - 2)}
+    numbered = lambda w: np.array([hash(x) for x in w])
+    expected = {}
+    for d, text in docs:
+        for i, item in items:
+            score = decontamination.align(numbered(item), numbered(text))[0]
+            if score >= 0.5 and grams(item) & grams(text):
+                expected[d, i] = round(score, 9)
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")
+    got = decontamination.contaminated(df, spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")).collect()
+    assert {(x.doc_id, x.item_id): round(x.score, 9) for x in got} == expected
+    assert any(s < 1 for s in expected.values())
+
+
 def test_blocks_of_the_benchmark_give_the_same(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "benchmark"))
     one = {tuple(r) for r in decontamination.contaminated(docs, items).collect()}
@@ -213,6 +253,7 @@ def test_odd_documents_against_odd_items(spark):
     docs = odd_documents(spark)
     items = spark.createDataFrame([(1, "A, b c D e F"), (1, "A, b c D e F"), (2, "a b"), (None, "x"), (3, None)], "item_id long, text string")
     assert [(r.doc_id, r.item_id, r.score) for r in decontamination.contaminated(docs, items).collect()] == [(None, 1, 1.0)]
+    assert decontamination.contaminated(docs.withColumn("item_id", F.lit(9)), items.withColumn("doc_id", F.lit(9)).withColumn("score", F.lit(2))).count() == 1
     left = decontamination.clean_documents(docs, items)
     assert left.columns == docs.columns and left.count() == docs.count()
     assert decontamination.contaminated(docs.limit(0), items.limit(0)).count() == 0
