@@ -132,6 +132,72 @@ def test_the_network_finds_most_held_out_spans(network):
     assert right >= 0.85 * total
 
 
+@pytest.fixture(scope="module")
+def trained(spark):
+    """The network as the query trains it, on the larger documents."""
+    return pii.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+
+def other_notation(r):
+    """A span in a notation that no pattern finds: its kind, the text before it, the span, the text behind it."""
+    d = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9)))
+    kind, before, span, behind = r.choice([
+        ("phone", "", f"({d(3)}) 555-{d(4)}", ""), ("phone", "", f"{d(3)}.{d(3)}.{d(4)}", ""), ("phone", "", f"00{r.randint(31, 69)} {d(2)} {d(3)} {d(2)} {d(2)}", ""),
+        ("email", "", f"{word()}.{word()} [at] example.com", ""), ("email", "", f"{word()}_{word()}(at)mail{d(1)}.org", ""),
+        ("ip", "", ".".join(str(r.randint(0, 255)) for _ in range(4)).replace(".", "[.]"), ""),
+        ("secret", r.choice(["password: ", "api_key=", "client_secret = '"]), "".join(r.choice(pii._LETTERS) for _ in range(r.randint(20, 44))) + "5", ""),
+    ])
+    words = lambda n: " ".join(word() for _ in range(n))
+    return kind, words(r.randint(2, 10)) + " " + before, span, ("'" if before.endswith("'") else "") + " " + words(5) + behind
+
+
+def test_the_network_finds_what_the_patterns_miss(trained):
+    r, hits, wanted, added = random.Random(7), collections.Counter(), collections.Counter(), collections.Counter()
+    for _ in range(500):
+        kind, before, span, behind = other_notation(r)
+        text = before + span + behind
+        base = pii.base_spans(text)
+        if any(s < len(before) + len(span) and len(before) < e for s, _, e in base):
+            continue  # by chance a pattern finds part of it
+        found = [(pii.NAMES[k], s, e) for s, k, e, is_base in pii.find_all(trained, [text])[0] if not is_base]
+        wanted[kind] += 1
+        hits[kind] += (kind, len(before), len(before) + len(span)) in found
+        added[kind] += len(found)
+    assert set(wanted) == {"phone", "email", "ip", "secret"}
+    assert all(hits[k] >= 0.9 * wanted[k] for k in wanted), (hits, wanted)
+    assert sum(hits.values()) >= 0.95 * sum(added.values()), (hits, added)
+
+
+def test_the_network_adds_the_secrets_of_the_documents(trained):
+    documents = [t for t in texts(SF.replace("0.001", "0.1")).values() if t]
+    places = [{(m.start(1), m.end(1)) for m in pii.ASSIGNED.finditer(t)} for t in documents]
+    found = pii.find_all(trained, documents)
+    added = [{(s, e) for s, k, e, base in f if not base} for f in found]
+    secrets = [{(s, e) for s, k, e, _ in f if k == pii.SECRET} for f in found]
+    assert sum(map(len, places)) > 100
+    assert sum(len(a & b) for a, b in zip(places, secrets)) >= 0.9 * sum(map(len, places))
+    assert sum(len(a - b) for a, b in zip(added, places)) <= 0.05 * sum(map(len, places))
+
+
+def test_long_texts_of_digits_are_read_in_pieces(trained, monkeypatch):
+    """Pieces give the spans of the whole; what is held at a time is bounded."""
+    r, gap = random.Random(3), " and then some more words "
+    text = "".join(f"{gap if r.random() < 0.5 else ' 7 '}token = \"{''.join(r.choice('0123456789abcdef') for _ in range(40))}\"" for _ in range(150))
+    whole = pii.find_all(trained, [text])
+    monkeypatch.setattr(pii, "PIECE", 1024)
+    monkeypatch.setattr(pii, "OVERLAP", 256)
+    monkeypatch.setattr(pii, "DECODED", 2000)
+    pieces = pii.find_all(trained, [text])
+    assert sum(k == pii.SECRET for _, k, _, _ in whole[0]) >= 100
+    assert len(set(whole[0]) ^ set(pieces[0])) <= 4
+    sizes = []
+    spans_of = pii._spans_of
+    monkeypatch.setattr(pii, "_spans_of", lambda net, parts: (sizes.append(sum(map(len, parts))), spans_of(net, parts))[1])
+    pii.find_all(trained, ["1 2 3 " * 20_000, "x1" * 3000, None, ""])
+    assert max(sizes) <= 2000 * 1.3
+
+
 def test_overlapping_windows_agree_with_one(network):
     """A stretch of many windows gives the spans that its places give alone."""
     gap = " and then some more words of text go on for a while until "

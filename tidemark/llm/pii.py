@@ -1,15 +1,19 @@
 """Personal data: exact patterns, and a character-level bidirectional LSTM with CRF transitions.
 
 Patterns give the base spans of e-mail addresses, IP addresses, payment cards and phone numbers. The network,
-written in numpy, is trained on windows around base spans of a bounded sample of documents, and on variants of
-these spans in other notations, and finds further spans. Every span has a digit or an at sign, so the
+written in numpy, finds further ones in notations that the patterns miss, and secrets: keys and tokens that are
+assigned a value. It is trained on windows of a bounded sample of documents, labelled by the base spans and by
+assignments to telling names, and on the same windows with a span rewritten: local phone numbers, addresses
+written out, secrets of other alphabets under other names. Every span has a digit or an at sign, written out or not, so the
 network reads the places around these: overlapping windows give scores for each character, windows that
-overlap are averaged, and one Viterbi path is decoded over the whole stretch they cover.
+overlap are averaged, and one Viterbi path is decoded over the whole stretch they cover. Very long stretches are
+decoded in overlapping pieces, and texts in groups of a bounded number of characters.
 """
 
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,21 +23,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, small_batches
+from tidemark.llm.common import chunks, small_batches, stored
 
 KINDS = ("email", "ip", "card", "phone")
+#: What the network knows besides.
+SECRET = len(KINDS)
+NAMES = (*KINDS, "secret")
 #: Documents and windows the network is trained on, at most; documents by the lowest hashes of their ids.
 SAMPLE_DOCS = 3_000
-SAMPLE_WINDOWS = 4_000
+SAMPLE_WINDOWS = 8_000
 #: Characters of a window, and from one window to the next.
 WINDOW, STRIDE = 64, 32
 #: Characters read on either side of a digit or at sign; stretches that touch are one.
 MARGIN = 24
-HIDDEN, TAGS = 12, 1 + 2 * len(KINDS)  # nothing, and the first and later characters of each kind
+HIDDEN, TAGS = 16, 1 + 2 * len(NAMES)  # nothing, and the first and later characters of each kind
 #: Mean probability of its tags from which a decoded span is taken.
-CERTAIN = 0.7
+CERTAIN = 0.5
+#: Characters that are decoded at a time, and of one piece of a stretch; pieces overlap by more than a span has.
+DECODED, PIECE, OVERLAP = 100_000, 8_192, 512
 
 ANCHOR = re.compile(r"[0-9@]")
+#: At signs written out, besides.
+WRITTEN_AT = re.compile(r"[0-9@]|[\[(]at[\])]", re.IGNORECASE)
+#: Names whose values are secrets, for the labels of the training windows.
+ASSIGNED = re.compile(r"""(?i)\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)["']?\s*[:=]\s*["']?([A-Za-z0-9+/_=-]{16,128})(?![A-Za-z0-9+/_=-])""")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 # A digit before would have begun the match itself, so looking behind changes nothing but the cost of long runs.
@@ -207,10 +220,10 @@ def _gradient(net: Network, x: np.ndarray, tags: np.ndarray) -> dict[str, np.nda
 
 
 #: Steps of training at least, so that small samples are gone over more often.
-LEAST_STEPS = 400
+LEAST_STEPS = 300
 
 
-def fit(windows: np.ndarray, tags: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.02, seed: int = 7) -> Network:
+def fit(windows: np.ndarray, tags: np.ndarray, epochs: int = 6, batch: int = 128, rate: float = 0.02, seed: int = 7) -> Network:
     """Train on windows and tags (windows, WINDOW) with Adam; the same input gives the same network."""
     net, rng = Network.fresh(seed), np.random.default_rng(seed)
     mean = {k: np.zeros_like(v) for k, v in net.weights.items()}
@@ -250,9 +263,9 @@ def _viterbi(scores: np.ndarray, moves: np.ndarray, first: np.ndarray) -> np.nda
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Where the network reads: around digits and at signs, as few stretches as touch."""
+    """Where the network reads: around digits and at signs, written out or not, as few stretches as touch."""
     out: list[list[int]] = []
-    for m in ANCHOR.finditer(text):
+    for m in WRITTEN_AT.finditer(text):
         start, end = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
         if out and start <= out[-1][1]:
             out[-1][1] = end
@@ -286,49 +299,87 @@ def _reconciled(net: Network, parts: list[np.ndarray]) -> list[np.ndarray]:
 #: What no reading of tags can hold: a later character of a kind behind anything but that kind.
 _FORBIDDEN = np.zeros((TAGS, TAGS), np.float32)
 _FORBIDDEN[:, 2::2] = -50
-for _k in range(len(KINDS)):
+for _k in range(len(NAMES)):
     _FORBIDDEN[2 * _k + 1 : 2 * _k + 3, 2 * _k + 2] = 0
 
 
 def _decoded(net: Network, parts: list[np.ndarray]) -> Iterator[tuple[int, int, int, int]]:
-    """(stretch, kind, start, end) of spans that the network is certain of."""
+    """(stretch, kind, start, end) of spans that the network is certain of.
+
+    Pieces of a long stretch overlap; a span counts where it begins in the half of the overlap that is the piece's own.
+    """
+    pieces = []
+    for j, part in enumerate(parts):
+        starts = [0] if len(part) <= PIECE else range(0, len(part) - OVERLAP, PIECE - OVERLAP)
+        for at in starts:
+            low = at + OVERLAP // 2 if at else 0
+            high = at + PIECE - OVERLAP // 2 if at + PIECE < len(part) else len(part)
+            pieces.append((j, at, low, high, part[at : at + PIECE]))
+    pieces.sort(key=lambda x: len(x[4]))
+    first = 0
+    while first < len(pieces):
+        last = first + 1  # pieces of like lengths, as many as the bound on characters allows
+        while last < len(pieces) and len(pieces[last][4]) <= 1.25 * len(pieces[first][4]) + 8 and (last - first + 1) * len(pieces[last][4]) <= DECODED:
+            last += 1
+        group, first = pieces[first:last], last
+        for k, kind, start, end in _spans_of(net, [g[4] for g in group]):
+            j, at, low, high, _ = group[k]
+            if low <= at + start < high:
+                yield j, kind, at + start, at + end
+
+
+def _spans_of(net: Network, parts: list[np.ndarray]) -> Iterator[tuple[int, int, int, int]]:
     moves, first = net.weights["moves"] + _FORBIDDEN, net.weights["first"] + _FORBIDDEN[0]
-    scores = _reconciled(net, parts)
-    order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
-    group: list[int] = []
-    for position, i in enumerate(order):
-        group.append(i)
-        following = len(parts[order[position + 1]]) if position + 1 < len(order) else None
-        longest = len(parts[i])
-        if following is not None and len(group) < 512 and following <= 1.25 * len(parts[group[0]]) + 8:
-            continue
-        padded = np.zeros((longest, len(group), TAGS), np.float32)
-        padded[:, :, 1:] = -20  # beyond a stretch's end there is nothing
-        for k, j in enumerate(group):
-            padded[: len(parts[j]), k] = scores[j]
-        tags = _viterbi(padded, moves, first)
-        prob, _ = _marginals(padded, moves, first)
-        for k, j in enumerate(group):
-            path = tags[: len(parts[j]), k]
-            for start in np.flatnonzero((path > 0) & (path % 2 == 1)):
-                kind, end = (path[start] - 1) // 2, start + 1
-                while end < len(path) and path[end] == path[start] + 1:
-                    end += 1
-                if prob[np.arange(start, end), k, path[start:end]].mean() >= CERTAIN:
-                    yield j, int(kind), int(start), int(end)
-        group = []
+    padded = np.zeros((max(map(len, parts)), len(parts), TAGS), np.float32)
+    padded[:, :, 1:] = -20  # beyond a stretch's end there is nothing
+    for k, scores in enumerate(_reconciled(net, parts)):
+        padded[: len(scores), k] = scores
+    tags = _viterbi(padded, moves, first)
+    prob, _ = _marginals(padded, moves, first)
+    for k, part in enumerate(parts):
+        path = tags[: len(part), k]
+        for start in np.flatnonzero((path > 0) & (path % 2 == 1)):
+            kind, end = (path[start] - 1) // 2, start + 1
+            while end < len(path) and path[end] == path[start] + 1:
+                end += 1
+            if prob[np.arange(start, end), k, path[start:end]].mean() >= CERTAIN:
+                yield k, int(kind), int(start), int(end)
+
+
+#: Signs by which a span goes on, by kind, and how far it may.
+_SIGNS = (LOCAL, *[frozenset(string.digits)] * 3, frozenset(string.ascii_letters + string.digits + "+/_-"))
+LONGEST = 256
+
+
+def whole_run(kind: int, text: str, start: int, end: int) -> tuple[int, int]:
+    """A span up to where its signs end: no address, number or secret begins or ends inside a run of them."""
+    signs, low, high = _SIGNS[kind], max(0, start - LONGEST), min(len(text), end + LONGEST)
+    while start < end and kind == SECRET and text[start] not in signs:
+        start += 1
+    while start > low and text[start - 1] in signs:
+        start -= 1
+    closing = _SIGNS[SECRET] | {"="} if kind == SECRET else signs - set("._%+")
+    while high > end and text[end] in closing:
+        end += 1
+    return start, end
+
+
+#: An at sign or a dot of an address, as such or written out.
+_AT, _DOT = r"(?:@|[ ]?[\[(](?:at|AT)[\])][ ]?)", r"(?:\.|[ ]?[\[(](?:dot|DOT)[\])][ ]?)"
+_ADDRESS = re.compile(rf"[\w.%+-]+{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+")
 
 
 def plausible(kind: int, text: str) -> bool:
     """What a span of the network must look like besides: the checks of its kind, in other notations too."""
     if kind == 0:
-        local, at, domain = text.partition("@")
-        return bool(at and local and "." in domain.strip(".") and "@" not in domain and not re.search(r"\s", text))
+        return bool(_ADDRESS.fullmatch(text))
     if kind == 1:
         return bool(re.fullmatch(r"[0-9]+([.\[\]() ]+[0-9]+){3}", text)) and valid_ip(".".join(re.findall("[0-9]+", text)))
     if kind == 2:
         return bool(re.fullmatch(r"[0-9]([ ./-]?[0-9])+", text)) and valid_card(text)
-    return bool(re.fullmatch(r"[+(]?[0-9][ ()./0-9-]+[0-9]", text)) and bool(re.search(r"[ ()./-]", text)) and valid_phone(text)
+    if kind == 3:
+        return bool(re.fullmatch(r"[+(]?[0-9][ ()./0-9-]+[0-9]", text)) and bool(re.search(r"[ ()./-]", text)) and valid_phone(text)
+    return bool(re.fullmatch(r"[A-Za-z0-9+/_=-]{16,}", text)) and bool(re.search("[0-9]", text)) and bool(re.search("[A-Za-z]", text))
 
 
 def find_all(net: Network | None, texts: list[str | None]) -> list[list[tuple[int, int, int, bool]]]:
@@ -337,17 +388,30 @@ def find_all(net: Network | None, texts: list[str | None]) -> list[list[tuple[in
     found = [[(s, k, e, True) for s, k, e in spans] for spans in base]
     if net is None:
         return found
-    places, parts = [], []
+    places, parts, held = [], [], 0
+    covered = [bytearray(len(t or "")) for t in texts]
+    for mask, spans in zip(covered, base):
+        for s, _, e in spans:
+            mask[s:e] = b"\x01" * (e - s)
+
+    def add() -> None:
+        for j, kind, start, end in _decoded(net, parts):
+            number, offset = places[j]
+            start, end = start + offset, end + offset
+            start, end = whole_run(kind, texts[number], start, end)
+            if plausible(kind, texts[number][start:end]) and not any(covered[number][start:end]):
+                found[number].append((start, kind, end, False))
+                covered[number][start:end] = b"\x01" * (end - start)
+
     for number, text in enumerate(texts):
-        if text:
-            for start, end in stretches(text):
-                places.append((number, start))
-                parts.append(symbols(text[start:end]))
-    for j, kind, start, end in _decoded(net, parts):
-        number, offset = places[j]
-        start, end = start + offset, end + offset
-        if plausible(kind, texts[number][start:end]) and not any(s < end and start < e for s, _, e, _ in found[number]):
-            found[number].append((start, kind, end, False))
+        for start, end in stretches(text) if text else ():
+            places.append((number, start))
+            parts.append(symbols(text[start:end]))
+            held += end - start
+            if held > 4 * DECODED:
+                add()
+                places, parts, held = [], [], 0
+    add()
     return [sorted(spans) for spans in found]
 
 
@@ -355,9 +419,16 @@ def find_all(net: Network | None, texts: list[str | None]) -> list[list[tuple[in
 
 
 def shaped_spans(text: str) -> list[tuple[int, int, int]]:
-    """Base spans, and numbers as long as a card's: the check digit cannot be learnt, it is tested afterwards."""
+    """Base spans, numbers as long as a card's (the check digit cannot be learnt, it is tested afterwards), and secrets."""
     cards = [(m.start(), 2, m.end()) for m in CARD.finditer(text) if 12 <= len(_digits(m[0])) <= 19]
-    return sorted(set(base_spans(text)) | set(cards))
+    secrets = [(m.start(1), SECRET, m.end(1)) for m in ASSIGNED.finditer(text) if DIGIT.search(m[1])]
+    found = [x for x in set(base_spans(text)) | set(cards) if not any(s <= x[0] and x[2] <= e for s, _, e in secrets)]
+    return sorted([*found, *secrets])
+
+
+#: Names that a rewritten window gives a secret, and letters of it.
+_TELLING = ("api_key", "API-KEY", "password", "secret", "access_key", "auth", "apikey", "client_secret")
+_LETTERS = string.ascii_letters + string.digits
 
 
 def _variant(kind: int, text: str, turn: int) -> str:
@@ -367,12 +438,38 @@ def _variant(kind: int, text: str, turn: int) -> str:
         mark = (" ", "-", ".", "/")[turn % 4]
         return mark.join(digits[i : i + 4] for i in range(0, len(digits), 4))
     if kind == 3:
-        mark = (".", "-", " ", "/")[turn % 4]
-        groups = [digits[i : i + 3] for i in range(0, len(digits) - 4, 3)] + [digits[-(len(digits) - len(digits[:-4]) // 3 * 3) :][-4:]]
-        return ("+", "")[turn % 2] + mark.join(groups)
+        local, mark = digits[-10:].rjust(10, "2"), (".", "-", " ", "/")[turn % 4]
+        if turn % 3 == 0:
+            return f"({local[:3]}) {local[3:6]}-{local[6:]}"
+        if turn % 3 == 1:
+            return mark.join([local[:3], local[3:6], local[6:]])
+        return mark.join([f"00{local[:2]}", local[2:4], local[4:7], local[7:9], f"{local[9]}{local[0]}"])
     if kind == 0:
-        return text.replace(".", "_", 1).replace("a", "ä", 1)
-    return re.sub(r"\.", "[.]", text) if turn % 2 else text
+        name, at, domain = text.partition("@")
+        middle = 1 + turn // 7 % max(1, len(name) - 1)
+        text = name[:middle] + ("", ".", "_", "-")[turn // 3 % 4] + name[middle:] + at + domain
+        if turn % 3 == 0:
+            return text.replace(".", "_", 1).replace("a", "ä", 1)
+        space, (left, right) = (" ", "")[turn % 2], ("[]", "()")[turn // 2 % 2]
+        text = text.replace("@", f"{space}{left}at{right}{space}")
+        return text.replace(".", f"{space}{left}dot{right}{space}") if turn % 5 < 2 else text
+    if kind == SECRET:
+        size, seed = 16 + turn % 33, zlib.crc32(f"{turn} {text}".encode())
+        letters = _LETTERS if turn % 2 else _LETTERS[:6] + _LETTERS[-10:]
+        made = []
+        for _ in range(size):
+            seed = (1_103_515_245 * seed + 12_345) % (1 << 31)
+            made.append(letters[(seed >> 8) % len(letters)])
+        return "".join(made) if DIGIT.search("".join(made)) else "7" + "".join(made)
+    return (re.sub(r"\.", "[.]", text), text.replace(".", "(.)"), text.replace(".", " . "), text)[turn % 4]
+
+
+def _renamed(before: str, turn: int) -> str:
+    """The text before a secret with another name and sign of assignment."""
+    name = re.search(r"""[\w-]+["']?\s*[:=]\s*["']?$""", before)
+    if not name:
+        return before
+    return before[: name.start()] + _TELLING[turn % len(_TELLING)] + (" = ", "=", ": ", '="', "='", ' = "')[turn // 3 % 6]
 
 
 def training_windows(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[bytes, bytes]]:
@@ -380,13 +477,16 @@ def training_windows(text: str, spans: list[tuple[int, int, int]]) -> Iterator[t
     for start, end in stretches(text):
         inside = [(s, k, e) for s, k, e in spans if start <= s and e <= end]
         versions = [(text[start:end], [(s - start, k, e - start) for s, k, e in inside])]
-        for turn, (s, k, e) in enumerate(inside[:3]):
-            new = _variant(k, text[s:e], s + e + turn)
-            versions.append((text[start:s] + new + text[e:end], [(s - start, k, s - start + len(new))]))
+        for s, k, e in inside[:3]:
+            for turn in range(5):
+                turn = zlib.crc32(f"{turn} {text[s:e]}".encode()) >> 4  # the notation is the span's, not its place's
+                new = _variant(k, text[s:e], turn)
+                before = _renamed(text[start:s], turn) if k == SECRET else text[start:s]
+                versions.append((before + new + text[e:end], [(len(before), k, len(before) + len(new))]))
         for part, marked in versions:
             tags = np.zeros(len(part), np.uint8)
             for s, k, e in sorted(marked, key=lambda x: (x[1] == 2, x[0])):  # a card inside a phone number is the phone's
-                if not tags[s:e].any():
+                if s < len(tags) and not tags[s:e].any():
                     tags[s:e] = 2 * k + 2
                     tags[s] = 2 * k + 1
             signs = symbols(part)
@@ -410,12 +510,14 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int =
             yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], pa.binary()) for i in (0, 1)], ["signs", "tags"])
 
     windows = texts.mapInArrow(work, "signs binary, tags binary").distinct()
-    marked = F.regexp_replace(F.hex("tags"), "0", "") != ""  # half of the windows hold spans
+    marked = F.regexp_replace(F.hex("tags"), "0", "") != ""
     turn = F.xxhash64("signs", "tags")
-    rows = windows.filter(marked).orderBy(turn).limit(sample_windows // 2).collect()
-    if not rows:
+    windows = stored(windows)
+    rows = windows.filter(~marked).orderBy(turn).limit(sample_windows // 2).collect()  # half of the windows at most hold no span
+    found = windows.filter(marked).orderBy(turn).limit(sample_windows - len(rows)).collect()
+    if not found:
         return None
-    rows += windows.filter(~marked).orderBy(turn).limit(sample_windows // 2).collect()
+    rows += found
     signs, tags = (np.stack([np.frombuffer(bytes(r[i]), np.uint8) for r in rows]) for i in (0, 1))
     return fit(signs, tags)
 
@@ -423,8 +525,9 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int =
 def find(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and ``found``: all spans of the whole text as (kind, start, end, base), in order, in code points.
 
-    Null texts have none; rows with equal keys are searched each. One narrow stage; the network has a few
-    thousand parameters.
+    Null and empty texts have none; rows with equal keys are searched each. Base spans may overlap if their kinds differ;
+    spans at one place come in the order of the kinds, and an added span gives way to any other. Other columns are not
+    read. One narrow stage; the network has a few thousand parameters, and what it holds at a time is bounded.
     """
     kind = docs.schema[key].dataType.simpleString()
 
@@ -432,7 +535,7 @@ def find(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str =
         row = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())])
         for batch in chunks(batches):
             found = find_all(net, batch.column(1).to_pylist())
-            lists = [[{"kind": KINDS[k], "start": s, "end": e, "base": b} for s, k, e, b in spans] for spans in found]
+            lists = [[{"kind": NAMES[k], "start": s, "end": e, "base": b} for s, k, e, b in spans] for spans in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(row))], ["k", "found"])
 
     ddl = f"k {kind}, found array<struct<kind: string, start: bigint, end: bigint, base: boolean>>"
