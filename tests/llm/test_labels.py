@@ -50,6 +50,46 @@ def test_licences_of_odd_and_edited_texts(spark):
     assert license_scan.scan(df.limit(0)).count() == 0
 
 
+NOTICE = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+NOTICES = {
+    NOTICE.format("General Public License", 2): "gpl-2",
+    NOTICE.format("General Public License", 3): "gpl-3",
+    NOTICE.format("Lesser General Public License", 3): "lgpl",
+    NOTICE.format("Affero General Public License", 3): "agpl-3",
+    NOTICE.format("General Public License", 3).replace("free software: ", "free software; ").replace("either version", "\n# either version"): "gpl-3",
+    NOTICE.format("General Public License", 3).replace("This program", "This small program here"): "gpl-3",
+    NOTICE.format("General Public License", 2).replace("and/or modify it", "and modify it"): "gpl-2",
+    "This file is free; you may copy it under the terms of version 2 of the GNU General Public License as published by the Free Software Foundation.": "gpl-2",
+    "GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.": "gpl-3",
+    "GNU GENERAL PUBLIC LICENSE\n Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.": "gpl-2",
+    "GNU LESSER GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.": "lgpl",
+    "GNU AFFERO GENERAL PUBLIC LICENSE\n Version 3, 19 November 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.": "agpl-3",
+    "// SPDX-License-Identifier: MIT": "mit",
+    "# SPDX-License-Identifier: Apache-2.0": "apache-2",
+    "/* SPDX-License-Identifier: GPL-2.0-only */": "gpl-2",
+    "SPDX-License-Identifier: GPL-3.0-or-later": "gpl-3",
+    "SPDX-License-Identifier: BSD-3-Clause": "bsd",
+    'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.': "apache-2",
+    "Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/": "apache-2",
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.': "mit",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "mpl-2",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted": "isc",
+    "The general public may license version 3 of the software foundation's terms, or either version.": "",
+    "This program is not free software; ask the foundation for the terms of its public license.": "",
+}
+
+
+def test_notices_are_told_apart_by_name_and_version(spark):
+    """Each notice in a text of its own and behind other words, and all labels of a text of several."""
+    docs = [(i, pad + text + " and so on", label) for i, (text, label) in enumerate(NOTICES.items()) for pad in ("", "some words before it " * 30)]
+    docs.append((1000, "\n".join(NOTICES), ",".join(sorted(set(NOTICES.values()) - {""}))))
+    df = spark.createDataFrame(docs, "doc_id long, text string, wanted string")
+    wanted = {r.doc_id: r.wanted for r in df.collect()}
+    got = [(r.doc_id, r.labels) for r in license_scan.scan(df).collect()]
+    assert len(got) == len(docs)
+    assert [(i, labels, wanted[i]) for i, labels in got if labels != wanted[i]] == []
+
+
 PATTERNS = [re.compile(p) for p in (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")]
 CHECKS = (lambda t: True, pii.valid_ip, pii.valid_card, pii.valid_phone)
 

@@ -3,8 +3,9 @@
 Every template is indexed by the words of it that the fewest documents of the corpus hold. A document's index
 words are looked up, its places are set against the places in the templates, and words that agree on where a
 template would begin add up by inverse document frequency. A template that enough of its weight supports is
-reported if its key phrase stands there word for word. Phrases that by themselves name a licence are found
-at the same time, as templates whose every word counts.
+reported if each of its key phrases stands there word for word; where wordings differ in a version or a name only, the
+phrases hold these. Phrases that by themselves name a licence are found at the same time, as templates whose every word
+counts.
 """
 
 from __future__ import annotations
@@ -35,30 +36,70 @@ BASE_PHRASES = {"mit license": "mit", "apache license version 2": "apache-2", "c
 class Template:
     label: str
     text: str
-    key_phrase: str
+    #: All of them must stand in the copy.
+    key_phrases: tuple[str, ...]
+
+
+def _notice(label: str, name: str, version: str) -> Template:
+    """The notice that asks for a version of a public licence or any later one."""
+    text = f"you can redistribute it and or modify it under the terms of the {name} as published by the free software foundation either version {version} of the license or at your option any later version"
+    return Template(label, text, (name, f"either version {version}"))
+
+
+def _identifier(label: str, name: str) -> Template:
+    """The line that names a licence for machines."""
+    return Template(label, f"spdx license identifier {name}", (f"identifier {name}",))
 
 
 # Wording of public licences and of the notices that refer to them, in lower case without marks.
 TEMPLATES = (
-    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "hereby granted free"),
-    Template("mit", "released under the mit license", "mit license"),
-    Template("apache-2", "licensed under the apache license version 2 0 you may not use this file except in compliance with the license", "apache license version 2"),
-    Template("apache-2", "licensed under the apache license version 2 0", "apache license version 2"),
-    Template("gpl-2", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2", "gnu general public license"),
-    Template("gpl-3", "this work is licensed under the gnu general public license version 3", "gnu general public license version 3"),
-    Template("gpl-3", "released under the gnu gpl version 3", "gnu gpl version 3"),
-    Template("lgpl", "licensed under the gnu lesser general public license", "gnu lesser general public license"),
-    Template("agpl-3", "licensed under the gnu affero general public license version 3", "gnu affero general public license"),
-    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "source and binary forms"),
-    Template("bsd", "released under the bsd license", "bsd license"),
-    Template("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
-    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "distribute this software"),
-    Template("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software"),
-    Template("cc-by", "licensed under a creative commons attribution 4 0 international license", "creative commons attribution 4"),
-    Template("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license", "creative commons attribution sharealike"),
-    Template("cc-by-nc", "licensed under a creative commons attribution noncommercial 4 0 international license", "creative commons attribution noncommercial"),
-    Template("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
-    Template("cc0", "to the extent possible under law the author has waived all copyright under cc0 1 0 universal", "waived all copyright"),
+    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("hereby granted free",)),
+    Template("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement", ("particular purpose and noninfringement",)),
+    Template("mit", "released under the mit license", ("mit license",)),
+    Template("apache-2", "licensed under the apache license version 2 0 you may not use this file except in compliance with the license", ("apache license version 2",)),
+    Template("apache-2", "licensed under the apache license version 2 0", ("apache license version 2",)),
+    Template("apache-2", "apache license version 2 0 january 2004 http www apache org licenses", ("apache license version 2",)),
+    Template("apache-2", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied", ("required by applicable law", "distributed on an as is basis")),
+    _notice("gpl-2", "gnu general public license", "2"),
+    _notice("gpl-3", "gnu general public license", "3"),
+    _notice("lgpl", "gnu lesser general public license", "2"),
+    _notice("lgpl", "gnu lesser general public license", "3"),
+    _notice("agpl-3", "gnu affero general public license", "3"),
+    Template("gpl-2", "under the terms of version 2 of the gnu general public license as published by the free software foundation", ("version 2 of the gnu general public license",)),
+    Template("gpl-3", "under the terms of version 3 of the gnu general public license as published by the free software foundation", ("version 3 of the gnu general public license",)),
+    Template("gpl-2", "gnu general public license version 2 june 1991 copyright c 1989 1991 free software foundation", ("gnu general public license", "version 2 june 1991")),
+    Template("gpl-3", "gnu general public license version 3 29 june 2007 copyright c 2007 free software foundation", ("gnu general public license", "version 3 29 june 2007")),
+    Template("lgpl", "gnu lesser general public license version 3 29 june 2007 copyright c 2007 free software foundation", ("gnu lesser general public license", "version 3 29 june 2007")),
+    Template("agpl-3", "gnu affero general public license version 3 19 november 2007 copyright c 2007 free software foundation", ("gnu affero general public license", "version 3 19 november 2007")),
+    Template("gpl-2", "licensed under the gnu general public license version 2", ("gnu general public license version 2",)),
+    Template("gpl-3", "this work is licensed under the gnu general public license version 3", ("gnu general public license version 3",)),
+    Template("gpl-2", "released under the gnu gpl version 2", ("gnu gpl version 2",)),
+    Template("gpl-3", "released under the gnu gpl version 3", ("gnu gpl version 3",)),
+    Template("lgpl", "licensed under the gnu lesser general public license", ("gnu lesser general public license",)),
+    Template("agpl-3", "licensed under the gnu affero general public license version 3", ("gnu affero general public license version 3",)),
+    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("source and binary forms",)),
+    Template("bsd", "released under the bsd license", ("bsd license",)),
+    Template("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license v 2",)),
+    Template("mpl-2", "licensed under the mozilla public license version 2 0", ("mozilla public license version 2",)),
+    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("distribute this software",)),
+    Template("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software",)),
+    Template("cc-by", "licensed under a creative commons attribution 4 0 international license", ("creative commons attribution 4",)),
+    Template("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license", ("creative commons attribution sharealike",)),
+    Template("cc-by-nc", "licensed under a creative commons attribution noncommercial 4 0 international license", ("creative commons attribution noncommercial",)),
+    Template("cc-by-nc", "licensed under cc by nc 4 0", ("cc by nc",)),
+    Template("cc0", "to the extent possible under law the author has waived all copyright under cc0 1 0 universal", ("waived all copyright",)),
+    _identifier("mit", "mit"),
+    _identifier("apache-2", "apache 2 0"),
+    _identifier("gpl-2", "gpl 2 0"),
+    _identifier("gpl-3", "gpl 3 0"),
+    _identifier("lgpl", "lgpl 2 1"),
+    _identifier("lgpl", "lgpl 3 0"),
+    _identifier("agpl-3", "agpl 3 0"),
+    _identifier("bsd", "bsd 2 clause"),
+    _identifier("bsd", "bsd 3 clause"),
+    _identifier("mpl-2", "mpl 2 0"),
+    _identifier("isc", "isc"),
+    _identifier("cc0", "cc0 1 0"),
 )
 
 
@@ -93,13 +134,14 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, key: str
     """``key``, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``, ``labels``, ``score`` per row.
 
     Base places are those of ``BASE_PHRASES``; ``labels`` adds the labels of verified templates; ``score`` is the
-    largest share of a verified template's weight, 1 for a base phrase, 0 for none. Null texts are empty. Rows
+    largest share of a verified template's weight, 1 for a base phrase, 0 for none. Null texts are empty, texts are
+    read whole, and no other columns are read. Rows
     are kept apart by a number of their own, so repeated and null keys do no harm. The index and the phrases
     are of fixed size and are broadcast; a document's words meet them inside its task, and only hits are
     grouped, by document.
     """
     spark = docs.sparkSession
-    phrases = sorted(set(BASE_PHRASES) | {t.key_phrase for t in templates})
+    phrases = sorted(set(BASE_PHRASES) | {p for t in templates for p in t.key_phrases})
     everything = sorted({w for t in templates for w in t.text.split()} | {w for p in phrases for w in p.split()})
     n_docs, frequencies = document_frequencies(docs, everything, text)
     index = build_index(templates, n_docs, frequencies)
@@ -154,13 +196,16 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, key: str
         .agg(F.sum("weight").alias("share"))
         .filter(F.col("share") >= LEAST_SHARE)
     )
-    about = [(n, t.label, phrases.index(t.key_phrase), len(t.text.split())) for n, t in enumerate(templates)]
-    told = F.broadcast(spark.createDataFrame(about, "template int, label string, phrase int, size long"))
+    about = [(n, t.label, phrases.index(p), len(t.text.split()), len(t.key_phrases)) for n, t in enumerate(templates) for p in t.key_phrases]
+    told = F.broadcast(spark.createDataFrame(about, "template int, label string, phrase int, size long, n_phrases long"))
     begin = (F.col("window") - 1) * SLACK
     verified = (
         support.join(told, "template")
         .join(places, ["row", "phrase"])
         .filter(F.col("start").between(begin - SLACK, begin + F.col("size") + 3 * SLACK))
+        .groupBy("row", "label", "share", "template", "window", "n_phrases")
+        .agg(F.count_distinct("phrase").alias("n"))
+        .filter("n = n_phrases")
         .select("row", "label", "share")
     )
     named = places.join(F.broadcast(base_labels), "phrase").select("row", "label", F.lit(1.0).alias("share"))
