@@ -165,9 +165,9 @@ def test_rows_of_one_position_do_not_share_one_task(spark, home):
     tasks = []
     original = L._staged_files
 
-    def spy(spark, files, staging):
+    def spy(spark, files, staging, *more):
         tasks.extend(files.names(staging))
-        return original(spark, files, staging)
+        return original(spark, files, staging, *more)
 
     L._staged_files = spy
     try:

@@ -11,6 +11,7 @@ class Files:
 
     def __init__(self, spark: SparkSession, root: str):
         self._jvm, self._gateway = spark._jvm, spark.sparkContext._gateway
+        self._over = None
         self._conf = spark._jsparkSession.sessionState().newHadoopConf()
         self._fs = self._path(root).getFileSystem(self._conf)
 
@@ -54,17 +55,28 @@ class Files:
         """
         aside = f"{path}.writing"
         self._write(aside, text)
-        hadoop = self._jvm.org.apache.hadoop.fs
-        over = self._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
-        over[0] = getattr(hadoop, "Options$Rename").OVERWRITE
         try:
-            hadoop.FileContext.getFileContext(self._fs.getUri(), self._conf).rename(self._path(aside), self._path(path), over)
+            context, over = self._renaming()
+            context.rename(self._path(aside), self._path(path), over)
         except Py4JJavaError as error:
             if "UnsupportedFileSystemException" not in str(error.java_exception):
                 raise
             self._write(path, text)
             self.delete(aside)
 
+    def _renaming(self):
+        """Hadoop's file context, which can rename over a file, and the option that tells it to."""
+        if self._over is None:
+            hadoop = self._jvm.org.apache.hadoop.fs
+            over = self._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+            over[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+            self._over = hadoop.FileContext.getFileContext(self._fs.getUri(), self._conf), over
+        return self._over
+
+    def mark(self, path: str) -> None:
+        """An empty file; that it exists is all it says."""
+        self._write(path, "")
+
     def _write(self, path: str, text: str) -> None:
         stream = self._fs.create(self._path(path), True)
         try:

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -29,6 +29,8 @@ from tidemark.sources.catalog import TableSpec
 STAGING = "_staging"
 QUARANTINE = "_quarantine"
 RENAME_THREADS = 16
+#: A table of less event text is converted in the task that writes its one file.
+ONE_TASK_BYTES = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -143,19 +145,19 @@ def range_number(pos: Column, tie: Column, cuts: list[int]) -> Column:
     return F.when(pos.isNull(), F.lit(0)).otherwise(within(0, len(steps))).cast("int")
 
 
-def write_ordered(rows: DataFrame, target: str, size: TableSize, cuts: list[int], options: LandingOptions) -> None:
+def write_ordered(rows: DataFrame, target: str, size: TableSize, cuts: list[int], options: LandingOptions) -> int:
     """Write ``row`` in ``pos`` order across and within files.
 
     Rows go to the ranges between ``cuts``, each to its own task. Rows that share a position are spread by a
     hash of their content, so a position with many rows does not end up in one task. Where the table has more
-    bytes than a file may, files are cut at running sums of rows and bytes.
+    bytes than a file may, files are cut at running sums of rows and bytes. Returns the number of rows.
     """
     limit = options.max_bytes_per_file
     by_bytes = bool(limit) and size.bytes > limit
     tie = F.call_function("shiftrightunsigned", F.xxhash64("row"), F.lit(1))
     dealt = rows.select("pos", tie.alias("tie"), "row", *(["size"] if by_bytes else []))
     dealt = dealt.withColumn("range", range_number(F.col("pos"), F.col("tie"), cuts))
-    dealt = dealt.repartitionById(len(cuts) + 1, "range")
+    dealt = dealt.coalesce(1) if not cuts and size.bytes < ONE_TASK_BYTES and not by_bytes else dealt.repartitionById(len(cuts) + 1, "range")
     if by_bytes:
         before = Window.partitionBy("range").orderBy("pos", "tie").rowsBetween(Window.unboundedPreceding, -1)
         room = max(1, limit - size.widest)  # a file that starts below its room ends below the limit
@@ -164,11 +166,14 @@ def write_ordered(rows: DataFrame, target: str, size: TableSize, cuts: list[int]
         dealt = dealt.withColumn("file", file).sortWithinPartitions("range", "file", "pos", "tie").select("range", "file", "row.*")
     else:
         dealt = dealt.sortWithinPartitions("pos", "tie").select("row.*")
+    counted = Observation()
+    dealt = dealt.observe(counted, F.count(F.lit(1)).alias("rows"))
     writer = dealt.write.mode("overwrite").option("compression", naming.codec(options.compression))
     if by_bytes:
         writer.partitionBy("range", "file").parquet(target)
     else:
         writer.option("maxRecordsPerFile", options.max_records_per_file).parquet(target)
+    return counted.get["rows"]
 
 
 def land_table(
@@ -210,7 +215,7 @@ def land_table(
         if (naming.parse_state(files.read_text(f"{base}/{folder}/{options.state_file}")) or 0) < last:
             commit_sequence(files, base, folder, last, options.state_file)
     on_step("committed", folder)
-    state.write_text(unit.done, "")
+    state.mark(unit.done)
     files.delete(staging, up_to=f"{base}/{STAGING}")
     return manifest
 
@@ -220,16 +225,16 @@ def _stage(
 ) -> list:
     """Write the good rows to staging and the others to the quarantine; returns the staged files."""
     cuts = position_cuts(events, file_count(size, options))
-    write_ordered(convertible(projected), staging, size, cuts, options)
-    staged = _staged_files(projected.sparkSession, files, staging)
+    written = write_ordered(convertible(projected), staging, size, cuts, options)
+    staged = _staged_files(projected.sparkSession, files, staging, written)
     if sum(n for _, n in staged) < size.rows:
         target = f"{options.base}/{QUARANTINE}/{unit.batch}/{unit.key}"
         refused_rows(projected, unit.folder, options.marker).write.mode("overwrite").parquet(target)
     return staged
 
 
-def _staged_files(spark: SparkSession, files: Files, staging: str) -> list:
-    """Staged files in row order with their row counts; counts come from the footers."""
+def _staged_files(spark: SparkSession, files: Files, staging: str, written: int) -> list:
+    """Staged files in row order with their row counts; of several files the footers tell them."""
 
     def place(name: str) -> tuple[int, ...]:
         folders = tuple(int(n) for n in re.findall(r"(?:range|file)=(\d+)/", name))
@@ -237,8 +242,8 @@ def _staged_files(spark: SparkSession, files: Files, staging: str) -> list:
         return (*folders, int(part), int(chunk))
 
     names = [n for n in files.tree(staging) if n.endswith(naming.SUFFIX)]
-    if not names:
-        return []
+    if len(names) < 2 or not written:
+        return [[n, written] for n in names if written]
     every = spark.read.option("recursiveFileLookup", "true").parquet(staging)
     name = F.substring_index("_metadata.file_path", "/", -1 - names[0].count("/"))
     counts = dict(every.groupBy(name.alias("name")).count().collect())

@@ -58,7 +58,7 @@ class LandingSink:
     tombstones: str = "delete"
     lookup_updates: bool = True
     snapshots: Mapping[str, Callable[[SparkSession], DataFrame]] = field(default_factory=dict)
-    parallel_tables: int = 4
+    parallel_tables: int = 8
     on_step: Callable[[str, str], None] = lambda step, folder: None
     flush: FlushPolicy | None = None
     keep_failed: bool = False
@@ -201,7 +201,7 @@ class LandingSink:
         gone = [s.path for fs in by_table.values() for f in fs if f not in (x for t in errors for x in left[t]) for s in f.segments]
         self.on_step("flushed", "")
         if plan["taken"]:
-            ledger.state.write_text(plan["taken"], "")
+            ledger.state.mark(plan["taken"])
         ledger.close_plan(failed, plan)
         files = Files(spark, self.options.base)
         for path in gone:
