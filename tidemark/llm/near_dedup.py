@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import STORES, Forest, by_size, chunks, components, runs, small_batches, stored
+from tidemark.llm.common import STORES, Forest, by_size, chunks, components, looked_up, runs, small_batches, stored
 
 SHINGLE = 5
 #: Components of a signature.
@@ -205,7 +205,8 @@ def similar(docs: DataFrame, percent: int = 85) -> DataFrame:
     Two rows are linked if ``100 * |A and B| >= percent * |A or B|`` for their sets; a component is what links
     reach, named by its smallest id. The empty set is linked with nothing. Exact copies are one node from the
     start, counted inside each task before they meet. Rows with equal ids are one node as well; of a row
-    without an id, only copies with an id link it, and its component is null if there are none.
+    without an id, only copies with an id link it, and its component is null if there are none. Null texts and texts
+    without words have the empty set. Texts are read whole, other columns are not read, an empty table gives no rows.
     """
     every = stored(sketches(docs, rows_per_band(percent)))
     sets = every.filter("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "low", "high").agg(
@@ -242,11 +243,11 @@ def similar(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     nodes = sets.select("low", "high", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     nodes = nodes.select("low", "high", F.coalesce("component", "rep").alias("component"))
-    # only sets that have a copy or a link need to be looked up, each once
+    # only sets that have a copy or a link need to be looked up; those of very many copies are met where the rows lie
     shared = every.groupBy("low", "high").agg(F.count("*").alias("n"))
     nodes = nodes.join(shared, ["low", "high"]).join(found.select(F.col("component").alias("top")).distinct(), F.col("component") == F.col("top"), "left")
-    nodes = nodes.filter("n > 1 or top is not null").select("low", "high", "component")
-    placed = every.select("doc_id", "n_shingles", "low", "high").join(nodes, ["low", "high"], "left")
+    nodes = stored(nodes.filter("n > 1 or top is not null").select("low", "high", "component", "n"))
+    placed = looked_up(every.select("doc_id", "n_shingles", "low", "high"), nodes, ["low", "high"])
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "doc_id"))
     return placed.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))

@@ -245,7 +245,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, end: int | None,
 
     placed = small_batches(docs).select(range_of(F.col("doc_id"), bounds).alias("range"), "doc_id", "text")
     encoded = placed.mapInArrow(encode, "range int, doc_id long, n long, bits int, packed binary")
-    dealt = encoded.repartition(parts, "range").sortWithinPartitions("range", "doc_id", "packed")
+    dealt = encoded.repartitionById(parts, "range").sortWithinPartitions("range", "doc_id", "packed")
     dealt.mapInArrow(shards, "range int, shard int, doc_ids array<long>, n_ids long, image binary").write.parquet(path)
 
 
