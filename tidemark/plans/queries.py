@@ -22,7 +22,7 @@ from tidemark.plans import fixtures as X
 from tidemark.plans.files import Files
 from tidemark.plans.landing import LandingOptions, restore_sequence, scan_sequence
 from tidemark.session import prepare, shared_dir
-from tidemark.sources import catalog, events, history, landing
+from tidemark.sources import catalog, events, history, landing, ranges
 from tidemark.streaming.segments import FlushPolicy
 from tidemark.streaming.sink import LandingSink, start_landing
 
@@ -1190,6 +1190,25 @@ def restart_no_dup(spark, sf_dir):
     )
 
 
+# --- snapshots in ranges -----------------------------------------------------------------------
+
+N_RANGES = 8
+
+
+@query("select o_orderkey as orderkey, o_custkey as custkey, 1 as is_even from orders")
+def snapshot_ranges(spark, sf_dir):
+    """A snapshot read in ranges of a composite key whose first column has three values: even ranges, each row once."""
+    orders = X.table(spark, sf_dir, "orders")
+    keys = ["o_orderstatus", "o_orderkey"]
+    conditions = ranges.range_conditions(keys, ranges.split_points(orders, keys, N_RANGES))
+    parts = [orders.filter(c).select("o_orderkey", "o_custkey", F.lit(i).alias("range")) for i, c in enumerate(conditions)]
+    rows = reduce(DataFrame.unionByName, parts)
+    sizes = rows.groupBy("range").agg(F.count("*").alias("n"))
+    share = orders.count() / N_RANGES
+    even = sizes.select("range", F.col("n").between(0.6 * share, 1.5 * share).cast("int").alias("is_even"))
+    return rows.join(F.broadcast(even), "range").select(F.col("o_orderkey").alias("orderkey"), F.col("o_custkey").alias("custkey"), "is_even")
+
+
 # --- catalog versions --------------------------------------------------------------------------
 
 ID_OF_STATUS = 3
