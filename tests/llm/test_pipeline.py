@@ -2,6 +2,7 @@
 
 import public_tokenizers
 import sentencepiece
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -64,3 +65,19 @@ def test_stages_keep_columns_and_take_nothing(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         left = stage(spark, docs.limit(0), SF)
         assert left.columns == docs.columns and left.count() == 0
+
+
+def test_stages_take_odd_documents(spark):
+    """Nulls, empty and long texts, repeated rows and ids, clashing names: nothing is lost, and other columns pass."""
+    docs = brute.odd_documents(spark).withColumn("source", F.lit("odd"))
+    for name, stage in corpus_pipeline.STAGES:
+        left = stage(spark, docs, SF)
+        assert left.count() == docs.count(), name
+        rows_left = left.collect()
+        assert {r.doc_id for r in rows_left} == {1, 2, 3, 4, None}
+        if name != "encoding":
+            assert left.columns == docs.columns and {r.source for r in rows_left} == {"odd"}
+            assert sum(r.text is None for r in rows_left) == 2
+        else:
+            assert sum(len(r.ids) == 0 for r in rows_left) == 3 and max(len(r.ids) for r in rows_left) > 8_000
+            assert stage(spark, docs.limit(0), SF).count() == 0
