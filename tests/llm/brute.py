@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import collections
 import re
+import struct
 
 import pyarrow.dataset as ds
+import xxhash
 
 SF = "/root/testdata/sf0.001"
 #: Columns whose names the operators use inside.
@@ -107,3 +109,45 @@ def whole_items(docs: dict[int, str], items: list[dict]) -> set[tuple[int, int]]
     plain = lambda t: " " + " ".join(re.findall(r"[^\W_]+", (t or "").lower())) + " "
     flat = {d: plain(t) for d, t in docs.items()}
     return {(d, i["item_id"]) for i in items for d, t in flat.items() if plain(i["text"]) in t}
+
+
+def _hash(*values) -> int:
+    """Spark's xxhash64 of texts and longs."""
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else struct.pack("<q", v), seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def fingerprint(text: str, size: int = 8, k: int = 6) -> str:
+    """Closed syncmers of the pieces of a text between blank ones, as ``hash:place`` in hexadecimal digits."""
+    h = [_hash(p) for p in re.findall(rf"[^ \t\n\x0b\f\r]{{1,{size}}}", text)]
+    h = h and [0] * (k - 1) + h + [0] * (k - 1)
+    pairs = [_hash(a, b) for a, b in zip(h, h[1:])]
+    found, met, out = [], collections.Counter(), []
+    for i in range(len(h) - k + 1):
+        window = pairs[i : i + k - 1]
+        if min(window) in (window[0], window[-1]):
+            found.append((_hash(*h[i : i + k]) & 0x7FFFFFFF, i))
+    for x, i in sorted(found):
+        n, met[x] = met[x], met[x] + 1
+        # the next one of equal hashes is told apart by the number before it
+        out.append((x if n == 0 else _later(x, n), i))
+    return ",".join(f"{x:x}:{i:x}" for x, i in sorted(out))
+
+
+def _later(x: int, n: int) -> int:
+    first = xxhash.xxh64_intdigest(struct.pack("<q", x), 42)
+    return xxhash.xxh64_intdigest(struct.pack("<i", n), first) & 0x7FFFFFFF
+
+
+def likeness(a: str, b: str, shift: int = 8) -> float:
+    """From two printed fingerprints: anchors of both in runs of like shifts, as a share of all."""
+    x, y = ({int(h, 16): int(i, 16) for h, i in (v.split(":") for v in f.split(",") if v)} for f in (a, b))
+    if not x and not y:
+        return 1.0
+    met = sorted((x[h], y[h]) for h in x.keys() & y.keys())
+    moved = [i - j for i, j in met]
+    alike = lambda i, j: 0 <= j < len(moved) and abs(moved[i] - moved[j]) <= shift
+    in_runs = sum(len(met) == 1 or alike(i, i - 1) or alike(i, i + 1) for i in range(len(met)))
+    return in_runs / (len(x) + len(y) - len(met))

@@ -3,8 +3,9 @@
 A text is cut into pieces (runs without white space, at most ``PIECE`` characters long). Of every ``K`` pieces in
 a row, a k-mer, the neighbouring pairs are hashed; the k-mer is an anchor if the least of its pairs is the
 first or the last one. Whether a k-mer is an anchor depends on nothing around it, so an edit moves or changes
-only anchors that touch it. The fingerprint is all anchors and, as the finer form that texts with few anchors are
-compared in, all pieces, each as a hash with its place.
+only anchors that touch it. The fingerprint is all anchors of the pieces with ``K - 1`` blank pieces before and behind
+them, each as a hash with its place. As one of any four neighbouring k-mers is an anchor, every text of one
+piece or more has some, and texts of all lengths are compared in this one form.
 """
 
 from __future__ import annotations
@@ -17,8 +18,6 @@ from tidemark.llm.common import range_bounds, range_of, shuffle_parts
 
 PIECE = 8
 K = 6
-#: Below so many pieces a text has few anchors or none; if either of two texts is that short, pieces are compared.
-SHORT = 3 * K
 #: Pieces by which the shifts of matching anchors that follow one another may differ.
 SHIFT = 8
 
@@ -86,23 +85,26 @@ def _place(anchor: Column) -> Column:
 
 
 def sketch(text: Column) -> Column:
-    """The fingerprint: ``anchors`` as sorted packed longs, and ``pieces`` as packed longs in their order."""
-    return _with(pieces(text), lambda h: F.struct(_syncmers(h).alias("anchors"), F.transform(h, _pack).alias("pieces")))
+    """The fingerprint: the anchors of the text between blank pieces, as sorted packed longs; none without a piece.
+
+    The place of an anchor is that of its k-mer's last piece, so those that reach over the end lie behind all pieces.
+    """
+    blank = F.array_repeat(F.lit(0).cast("long"), K - 1)
+    between = lambda h: F.when(F.size(h) > 0, F.concat(blank, h, blank)).otherwise(h)
+    return _with(_with(pieces(text), between), _syncmers)
 
 
 def printed(fingerprint: Column) -> Column:
-    """Hash and place of each anchor in hexadecimal digits; for short texts, behind a bar, those of each piece too."""
+    """Hash and place of each anchor in hexadecimal digits."""
     one = lambda a: F.concat_ws(":", F.lower(F.hex(_hash(a))), F.lower(F.hex(_place(a))))
-    joined = lambda name: F.array_join(F.transform(fingerprint[name], one), ",")
-    return F.concat(joined("anchors"), F.when(F.size(fingerprint["pieces"]) < SHORT, F.concat(F.lit("|"), joined("pieces"))).otherwise(""))
+    return F.array_join(F.transform(fingerprint, one), ",")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of the anchors of both texts that both have in runs of like shifts; 1 for two empty texts.
+    """Share of the anchors of two fingerprints that both have in runs of like shifts; 1 for two without anchors.
 
-    If either text is short, pieces are compared in place of anchors. A matching anchor counts if the one before or
-    behind it in the first text is shifted alike, or if it is the only one; so words put in or taken out between
-    two runs cost nothing but themselves.
+    A matching anchor counts if the one before or behind it in the first text is shifted alike, or if it is the
+    only one; so words put in or taken out between two runs cost nothing but themselves.
     """
 
     def compared(x: Column, y: Column) -> Column:
@@ -120,10 +122,8 @@ def likeness(a: Column, b: Column) -> Column:
         share = lambda n: F.when(F.size(x) + F.size(y) == 0, 1.0).otherwise(n["runs"] / (F.size(x) + F.size(y) - n["met"]))
         return _with(matches, share)
 
-    short = F.least(F.size(a["pieces"]), F.size(b["pieces"])) < SHORT
-    forms = F.when(short, F.struct(_told_apart(a["pieces"]).alias("a"), _told_apart(b["pieces"]).alias("b")))
-    forms = forms.otherwise(F.struct(a["anchors"].alias("a"), b["anchors"].alias("b")))
-    return _with(forms, lambda f: compared(f["a"], f["b"]))
+    sides = F.struct(a.alias("a"), b.alias("b"))
+    return _with(sides, lambda f: compared(f["a"], f["b"]))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
