@@ -132,9 +132,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text")).withColumn("anchors", sketch(F.col("text")))
 
 
-def with_next(rows: DataFrame, columns: list[str], parts: int | None = None) -> DataFrame:
+def with_next(rows: DataFrame, columns: list[str], parts: int | None = None, made: dict[str, Column] | None = None) -> DataFrame:
     """``rows`` with ``next_<column>`` of the row with the next smaller doc_id; after the last comes the first.
 
+    The columns ``made`` are worked out behind the shuffle, once for each row, and handed on likewise.
+
     Null ids come last, rows with equal ids in the order of their ``columns``. Rows are dealt into ranges of ids;
     each range also gets the first row of the range that follows, so the order needs one shuffle and no
     task holds more than a range. Only the largest id of each range reaches the driver.
@@ -147,9 +149,12 @@ def with_next(rows: DataFrame, columns: list[str], parts: int | None = None) ->
     copies = F.array(*[F.when((F.col("range") == r.range) & F.col("doc_id").eqNullSafe(F.lit(r.first).cast("long")), F.struct(F.lit(t).alias("range"), F.lit(1).alias("copy"))) for r, t in zip(firsts, targets)])
     own = F.array(F.struct("range", F.lit(0).alias("copy")))
     goes = F.concat(own, F.array_compact(copies)) if firsts else own
+    made = made or {}
+    order = ["copy", F.col("doc_id").desc_nulls_last(), *columns]
     dealt = placed.select(*rows.columns, F.explode(goes).alias("at")).select(*rows.columns, "at.*")
-    order = Window.partitionBy("range").orderBy("copy", F.col("doc_id").desc_nulls_last(), *columns)
-    following = dealt.select(*rows.columns, "copy", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
+    dealt = dealt.repartitionById(parts, "range").sortWithinPartitions("range", *order).withColumns(made)
+    window = Window.partitionBy("range").orderBy(*order)
+    following = dealt.select(*rows.columns, *made, "copy", *[F.lead(c).over(window).alias(f"next_{c}") for c in (*columns, *made)])
     return following.filter("copy = 0").drop("copy")
 
 
@@ -158,10 +163,10 @@ def with_edits(docs: DataFrame) -> DataFrame:
 
     Only texts are shuffled; fingerprints are made behind it.
     """
-    rows = with_next(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), ["text"])
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = with_next(texts, ["text"], made={"anchors": sketch(F.col("text"))})
     n = F.char_length("text").cast("long")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n.cast("int") - third), F.substring(F.col("next_text"), F.lit(1), third))
-    made = rows.select("doc_id", n.alias("n_chars"), edited.alias("edited"), "text", "next_text")
-    fingerprint = {f"{name}anchors": sketch(F.col(column)) for name, column in (("", "text"), ("next_", "next_text"), ("edited_", "edited"))}
-    return made.withColumns(fingerprint).drop("text", "next_text")
+    edits = rows.select("doc_id", n.alias("n_chars"), edited.alias("edited"), "anchors", "next_anchors")
+    return edits.withColumn("edited_anchors", sketch(F.col("edited")))
