@@ -44,6 +44,29 @@ def test_pieces_equal_the_library(own, library):
         assert decoded == own.decode(expected) == library.decode(expected), text
 
 
+def test_pairs_stay_apart_as_merging_them_shows(own):
+    r = random.Random(2)
+    inner = [i for i in own.ids.values() if "▁" not in own.pieces[i]]
+    common = sorted(inner, key=lambda i: -own.scores[i])[:300]
+    pairs = [(r.choice(inner), r.choice(inner)) for _ in range(2000)] + [(r.choice(common), r.choice(common)) for _ in range(2000)]
+    pairs += [(own.ids[a], own.ids[b]) for a in ("a", "aa", "s", "ss") for b in ("a", "aa", "s", "ss")]
+    alike = [own._compatible(a, b) == (own.merged(own.pieces[a] + own.pieces[b]) == [own.pieces[a], own.pieces[b]]) for a, b in pairs]
+    assert all(alike)
+
+
+def test_a_model_whose_parts_score_below_the_whole():
+    """Pieces that are put together before their parts would be: pairs of these are told by merging."""
+    field = lambda n, data: bytes([n << 3 | 2, len(data)]) + data
+    scored = [("a", -9.0), ("b", -9.0), ("c", -9.0), ("ab", -5.0), ("abc", -1.0), ("bc", -2.0), ("▁", -9.0), ("ca", -3.0), ("cab", -1.5)]
+    pieces = [field(1, p.encode()) + b"\x15" + np.float32(s).tobytes() for p, s in scored]
+    pieces += [field(1, f"<0x{i:02X}>".encode()) + b"\x18\x06" for i in range(256)]
+    model = piece_encoding.PieceModel(b"".join(field(1, p) for p in pieces) + field(3, b"\x20\x00"))
+    r = random.Random(3)
+    assert model._reachable(model.ids["cab"]) and model.ids["cab"] in model.unordered
+    for a, b in [(r.choice(scored[:6] + scored[7:])[0], r.choice(scored[:6] + scored[7:])[0]) for _ in range(300)]:
+        assert model._compatible(model.ids[a], model.ids[b]) == (model.merged(a + b) == [a, b])
+
+
 def test_broken_bytes_decode_as_in_the_library(own, library):
     for ids in ([3 + 0xE6, 3 + 0xBC], [3 + 0xFF, 264], [264, 3 + 0xC3, 3 + 0xA9]):
         assert own.decode(ids) == library.decode(ids)

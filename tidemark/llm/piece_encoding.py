@@ -9,6 +9,7 @@ No piece of the model spans a boundary before a space, so words are encoded apar
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import struct
 from collections.abc import Iterator
@@ -104,6 +105,8 @@ class PieceModel:
         self.ends.make_automaton()
         self.beside: dict = {}
         self.whole: dict = {}
+        self.halves: dict = {}  # the parts of a piece's last merge and its score
+        self.unordered: set = set()  # pieces that score no less than a part of theirs
         self.words: dict = {}
         self.older_words: dict = {}
         # Marks that in no piece follow another character, or only the listed ones: texts are cut before them.
@@ -119,8 +122,11 @@ class PieceModel:
         marks = f"[{re.escape(MARKS)}]+"
         self.units = re.compile(f"{SPACE}+(?:{marks})?{body}|{marks}{body}")
 
-    def merged(self, text: str) -> list[str]:
-        """Pieces by plain merging, the highest score first and of equals the leftmost. Characters stay if unknown."""
+    def merged(self, text: str, steps: list | None = None) -> list[str]:
+        """Pieces by plain merging, the highest score first and of equals the leftmost. Characters stay if unknown.
+
+        ``steps`` gets the two parts of every merge.
+        """
         parts: list = list(text)
         right, left = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
         heap: list = []
@@ -135,6 +141,8 @@ class PieceModel:
             _, a, b, size = heapq.heappop(heap)
             if parts[a] is None or parts[b] is None or right[a] != b or len(parts[a]) + len(parts[b]) != size:
                 continue
+            if steps is not None:
+                steps.append((parts[a], parts[b]))
             parts[a], parts[b], right[a] = parts[a] + parts[b], None, right[b]
             if right[b] < len(parts):
                 left[right[b]] = a
@@ -143,17 +151,50 @@ class PieceModel:
         return [p for p in parts if p is not None]
 
     def _reachable(self, piece: int) -> bool:
+        """Whether merging the text of the piece gives the piece. Its halves are noted, and whether they come first."""
         if (ok := self.whole.get(piece)) is None:
-            ok = self.whole[piece] = self.merged(self.pieces[piece]) == [self.pieces[piece]]
+            text, score = self.pieces[piece], self.scores[piece]
+            steps: list = []
+            ok = self.whole[piece] = self.merged(text, steps) == [text]
+            if ok and steps:
+                self.halves[text] = (*steps[-1], score)
+                made = [self.ids[h] for h in steps[-1] if len(h) > 1]
+                if not all(self.scores[h] > score and self._reachable(h) and h not in self.unordered for h in made):
+                    self.unordered.add(piece)
         return ok
 
+    def _stay_apart(self, x: str, y: str) -> bool:
+        """Whether no merge crosses the border of two pieces.
+
+        The parts at the border grow as each piece is put together, in the order of the scores. Going back in that
+        order, a pair of parts would merge if it does so before the step that replaces one of them; of equal scores
+        the step further left comes first.
+        """
+        ids, scores, halves = self.ids, self.scores, self.halves
+        limit, behind = -math.inf, False
+        while True:
+            if (both := ids.get(x + y)) is not None and ((score := scores[both]) > limit or behind and score == limit):
+                return False
+            a, b = halves.get(x), halves.get(y)
+            if b is not None and (a is None or b[2] <= a[2]):
+                y, limit, behind = b[0], b[2], True
+            elif a is not None:
+                x, limit, behind = a[1], a[2], False
+            else:
+                return True
+
     def _compatible(self, first: int, second: int) -> bool:
         if first < 0:  # nothing merges with an unknown character
             return self._reachable(second)
         if len(self.beside) >= STORED_PAIRS:
             self.beside.clear()
         a, b = self.pieces[first], self.pieces[second]
-        ok = self.beside[first << 20 | second] = self.merged(a + b) == [a, b]
+        ok = self._reachable(first) and self._reachable(second)
+        if ok and (first in self.unordered or second in self.unordered):
+            ok = self.merged(a + b) == [a, b]
+        else:
+            ok = ok and self._stay_apart(a, b)
+        self.beside[first << 20 | second] = ok
         return ok
 
     def _word(self, text: str) -> list[int]:
