@@ -169,3 +169,142 @@ cuts as (
 lowest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
 ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from lowest)
 select lang, rank, phrase, a, l, r, n, score from ranked join n using (lang) where rank <= 2000"""
+
+#: What lower-cases A-Z alone, behind a text in ``translate``.
+UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLE["op2_near_dedup"] = rf"""
+with recursive
+w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), {UPPER_LOWER}), '[^\x20\x09-\x0D]+') as w
+  from documents),
+grams as (
+  select doc_id, case when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end as s
+  from w where len(w) > 0),
+sets as materialized (
+  select doc_id, len(s) as n, array_to_string(s, chr(10)) as s from (select doc_id, list_sort(list_distinct(s)) as s from grams)),
+alike as materialized (select min(doc_id) as u, s, n from sets group by s, n),
+every as (select u, n, unnest(string_split(s, chr(10))) as g from alike),
+shared as (select g, row_number() over () as id from every group by g having count(*) > 1),
+x as (select u, n, id as g from every join shared using (g)),
+links as (
+  select a.u as a, b.u as b from x a join x b on a.g = b.g and a.u < b.u
+  where 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  group by a.u, b.u, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+ways as (select a, b from links union all select b, a from links),
+reach as (
+  select u as node, u as seen from alike
+  union
+  select r.node, v.b from reach r join ways v on v.a = r.seen),
+lowest as (select node, min(seen) as component from reach group by node)
+select d.doc_id, cast(coalesce(s.n, 0) as bigint) as n_shingles, coalesce(l.component, d.doc_id) as component_id,
+  coalesce(l.component, d.doc_id) = d.doc_id as kept
+from documents d left join sets s on s.doc_id = d.doc_id left join alike on alike.s = s.s left join lowest l on l.node = alike.u"""
+
+
+def crc32_sql(text: str) -> str:
+    """SQL of the crc32 of a text of code points below 2048, four bits at a time."""
+    steps = []
+    for value in range(16):
+        for _ in range(4):
+            value = value >> 1 ^ (value & 1) * 0xEDB88320
+        steps.append(value)
+    octets = f"flatten(list_transform(string_split({text}, ''), lambda c: case when ord(c) < 128 then [ord(c)] else [192 + (ord(c) >> 6), 128 + (ord(c) & 63)] end))"
+    halves = f"flatten(list_transform({octets}, lambda o: [o & 15, o >> 4]))"
+    step = f"lambda c, o: xor(c >> 4, ({steps}::bigint[])[xor(c & 15, o) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {halves}::bigint[]), {step}), 4294967295::bigint)"
+
+
+ORACLE["op12_spelling"] = rf"""
+with recursive
+runs as (
+  select doc_id, unnest(regexp_extract_all(translate(text, {UPPER_LOWER}), '[a-zÀ-ÿ]+')) as run
+  from documents),
+met as (select doc_id, run, count(*) as n from runs group by doc_id, run),
+hashed as (select run, n, {crc32_sql("doc_id || ':' || run")} as h from met),
+written as (
+  select n, case when h % 199 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word
+  from hashed),
+words as (
+  select word, cast(sum(n) as bigint) as n from written where length(word) >= 6 group by word having sum(n) >= 5),
+cuts as (
+  select word, i, substr(word, 1, i - 1) || substr(word, i + 1) as cut
+  from (select word, unnest(range(1, length(word) + 1)) as i from words)),
+near as (
+  select a.word as a, b.word as b from cuts a join cuts b on a.cut = b.cut and a.i = b.i and a.word <> b.word
+  union select cuts.word, words.word from cuts join words on words.word = cuts.cut
+  union select words.word, cuts.word from cuts join words on words.word = cuts.cut),
+ranked as (
+  select a as word, b as form, w.n as form_n, count(*) over (partition by a) as n_near,
+    row_number() over (partition by a order by w.n desc, b) as rank
+  from near join words w on w.word = near.b),
+formed as (
+  select words.word, words.n, coalesce(n_near, 0) as n_near, case when form_n >= 5 * words.n then form end as form,
+    case when form_n >= 5 * words.n then form_n end as form_n
+  from words left join ranked on ranked.word = words.word and rank = 1),
+follow as (
+  select word, word as root, form as next from formed
+  union all
+  select f.word, f.next, o.form from follow f join formed o on o.word = f.next where f.next is not null)
+select formed.word, formed.form, root, n, n_near, form_n
+from formed join follow on follow.word = formed.word and follow.next is null"""
+
+
+def xxh64_sql(text: str, source: str, seed: int = 42) -> str:
+    """CTEs that end in ``hashed``: each distinct ``text`` of ``source`` as ``g`` with its XXH64 ``h`` as ubigint."""
+    # the five odd factors of XXH64, fixed values
+    p1, p2, p3, p4, p5 = (
+        f"{p}::uhugeint" for p in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
+    )
+    full = 1 << 64
+    low = lambda e: f"(({e}) & {full - 1}::uhugeint)"
+    bound = lambda e, use: f"list_transform([{e}], lambda v: {use})[1]"
+    rotated = lambda e, n: bound(e, low(f"(v << {n}) | (v >> {64 - n})"))
+    folded = lambda e, n: bound(e, f"xor(v, v >> {n})")
+    number = lambda at, size: "('0x' || " + " || ".join(f"substr(hx, 2 * ({at}) + {2 * i + 1}, 2)" for i in reversed(range(size))) + ")::ubigint::uhugeint"
+    mixed = lambda a, x: low(f"{rotated(low(f'{a} + {x} * {p2}'), 31)} * {p1}")
+    over = lambda start, items, step: f"list_reduce(list_prepend({start}, {items}), lambda a, x: {step})"
+    begin = [low(f"{seed}::uhugeint + {p1} + {p2}"), low(f"{seed}::uhugeint + {p2}"), f"{seed}::uhugeint", low(f"{full + seed}::uhugeint - {p1}")]
+    stripes = [over(b, f"list_transform(range(n // 32), lambda s: {number(f'32 * s + {8 * k}', 8)})", mixed("a", "x")) for k, b in enumerate(begin)]
+    merged = low(" + ".join(rotated(f"v{k}", n) for k, n in enumerate((1, 7, 12, 18))))
+    for k in range(4):
+        merged = low(f"xor({merged}, {mixed('0::uhugeint', f'v{k}')}) * {p1} + {p4}")
+    eights = f"list_transform(range(n % 32 // 8), lambda j: {number('n // 32 * 32 + 8 * j', 8)})"
+    step = low(f"{rotated(f'xor(a, {mixed("0::uhugeint", "x")})', 27)} * {p1} + {p4}")
+    four = low(f"{rotated(f'xor(h, {low(number("n // 8 * 8", 4) + f" * {p1}")})', 23)} * {p2} + {p3}")
+    ones = f"list_transform(range(n % 4), lambda j: {number('n // 4 * 4 + j', 1)})"
+    one = low(f"{rotated(f'xor(a, {low(f"x * {p5}")})', 11)} * {p1}")
+    last = folded(low(f"{folded(low(f'{folded("h", 33)} * {p2}'), 29)} * {p3}"), 32)
+    return f"""
+h0 as (select g, hex(g) as hx, strlen(g) as n from (select distinct {text} as g from {source})),
+h1 as (select *, {', '.join(f'{s} as v{k}' for k, s in enumerate(stripes))} from h0),
+h2 as (select g, hx, n, {low(f"n::uhugeint + case when n >= 32 then {merged} else {seed}::uhugeint + {p5} end")} as h from h1),
+h3 as (select g, hx, n, {over('h', eights, step)} as h from h2),
+h4 as (select g, hx, n, case when n % 8 >= 4 then {four} else h end as h from h3),
+h5 as (select g, {over('h', ones, one)} as h from h4),
+hashed as (select g, ({last})::ubigint as h from h5)"""
+
+
+ORACLE["op13_simhash"] = rf"""
+with recursive
+w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), {UPPER_LOWER}), '[^\x20\x09-\x0D]+') as w
+  from documents),
+grams as (
+  select doc_id, unnest(case when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as g
+  from w where len(w) > 0),
+{xxh64_sql('g', 'grams')},
+votes as (select doc_id, {' + '.join(f'case when 2 * sum((h >> {b}) & 1) > count(*) then {1 << b}::ubigint else 0::ubigint end' for b in range(64))} as f
+  from grams join hashed using (g) group by doc_id),
+prints as materialized (select d.doc_id, coalesce(f, 0::ubigint) as f from documents d left join votes v on v.doc_id = d.doc_id),
+alike as (select f, min(doc_id) as u from prints group by f),
+ways as (select a.u as a, b.u as b from alike a join alike b on a.f <> b.f and bit_count(xor(a.f, b.f)) <= 4),
+reach as (
+  select u as node, u as seen from alike
+  union
+  select r.node, v.b from reach r join ways v on v.a = r.seen),
+lowest as (select node, min(seen) as component_id from reach group by node)
+select doc_id, lpad(lower(hex(f)), 16, '0') as fingerprint, component_id
+from prints join alike using (f) join lowest on node = u"""
