@@ -308,3 +308,34 @@ reach as (
 lowest as (select node, min(seen) as component_id from reach group by node)
 select doc_id, lpad(lower(hex(f)), 16, '0') as fingerprint, component_id
 from prints join alike using (f) join lowest on node = u"""
+
+ORACLE["op8_line_dedup"] = rf"""
+with lines as (
+  select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as line_no
+  from documents where text is not null),
+placed as materialized (
+  select *, row_number() over (order by doc_id, line_no) as place, array_to_string(w, ' ') as k
+  from (select *, regexp_extract_all(lower(line), '[^\x09-\x0D\x1C-\x20\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}]+') as w from lines)),
+earliest as materialized (select k, string_split(k, ' ') as w, min(place) as place from placed where k <> '' group by k),
+-- an edit leaves the first or the last half of the shorter line, of m words, as it is
+sized as (select place, w, unnest([len(w), len(w) - 1]) as m from earliest where len(w) >= {line_dedup.LEAST_WORDS}),
+halves as (
+  select place, w, m, 1 as side, array_to_string(w[:m // 2], ' ') as half from sized
+  union all select place, w, m, 2, array_to_string(w[len(w) - (m - m // 2) + 1:], ' ') from sized),
+pairs as (
+  select distinct a.place as a, b.place as b, a.w as s, b.w as l from halves a join halves b using (m, side, half)
+  where len(a.w) = m and a.place <> b.place and m >= {line_dedup.LEAST_WORDS}),
+compared as (
+  select a, b, s, l, coalesce(list_min(list_filter(range(1, len(s) + 1), lambda i: s[i] <> l[i])), len(s) + 1) as f
+  from pairs),
+near as (select a, b from compared where s[f + len(s) - len(l) + 1:] = l[f + 1:]),
+edited as (select a as place from near where b < a union select b from near where a < b),
+judged as (
+  select p.*, e.place is not null and (p.place > e.place or e.place in (select place from edited)) as gone
+  from placed p left join earliest e on e.k = p.k),
+left_over as (
+  select doc_id, coalesce(string_agg(line, chr(10) order by line_no) filter (not gone), '') as text, count(*) as n_lines,
+    count(*) filter (gone) as n_dropped
+  from judged group by doc_id)
+select d.doc_id, l.text, coalesce(l.n_lines, 0) as n_lines, coalesce(l.n_dropped, 0) as n_dropped
+from documents d left join left_over l on l.doc_id = d.doc_id"""
