@@ -17,7 +17,7 @@ TABLES = (
 ).split()
 KINDS = {
     "tinyint": "int", "smallint": "int", "int": "int", "bigint": "int", "hugeint": "int", "integer": "int",
-    "double": "float", "float": "float", "string": "text", "varchar": "text",
+    "double": "float", "float": "float", "string": "text", "varchar": "text", "boolean": "flag",
 }
 
 
