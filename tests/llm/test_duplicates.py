@@ -327,6 +327,18 @@ def test_odd_documents_have_fingerprints(spark):
     assert one.edited == "x" * 30_000
 
 
+def test_next_texts_of_odd_documents(spark):
+    """Null ids come last, equal ids by their texts, the first follows the last; other columns do not matter."""
+    docs = spark.createDataFrame([(1, "one", 5), (None, "none", 5), (3, None, 5), (2, "b", 5), (2, "a", 5)], "doc_id long, text string, range int")
+    docs = docs.withColumn("copy", F.lit("c")).withColumn("next_text", F.lit("n"))
+    for parts in (1, 3):
+        made = fingerprints.with_next(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), ["text"], parts)
+        got = {(r.doc_id, r.text): r.next_text for r in made.collect()}
+        assert got == {(3, ""): "a", (2, "a"): "b", (2, "b"): "one", (1, "one"): "none", (None, "none"): ""}
+    edits = [(r.doc_id, r.n_chars, r.edited) for r in fingerprints.with_edits(docs).collect()]
+    assert sorted(edits, key=str) == [(1, 3, "onn"), (2, 1, "a"), (2, 1, "b"), (3, 0, ""), (None, 4, "non")]
+
+
 def test_fingerprints_keep_all_anchors_at_all_lengths(spark):
     from pyspark.sql import functions as F
 

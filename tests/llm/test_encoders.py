@@ -168,6 +168,17 @@ def test_repeated_pages_and_none(spark, home):
     assert warc.read_archives(spark, f"{home}/b").count() == 0
 
 
+def test_pages_with_columns_named_as_those_of_records(spark, home):
+    pages = [(1, "same"), (2, "same"), (3, None)]
+    plain = spark.createDataFrame([(k, "http://x", h) for k, h in pages], "page_id long, url string, html string")
+    clashing = plain.selectExpr("'d' as digest", "9L as refers_to", "*", "'w' as record_type", "1 as payload_bytes", "'q' as payload_digest", "0 as archive", "5 as n")
+    found = []
+    for name, df in (("plain", plain), ("clashing", clashing)):
+        warc.write_archives(df, f"{home}/{name}")
+        found.append(sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_archives(spark, f"{home}/{name}").collect()))
+    assert found[0] == found[1] == expected_records(pages)
+
+
 def test_damage_is_noticed():
     good = warc.member(warc.record(1, "u", b"abc", None))
     assert [warc.parse(m)["payload"] for m in warc.members(good + warc.EMPTY_MEMBER + good)] == [b"abc", b"abc"]
