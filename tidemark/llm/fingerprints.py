@@ -161,7 +161,9 @@ def with_next(rows: DataFrame, columns: list[str], parts: int | None = None, mad
 def with_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text, of the next one and of the text with its last third taken from the next one.
 
-    Only texts are shuffled; fingerprints are made behind it.
+    Only texts are shuffled; fingerprints are made behind it, and those of next texts are handed on. Null texts count
+    as empty. Null ids come last, rows with equal ids follow one another in the order of their texts; the only row
+    of a table is its own next one, and an empty table gives no rows. Other columns are not read.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = with_next(texts, ["text"], made={"anchors": sketch(F.col("text"))})

@@ -200,9 +200,10 @@ STORES["tokens"] = encoder.cache_clear
 def write_ids(docs: DataFrame, tokenizer_path: str, path: str, end: int | None, parts: int | None = None) -> None:
     """Encode whole texts and write the ids to ``path`` in ascending ``doc_id`` order.
 
-    Texts are null: no ids but the end id. Null ids of documents come first, rows with equal ids in the order of
-    their token ids. Documents are dealt into ranges of doc_id that hold about equally many, so only packed ids
-    are shuffled; shards are numbered by range and place.
+    Null and empty texts have no ids but the end id. Null ids of documents come first, rows with equal ids in the
+    order of their token ids. Other columns are not read; texts are encoded whole, however long. Documents are dealt
+    into ranges of doc_id that hold about equally many, so only packed ids are shuffled; shards are numbered by range
+    and place.
     """
     spark = docs.sparkSession
     spark.sparkContext.addFile(tokenizer_path)
