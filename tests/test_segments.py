@@ -1,5 +1,6 @@
 """Splitting a batch by table, ranges and limits of files, waiting, failing and replayed events."""
 
+import collections
 import json
 import os
 import random
@@ -103,6 +104,32 @@ def test_files_of_wide_rows_end_at_the_byte_limit(spark, home):
     assert len(wide(feed(spark, THREE), 0)[FOLDER]["files"]) == 3
 
 
+def test_a_row_above_the_byte_limit_leaves_the_other_files_as_they_are(spark, home):
+    wide = {7, 8, 150}
+    rows = [("c", None, {"EMPLOYEE_ID": i, "LAST_NAME": "x" * (80_000 if i in wide else 500)}) for i in range(200)]
+    files = sink(home, EMPLOYEES, max_bytes_per_file=20_000)(feed(spark, rows), 0)[FOLDER]["files"]
+    assert sum(n for _, n in files) == 200 and len(files) < 60
+    back = read_landing(spark, f"{home}/zone", FOLDER, EMPLOYEES).orderBy("file_sequence", "row_index").collect()
+    assert [x.EMPLOYEE_ID for x in back] == list(range(200))
+    held = collections.Counter(x.file_sequence for x in back)
+    assert all(held[x.file_sequence] == 1 for x in back if x.EMPLOYEE_ID in wide)
+
+
+def test_ranges_follow_the_data_and_not_the_number_of_files(spark, home):
+    small = L.LandingOptions("", max_records_per_file=2_000, max_bytes_per_file=250_000)
+    assert L.range_count(L.TableSize(1_500, 200_000), small, 8) == 1
+    assert L.range_count(L.TableSize(9_000, 200_000), small, 8) == 5
+    assert L.range_count(L.TableSize(9_000_000, 2_600_000_000), small, 12) == 21
+    assert L.range_count(L.TableSize(9_000_000, 2_600_000_000), L.LandingOptions(""), 12) == 10
+    cut = L.position_cuts(spark.range(5_000).toDF("pos"), L.range_count(L.TableSize(5_000, 10**6), replace(small, max_records_per_file=10), 8))
+    assert len(cut) == 7
+    rows = [("c", None, {"EMPLOYEE_ID": i}) for i in range(500)]
+    files = sink(home, EMPLOYEES, max_records_per_file=7)(feed(spark, rows), 0)[FOLDER]["files"]
+    assert max(n for _, n in files) == 7 and sum(n for _, n in files) == 500 and len(files) < 90
+    back = read_landing(spark, f"{home}/zone", FOLDER, EMPLOYEES).orderBy("file_sequence", "row_index").collect()
+    assert [x.EMPLOYEE_ID for x in back] == list(range(500))
+
+
 def test_waiting_segments_land_at_a_threshold_and_at_the_end(spark, home):
     target = sink(home, EMPLOYEES, flush=FlushPolicy(rows=5, seconds=1e9))
     assert target(feed(spark, THREE), 0) == {}

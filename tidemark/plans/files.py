@@ -11,12 +11,12 @@ class Files:
 
     def __init__(self, spark: SparkSession, root: str):
         self._jvm, self._gateway = spark._jvm, spark.sparkContext._gateway
-        self._over = None
+        self._over, self._new_path = None, self._jvm.org.apache.hadoop.fs.Path  # looked up once: each part of the name is a call
         self._conf = spark._jsparkSession.sessionState().newHadoopConf()
         self._fs = self._path(root).getFileSystem(self._conf)
 
     def _path(self, path: str):
-        return self._jvm.org.apache.hadoop.fs.Path(path)
+        return self._new_path(path)
 
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))

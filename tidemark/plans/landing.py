@@ -31,6 +31,9 @@ QUARANTINE = "_quarantine"
 RENAME_THREADS = 16
 #: A table of less event text is converted in the task that writes its one file.
 ONE_TASK_BYTES = 4_000_000
+#: Small files of a large table share a range, which one task writes; a range aims at so many rows and bytes of text.
+RANGE_ROWS = 1_000_000
+RANGE_BYTES = 128_000_000
 
 
 @dataclass(frozen=True)
@@ -105,13 +108,22 @@ def write_key_metadata(files: Files, base: str, folder: str, spec: TableSpec) ->
 
 
 def file_count(size: TableSize, options: LandingOptions) -> int:
-    """Ranges for the ordered write. They are cut by a summary of positions, so several of them aim below the limits."""
+    """Files to aim at. Ranges are cut by a summary of positions, so several of them aim below the limits."""
     share = size.rows / options.max_records_per_file
     if options.max_bytes_per_file:
         share = max(share, size.bytes / options.max_bytes_per_file)
     return 1 if share <= 1 else math.ceil(share / 0.9)
 
 
+def range_count(size: TableSize, options: LandingOptions, tasks: int) -> int:
+    """Ranges for the ordered write: one for each file as long as there are few, else enough for all ``tasks`` and for the data.
+
+    Each range is a task and a branch of the expression that deals rows, so their number follows the data and not the limits of files.
+    """
+    enough = max(tasks, math.ceil(size.rows / RANGE_ROWS / 0.9), math.ceil(size.bytes / RANGE_BYTES))
+    return min(file_count(size, options), enough)
+
+
 def position_cuts(events: DataFrame, parts: int) -> list[int]:
     """Positions that cut the events into ``parts`` ranges of about equal counts, taken before any conversion.
 
@@ -148,8 +160,8 @@ def range_number(pos: Column, tie: Column, cuts: list[int]) -> Column:
 def write_ordered(rows: DataFrame, target: str, size: TableSize, cuts: list[int], options: LandingOptions) -> int:
     """Write ``row`` in ``pos`` order across and within files.
 
-    Rows go to the ranges between ``cuts``, each to its own task. Rows that share a position are spread by a
-    hash of their content, so a position with many rows does not end up in one task. Where the table has more
+    Rows go to the ranges between ``cuts``, each to its own task, which writes one file or several. Rows that share a position
+    are spread by a hash of their content, so a position with many rows does not end up in one task. Where the table has more
     bytes than a file may, files are cut at running sums of rows and bytes. Returns the number of rows.
     """
     limit = options.max_bytes_per_file
@@ -160,9 +172,11 @@ def write_ordered(rows: DataFrame, target: str, size: TableSize, cuts: list[int]
     dealt = dealt.coalesce(1) if not cuts and size.bytes < ONE_TASK_BYTES and not by_bytes else dealt.repartitionById(len(cuts) + 1, "range")
     if by_bytes:
         before = Window.partitionBy("range").orderBy("pos", "tie").rowsBetween(Window.unboundedPreceding, -1)
-        room = max(1, limit - size.widest)  # a file that starts below its room ends below the limit
-        n, done = F.count("*").over(before), F.coalesce(F.sum("size").over(before), F.lit(0))
-        file = F.floor(n / options.max_records_per_file) + F.floor(done / room)
+        # a row above half the limit has a file of its own; of the others a file that starts below its room ends below the limit,
+        # with a twentieth of it left for what Parquet adds to text that does not compress
+        room, wide = max(1, limit - limit // 20 - min(size.widest, limit // 2)), F.when(F.col("size") > limit // 2, 1).otherwise(0)
+        n, done, apart = (F.coalesce(F.sum(c).over(before), F.lit(0)) for c in (F.lit(1), F.col("size"), wide))
+        file = F.floor(n / options.max_records_per_file) + F.floor(done / room) + 2 * apart + wide
         dealt = dealt.withColumn("file", file).sortWithinPartitions("range", "file", "pos", "tie").select("range", "file", "row.*")
     else:
         dealt = dealt.sortWithinPartitions("pos", "tie").select("row.*")
@@ -224,7 +238,7 @@ def _stage(
     projected: DataFrame, unit: Unit, options: LandingOptions, size: TableSize, events: DataFrame, staging: str, files: Files
 ) -> list:
     """Write the good rows to staging and the others to the quarantine; returns the staged files."""
-    cuts = position_cuts(events, file_count(size, options))
+    cuts = position_cuts(events, range_count(size, options, events.sparkSession.sparkContext.defaultParallelism))
     written = write_ordered(convertible(projected), staging, size, cuts, options)
     staged = _staged_files(projected.sparkSession, files, staging, written)
     if sum(n for _, n in staged) < size.rows:
