@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.test_landing import FOLDER, feed, sink
 from tidemark.operators.changes import apply_changes, change_profile
 from tidemark.plans import fixtures as X
+from tidemark.plans import queries as Q
 from tidemark.plans.queries import QUERIES
 from tidemark.sources.catalog import ColumnSpec, TableSpec
 from tidemark.sources.events import allow_tables, stream_events
@@ -147,3 +148,14 @@ def test_kafka_needs_its_connector(spark):
 
     with pytest.raises(Exception, match="(?i)kafka"):
         stream_kafka(spark, "nowhere:9092", "oracle[.].*", max_offsets_per_trigger=10)
+
+
+def test_files_of_events_grow_in_number_and_not_in_size(spark, home, monkeypatch):
+    monkeypatch.setattr(Q, "EVENT_FILE_ROWS", 100)
+    events = X.order_events(spark, SF)
+    each = Q._event_files(spark, events, f"{home}/events", batches=2)
+    assert each == -(-events.count() // 200)
+    files = spark.read.parquet(f"{home}/events").groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high"))
+    files = files.orderBy("low").collect()
+    assert 2 * each - 2 <= len(files) <= 2 * each and max(f.n for f in files) <= 200 and sum(f.n for f in files) == events.count()
+    assert all(a.high < b.low for a, b in zip(files, files[1:]))

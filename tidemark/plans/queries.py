@@ -1143,17 +1143,23 @@ def replay_overlap(spark, sf_dir):
 # --- streams -----------------------------------------------------------------------------------
 
 
-def _event_files(spark: SparkSession, feed: DataFrame, path: str, files: int = 4) -> None:
-    """Write a feed as ``files`` files in arrival order."""
-    feed.repartitionByRange(files, "pos").sortWithinPartitions("pos").write.parquet(path)
+#: Rows of one file of events: a task sorts and writes so many.
+EVENT_FILE_ROWS = 250_000
+
+
+def _event_files(spark: SparkSession, feed: DataFrame, path: str, batches: int = 4) -> int:
+    """Write a feed for so many batches, in arrival order; returns the files of a batch, which grow in number and not in size."""
+    each = max(1, -(-feed.count() // (batches * EVENT_FILE_ROWS)))
+    feed.repartitionByRange(batches * each, "pos").sortWithinPartitions("pos").write.parquet(path)
+    return each
 
 
 @query(ORDER_ROWS + f"select {ORDER_COLUMNS} from r")
 def stream_landing(spark, sf_dir):
     path = f"{shared_dir(spark)}/events"
-    _event_files(spark, X.order_events(spark, sf_dir), path)
+    each = _event_files(spark, X.order_events(spark, sf_dir), path)
     sink = new_sink(spark)
-    start_landing(events.stream_events(spark, path, max_files_per_trigger=1), sink, available_now=True).awaitTermination()
+    start_landing(events.stream_events(spark, path, max_files_per_trigger=each), sink, available_now=True).awaitTermination()
     return read_orders(spark, sink.options.base).select(*order_columns())
 
 
@@ -1164,7 +1170,7 @@ def stream_landing(spark, sf_dir):
 def restart_no_dup(spark, sf_dir):
     """A stream stopped at every step of its landing and started again leaves no duplicate and no gap."""
     path = f"{shared_dir(spark)}/events"
-    _event_files(spark, X.all_events(spark, sf_dir), path, files=2)
+    each = _event_files(spark, X.all_events(spark, sf_dir), path, batches=2)
     to_fail = ["decoded", "quarantined", "staged", "planned", "renamed", "published", "committed"]
 
     def stop_once(step: str, folder: str) -> None:
@@ -1173,7 +1179,7 @@ def restart_no_dup(spark, sf_dir):
 
     sink = replace(new_sink(spark), on_step=stop_once)
     for _ in range(len(to_fail) + 1):
-        stream = start_landing(events.stream_events(spark, path, max_files_per_trigger=1), sink, available_now=True)
+        stream = start_landing(events.stream_events(spark, path, max_files_per_trigger=each), sink, available_now=True)
         try:
             stream.awaitTermination()
         except Exception as error:
