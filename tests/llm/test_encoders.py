@@ -80,6 +80,17 @@ def test_a_full_store_changes_nothing(own, monkeypatch):
     assert all(own.encode_and_decode(text) == before for _ in range(3))
 
 
+def test_words_seen_once_take_no_room(library):
+    """The store of a worker holds words that come again; each takes its text and its ids only."""
+    with open(PIECES, "rb") as file:
+        made = piece_encoding.PieceModel(file.read())
+    text = " ".join(f"w{i}" for i in range(3000)) + " again" * 5 + " a\u2581b"
+    assert made.encode_and_decode(text)[1] == library.decode(library.encode(text))
+    assert len(made.words) < 100 and isinstance(made.words[" again"], bytes)
+    assert np.frombuffer(made.encode_and_decode(text)[0], "<i4").tolist() == library.encode(text)
+    assert len(made.words) > 3000
+
+
 def test_piece_query(spark, library):
     got = {r.doc_id: tuple(r) for r in queries.op6_piece_encoding(spark, SF).collect()}
     for key, text in texts().items():

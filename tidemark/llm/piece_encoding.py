@@ -27,8 +27,10 @@ SPACE = "▁"
 #: Units of text that are encoded apart start at a run of spaces or of these.
 MARKS = "\n.,!?;:|"
 #: Words and pairs that one Python worker keeps, words twice: a full store gives way to a new one that takes
-#: from it what is still in use.
-STORED_WORDS = 200_000
+#: from it what is still in use. A word is kept from its second sight on, as its text and its ids.
+STORED_WORDS = 100_000
+#: Marks by hash for words seen once; they start anew when a quarter is set.
+SEEN = 1 << 20
 STORED_PAIRS = 200_000
 #: Longer words are encoded each time.
 LONGEST_STORED = 64
@@ -107,8 +109,10 @@ class PieceModel:
         self.whole: dict = {}
         self.halves: dict = {}  # the parts of a piece's last merge and its score
         self.unordered: set = set()  # pieces that score no less than a part of theirs
-        self.words: dict = {}
-        self.older_words: dict = {}
+        self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
+        self.seen, self.n_seen = bytearray(SEEN), 0
+        self.other: dict[str, str] = {}  # units of the present text that decode to something else, and to what
         # Marks that in no piece follow another character, or only the listed ones: texts are cut before them.
         before = {p: set() for p in MARKS}
         for piece in self.ids:
@@ -116,11 +120,11 @@ class PieceModel:
                 if y in before and x != SPACE and x not in before:
                     before[y].add(x)
         tied = [f"(?<=[{re.escape(''.join(sorted(x)))}]){re.escape(p)}" for p, x in before.items() if x]
-        body = f"[^{SPACE}{re.escape(MARKS)}]*"
+        body = f"[^ {re.escape(MARKS)}]*"
         if tied:
             body += f"(?:(?:{'|'.join(tied)}){body})*"
         marks = f"[{re.escape(MARKS)}]+"
-        self.units = re.compile(f"{SPACE}+(?:{marks})?{body}|{marks}{body}")
+        self.units = re.compile(f" +(?:{marks})?{body}|{marks}{body}")
 
     def merged(self, text: str, steps: list | None = None) -> list[str]:
         """Pieces by plain merging, the highest score first and of equals the leftmost. Characters stay if unknown.
@@ -256,11 +260,19 @@ class PieceModel:
             out.append(_utf8(bytes(held)))
         return "".join(out).replace(SPACE, " ")
 
-    def unit(self, unit: str) -> tuple[bytes, str]:
-        """A unit's ids as 32-bit integers and the text they decode to, from the store if it is there."""
+    def unit(self, unit: str) -> bytes:
+        """A unit's ids as 32-bit integers, from the store if they are there. Units that decode to themselves are stored."""
         if (found := self.older_words.get(unit)) is None:
-            ids = self.encode_unit(unit)
-            found = struct.pack(f"<{len(ids)}i", *ids), self._text(ids)
+            ids = self.encode_unit(unit.replace(" ", SPACE))
+            found = struct.pack(f"<{len(ids)}i", *ids)
+            if (text := self._text(ids)) != unit:
+                self.other[unit] = text
+                return found
+            if not self.seen[at := hash(unit) % SEEN]:
+                if self.n_seen >= SEEN // 4:
+                    self.seen, self.n_seen = bytearray(SEEN), 0
+                self.seen[at], self.n_seen = 1, self.n_seen + 1
+                return found
         if len(unit) <= LONGEST_STORED:
             if len(self.words) >= STORED_WORDS:
                 self.older_words, self.words = self.words, {}
@@ -271,9 +283,11 @@ class PieceModel:
         """All ids of a text and what they decode to. Null and empty texts have no ids."""
         if not text:
             return b"", ""
-        get, unit = self.words.get, self.unit
-        found = [get(w) or unit(w) for w in self.units.findall(SPACE + text.replace(" ", SPACE))]
-        return b"".join([x[0] for x in found]), "".join([x[1] for x in found])[1:]
+        self.other.clear()
+        get, unit, other = self.words.get, self.unit, self.other
+        units = self.units.findall(" " + text.replace(SPACE, " "))
+        ids = b"".join([get(w) or unit(w) for w in units])
+        return ids, "".join([other.get(w, w) for w in units] if other else units)[1:]
 
 
 @lru_cache(maxsize=4)
