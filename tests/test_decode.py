@@ -147,6 +147,26 @@ def test_lookup_fills_from_the_snapshot(spark, limit):
     ]
 
 
+@pytest.mark.parametrize("limit", [1000, 1])
+def test_lookup_decodes_its_events_twice_at_most(spark, limit):
+    """Once for the waiting rows and once for the result, however often the keys are asked."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(values):
+        read.add(len(values))
+        return values
+
+    value = F.pandas_udf(counted, "string").asNondeterministic()
+    feed = spark.range(600, numPartitions=2).selectExpr(
+        "'oracle.HR.EMP' as topic", "cast(null as string) as key", "id as pos", "concat('{\"op\":\"u\",\"before\":{\"ID\":', id, '},\"after\":null}') as value"
+    )
+    decoded = decode.decodable(decode.decode_events(feed.withColumn("value", value("value")), "oracle"))
+    snapshot = spark.range(600).selectExpr("id as ID", "concat('n', id) as NAME")
+    filled = lookup.fill_from_snapshot(project.project_rows(decoded, SPEC), snapshot, SPEC, max_broadcast_keys=limit)
+    assert all(r["row"].NAME == f"n{r.pos}" for r in filled.collect())
+    assert 600 < read.value <= 1200
+
+
 def test_lookup_without_keys_or_snapshot_changes_nothing(spark):
     decoded = decode.decodable(decode.decode_events(events(spark, (None, f'{{"op":"u","before":{OLD}}}')), "oracle"))
     rows = project.project_rows(decoded, SPEC)

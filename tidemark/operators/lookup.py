@@ -91,7 +91,8 @@ def fill_from_snapshot(
 ) -> DataFrame:
     """Give each ``needs_lookup`` row the snapshot's current row for its key, if there is one.
 
-    The keys are first reduced to distinct ones and counted. Keys and snapshot rows are compared as landing
+    The waiting rows are written once to the shared folder, so that events are decoded for them once and once for the
+    result, whatever is asked of the keys. These are reduced to distinct ones and counted. Keys and snapshot rows are compared as landing
     types at every size; a few keys are pushed to the snapshot's source besides. A snapshot value that does
     not fit its landing type refuses the rows that look it up, by column name.
 
@@ -106,7 +107,7 @@ def fill_from_snapshot(
     keyed = F.coalesce(F.col("needs_lookup") & has_key, F.lit(False))
     names = [f"_k{i}" for i in range(len(spec.keys))]
     keys = [row.getField(k).alias(n) for n, k in zip(names, spec.keys)]
-    waiting = keep_rows(projected, keyed).select("*", *keys)
+    waiting = _written(keep_rows(projected, keyed).select("*", *keys))
     wanted = waiting.groupBy(names).agg(F.count("*").alias("_rows"))
     width = reduce(lambda a, b: a + b, (F.octet_length(F.col(n).cast("string")) + 16 for n in names))
     seen = wanted.agg(

@@ -373,7 +373,9 @@ FILLED = """case when kind = 'thin_update' and o_custkey % 2 = 0 then 1 else 0 e
     where kind = 'thin_update'"""
 )
 def lookup_updates(spark, sf_dir):
-    waiting = keep_rows(projected_orders(spark, sf_dir), F.col("needs_lookup"))
+    waiting, path = keep_rows(projected_orders(spark, sf_dir), F.col("needs_lookup")), f"{shared_dir(spark)}/waiting"
+    waiting.write.parquet(path)  # decoded once; a sink keeps its batch likewise
+    waiting = spark.read.schema(waiting.schema).parquet(path)
     filled = lookup.fill_from_snapshot(waiting, X.order_snapshot(spark, sf_dir), X.ORDERS)
     return filled.select(
         "pos",
