@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import changes, decode, lookup, project
 from tidemark.operators.keep import keep_rows
 from tidemark.plans import fixtures as X
-from tidemark.plans.queries import read_users
+from tidemark.plans.queries import read_users, small_batches
 from tidemark.sources import events
 from tidemark.sources.catalog import ColumnSpec, TableSpec
 
@@ -100,3 +100,11 @@ def test_wide_tables_decode(spark):
     rows = project.convertible(project.project_rows(decode.decodable(decode.decode_events(feed, "oracle")), spec))
     got = rows.selectExpr("sum(row.COLUMN_198)", "max(row.COLUMN_194)", "sum(row.COLUMN_195)", "max(unix_date(row.COLUMN_196))").first()
     assert tuple(got) == (1225, "text-9", 306.25, 49)
+
+
+def test_a_small_batch_is_spread_over_all_tasks_before_it_becomes_text(spark):
+    """A batch is a range of positions and lies in one row group or a few, which are one task each."""
+    for batch in small_batches(spark, SF)[::4]:
+        assert batch.select(F.spark_partition_id()).distinct().count() == spark.sparkContext.defaultParallelism
+        above, below = plan(batch).split("Exchange hashpartitioning(event_id")
+        assert "StructsToJson" in above and "StructsToJson" not in below and "GreaterThanOrEqual(event_id" in below

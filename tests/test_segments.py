@@ -42,6 +42,14 @@ def test_tasks_are_allotted_by_bytes():
     assert S.allot({}, 8) == {}
 
 
+def test_short_rows_have_their_share_of_the_tasks(spark, monkeypatch):
+    """A row costs its conversion however short its text is."""
+    given = {}
+    monkeypatch.setattr(S, "allot", lambda sizes, tasks: given.update(sizes) or {})
+    S.split(spark.range(0), {"short": L.TableSize(300_000, 12_000_000), "long": L.TableSize(100_000, 20_000_000)}, "")
+    assert given["short"] > given["long"]
+
+
 def test_ranges_rise_with_position_and_tie(spark):
     r = random.Random(2)
     rows = sorted([(p, t) for p in [5] * 4000 + list(range(2000)) for t in [r.randrange(1 << 63)]])

@@ -69,9 +69,14 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E1: every operation, malformed values and tombstones; even keys are wrapped in ``payload``."""
+def order_events(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    """E1: every operation, malformed values and tombstones; even keys are wrapped in ``payload``.
+
+    With ``tasks`` the orders are spread over so many before they become text; else tasks follow the table's row groups.
+    """
     rows = order_rows(spark, sf_dir)
+    if tasks:
+        rows = rows.repartition(tasks, "O_ORDERKEY")
     raised = F.struct(*[(F.col(c) + 1 if c == "O_TOTALPRICE" else F.col(c)).alias(c) for c in rows.columns])
     texts = rows.select(
         F.col("O_ORDERKEY").alias("k"),
@@ -110,11 +115,15 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def user_events(spark: SparkSession, sf_dir: str, topic: str = f"{PREFIX}.APP.USER_STATE") -> DataFrame:
-    """E2: many changes per user; ``error`` events delete the user."""
+def user_events(
+    spark: SparkSession, sf_dir: str, topic: str = f"{PREFIX}.APP.USER_STATE", tasks: int | None = None
+) -> DataFrame:
+    """E2: many changes per user; ``error`` events delete the user. With ``tasks`` they are spread as in :func:`order_events`."""
+    rows = table(spark, sf_dir, "events")
+    if tasks:
+        rows = rows.repartition(tasks, "event_id")
     row = (
-        table(spark, sf_dir, "events")
-        .selectExpr(
+        rows.selectExpr(
             "user_id as USER_ID",
             "event_id as EVENT_ID",
             "event_type as EVENT_TYPE",

@@ -1055,8 +1055,12 @@ select user_id, event_id, case when event_type = 'error' then 2 else 1 end as ro
 
 
 def small_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """The user events cut into as equal batches as their number allows, in order."""
-    feed, n = X.user_events(spark, sf_dir), X.table(spark, sf_dir, "events").count()
+    """The user events cut into as equal batches as their number allows, in order.
+
+    A batch is a range of positions, which lies in few row groups of the table; its rows are spread over all tasks.
+    """
+    n = X.table(spark, sf_dir, "events").count()
+    feed = X.user_events(spark, sf_dir, tasks=_event_tasks(spark, -(-n // N_SMALL)))
     ends = [0]
     for i in range(N_SMALL):
         ends.append(ends[-1] + n // N_SMALL + (i < n % N_SMALL))
@@ -1103,7 +1107,8 @@ def flush_by_age(spark, sf_dir):
 )
 def failing_table(spark, sf_dir):
     """A table that fails three times lands in order afterwards, a file for each batch; the other one is not held up."""
-    orders = X.table(spark, sf_dir, "orders").select(
+    keys = X.table(spark, sf_dir, "orders").select("o_orderkey")
+    orders = keys.repartition(_event_tasks(spark, -(-keys.count() // N_SMALL)), "o_orderkey").select(
         F.lit("oracle.SALES.ORDERS").alias("topic"), F.lit(None).cast("string").alias("key"),
         F.expr("concat('{\"after\":{\"O_ORDERKEY\":', o_orderkey, '}}')").alias("value"), F.col("o_orderkey").alias("pos"),
     )
@@ -1149,6 +1154,11 @@ def replay_overlap(spark, sf_dir):
 EVENT_FILE_ROWS = 250_000
 
 
+def _event_tasks(spark: SparkSession, rows: int) -> int:
+    """Tasks that so many rows are spread over to become events: all there are, and more beyond :data:`EVENT_FILE_ROWS` each."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // EVENT_FILE_ROWS))
+
+
 def _event_files(spark: SparkSession, feed: DataFrame, path: str, batches: int = 4) -> int:
     """Write a feed for so many batches, in arrival order; returns the files of a batch, which grow in number and not in size."""
     each = max(1, -(-feed.count() // (batches * EVENT_FILE_ROWS)))

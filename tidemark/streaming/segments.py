@@ -21,6 +21,8 @@ SCHEMA = "pos BIGINT, topic STRING, op STRING, marker INT, root VARIANT, wrapped
 #: A task of the split takes text of so many bytes, as far as the batch is large enough.
 TASK_BYTES_MIN = 4_000_000
 TASK_BYTES_MAX = 128_000_000
+#: Reading a row costs as much as so many bytes of its text, so tables of short rows get their share of the tasks.
+ROW_BYTES = 200
 
 
 @dataclass(frozen=True)
@@ -105,11 +107,11 @@ def allot(sizes: dict[str, int], tasks: int) -> dict[str, tuple[int, int]]:
 def split(decoded: DataFrame, sizes: dict[str, TableSize], path: str) -> dict[str, str]:
     """Write the good events of the tables in ``sizes``, one folder per table; returns the folders.
 
-    ``decoded`` is read once, however many tables it holds. Tasks are allotted by bytes, so a hot table is
+    ``decoded`` is read once, however many tables it holds. Tasks are allotted by bytes and rows, so a hot table is
     spread over many and small ones share one. Events go to a table's tasks by their own hash.
     """
     spark = decoded.sparkSession
-    placed = allot({f: s.bytes for f, s in sizes.items()}, spark.sparkContext.defaultParallelism)
+    placed = allot({f: s.bytes + ROW_BYTES * s.rows for f, s in sizes.items()}, spark.sparkContext.defaultParallelism)
     if not placed:
         return {}
     numbers = {f: i for i, f in enumerate(sorted(placed))}
