@@ -14,11 +14,12 @@ from tests.test_landing import EMPLOYEES, FOLDER, THREE, feed, sink, visible
 from tidemark.plans import fixtures as X
 from tidemark.plans import landing as L
 from tidemark.plans.files import Files
-from tidemark.plans.queries import spread_orders
+from tidemark.plans.queries import QUERIES, spread_orders
 from tidemark.sources.catalog import ColumnSpec, TableSpec
 from tidemark.sources.events import read_events, stream_events
 from tidemark.sources.landing import read_landing
 from tidemark.streaming import segments as S
+from tidemark.streaming import sink as sinks
 from tidemark.streaming.segments import FlushPolicy
 from tidemark.streaming.sink import start_landing, without_replays
 
@@ -297,3 +298,48 @@ def test_texts_are_replaced_in_one_step(spark, home):
         files.write_text(f"{home}/state.txt", text)
         assert files.read_text(f"{home}/state.txt") == text
     assert files.names(home) == ["state.txt"] or sorted(files.names(home)) == [".state.txt.crc", "state.txt"]
+
+
+def test_zones_of_all_codecs_share_one_decoding_and_one_conversion(spark, monkeypatch):
+    decoded, converted = [], []
+    decode, land = sinks.decode_events, sinks.land_table
+    monkeypatch.setattr(sinks, "decode_events", lambda *a, **k: decoded.append(1) or decode(*a, **k))
+    monkeypatch.setattr(sinks, "land_table", lambda rows, *a: converted.append((rows, rows.storageLevel.useMemory)) or land(rows, *a))
+    assert QUERIES["codecs"](spark, SF).select("asked").distinct().count() == 6
+    assert len(decoded) == 1 and len(converted) == 6
+    assert len({id(rows) for rows, _ in converted}) == 1 and all(kept for _, kept in converted)
+
+
+@pytest.mark.parametrize("buffered", [False, True])
+def test_a_stop_between_copies_leaves_neither_doubles_nor_gaps(spark, home, buffered):
+    moved, at = [], [0]
+
+    def stop(step, folder):
+        moved.append(step) if step == "renamed" else None
+        if step == "renamed" and len(moved) == at[0]:
+            raise RuntimeError("stopped")
+
+    plain = sink(home, EMPLOYEES, on_step=stop, flush=FlushPolicy(rows=1) if buffered else None)
+    copies = tuple(replace(plain.options, base=f"{home}/{c}", compression=c) for c in ("GZIP", "ZSTD"))
+    target = replace(plain, copies=copies)
+    for batch in range(3):  # stopped after the only file of the first copy, of the second, of the zone itself
+        events = feed(spark, THREE, first=10 * batch)
+        moved.clear()
+        at[0] = batch + 1
+        with pytest.raises(ExceptionGroup):
+            target(events, batch)
+        at[0] = 0
+        target(events, batch)
+        assert len(moved) == 3
+    for zone in (plain.options, *copies):
+        files = visible(f"{zone.base}/{FOLDER}")
+        assert [n for n in files if n[0] == "0"] == [f"{i:020d}.parquet" for i in (1, 2, 3)]
+        rows = read_landing(spark, zone.base, FOLDER, EMPLOYEES).select("EMPLOYEE_ID", "file_sequence").collect()
+        assert sorted(rows) == sorted((i, s) for i in (41, 42, 43) for s in (1, 2, 3))
+
+
+def test_copies_need_a_base_of_their_own_and_the_same_marker(home):
+    plain = sink(home, EMPLOYEES)
+    for odd in (plain.options, replace(plain.options, base=f"{home}/copy", marker="M")):
+        with pytest.raises(ValueError, match="copy"):
+            replace(plain, copies=(odd,))

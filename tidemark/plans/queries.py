@@ -764,12 +764,20 @@ CODECS_ASKED = {"gzip": "GZIP", "LZ4": "LZ4", "Zstd": "ZSTD", "UNCOMPRESSED": "U
     + f"""select asked, found as codec, orderkey, price, row_marker from r, (values {', '.join(f"('{a}', '{c}')" for a, c in CODECS_ASKED.items())}) as asked(asked, found)"""
 )
 def codecs(spark, sf_dir):
-    """The orders landed with every codec and read back, with the codec that the files' footers name."""
+    """The orders landed with every codec and read back, with the codec that the files' footers name.
+
+    One landing into a zone for each codec: the events are decoded and converted once for all of them.
+    """
     path = f"{shared_dir(spark)}/events"
-    X.order_events(spark, sf_dir).write.parquet(path)
+    tasks = _event_tasks(spark, X.table(spark, sf_dir, "orders").count())
+    X.order_events(spark, sf_dir, tasks).write.parquet(path)
+    sink = new_sink(spark, specs=(X.ORDERS,))
+    zones = {a: replace(sink.options, base=f"{sink.options.base}-{i}", compression=a or None) for i, a in enumerate(CODECS_ASKED)}
+    first, *copies = zones.values()
+    replace(sink, options=first, copies=tuple(copies))(events.read_events(spark, path), 0)
     every = []
-    for asked in CODECS_ASKED:
-        base = landed(spark, events.read_events(spark, path), specs=(X.ORDERS,), compression=asked or None)
+    for asked, zone in zones.items():
+        base = zone.base
         files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{naming.SUFFIX}").load(f"{base}/{X.ORDERS_FOLDER}")
         found = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content").mapInArrow(_footer_codecs, "name string, codec string")
         found = found.select(naming.name_sequence(F.col("name")).alias("file_sequence"), "codec")

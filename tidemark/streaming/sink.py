@@ -49,6 +49,9 @@ class LandingSink:
     enough, so many small batches make few files. With ``keep_failed`` a table that cannot be landed does not fail the
     batch: its events wait in order and are tried again with the next batch. With ``drop_replays`` events at or below the
     highest position landed of their topic and ``partition`` are left out, and so are copies within a batch.
+
+    ``copies`` are further zones where the same rows land, with a codec and limits of their own: events are decoded and
+    converted once for all zones. Events that cannot be decoded or have no table are put aside under ``options.base`` alone.
     """
 
     options: LandingOptions
@@ -64,8 +67,14 @@ class LandingSink:
     keep_failed: bool = False
     drop_replays: bool = False
     clock: Callable[[], float] = time.time
+    copies: tuple[LandingOptions, ...] = ()
     _lock: threading.RLock = field(default_factory=threading.RLock, repr=False, compare=False)
 
+    def __post_init__(self) -> None:
+        zones = (self.options, *self.copies)
+        if len({z.base for z in zones}) < len(zones) or any((z.units, z.marker) != (zones[0].units, zones[0].marker) for z in zones):
+            raise ValueError("each copy needs a base of its own, and the units and the marker of the options")
+
     def __call__(self, events: DataFrame, batch_id: int | str) -> dict[str, dict]:
         """Land one batch; returns each landed table's manifest with its files and their row counts.
 
@@ -287,7 +296,16 @@ class LandingSink:
         read = self.snapshots.get(spec.name)
         if self.lookup_updates and size.updates and read:
             projected = fill_from_snapshot(projected, read(rows.sparkSession), spec, options.marker)
-        return land_table(projected, unit, spec, options, size, rows, self.on_step)
+        if not self.copies:
+            return land_table(projected, unit, spec, options, size, rows, self.on_step)
+        projected = projected.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for copy in self.copies:  # before the unit itself: where that is done, all are
+                beside = replace(unit, state_dir=f"{unit.state_dir}/copy={uuid.uuid5(uuid.NAMESPACE_URL, copy.base).hex}")
+                land_table(projected, beside, spec, copy, size, rows, self.on_step)
+            return land_table(projected, unit, spec, options, size, rows, self.on_step)
+        finally:
+            projected.unpersist()
 
     def _quarantine(self, decoded: DataFrame, counts: list, specs: dict, batch: str) -> None:
         unknown = [c.folder for c in counts if c.folder not in specs]
